@@ -73,6 +73,17 @@ def after_key(columns: Sequence[Column], values: Sequence) -> Column:
     return tail
 
 
+def until_key(columns: Sequence[Column], values: Sequence) -> Column:
+    """Columns compare before values or equal to them; NULL stands before all values."""
+    tail = F.lit(True)
+    for column, value in reversed(list(zip(columns, values))):
+        if value is None:
+            tail = column.isNull() & tail
+        else:
+            tail = column.isNull() | (column < F.lit(value)) | ((column == F.lit(value)) & tail)
+    return tail
+
+
 def _position_value(spec: SpaceSpec, position, name: str):
     by_name, held = position
     if by_name:

@@ -15,15 +15,15 @@ from stowage.operators.validate import violations
 from stowage.sources.files import Scratch
 from stowage.spec import SpaceSpec
 
-SEQ, SHARD, GROUP, PROBLEMS, PART = "_seq", "_shard", "_group", "_problems", "_part"
+SEQ, GROUP, PROBLEMS, PART = "_seq", "_group", "_problems", "_part"
 
 
 @dataclass
 class Landing:
     """A landed load.
 
-    ``rows`` holds the record fields and ``_seq`` (arrival order), ``_shard``,
-    ``_group``, ``_problems``, plus copies of the ordering columns.
+    ``rows`` holds the record fields, ``_seq`` (arrival order), ``_group`` and
+    ``_problems``, plus copies of the ordering columns.
     """
 
     rows: DataFrame
@@ -44,12 +44,17 @@ class Landing:
         rollback_on_error: bool,
         refused: DataFrame | None = None,
     ) -> DataFrame:
-        """Part, batch, shard and status of each row, by ``_seq``. Narrow: no record field is read.
+        """Part, batch, shard and status of each row, by ``_seq``. Of the record only the key is read.
 
         ``refused`` lists further bad rows by ``_seq``.
         """
+        spec = self.spec
+        if spec.bucket_field is None:
+            shard = shard_of([F.col(k) for k in spec.primary_key], spec.shards)
+        else:
+            shard = F.col(spec.bucket_field)
         narrow = self.rows.select(
-            SEQ, F.col(SHARD).alias("shard"), is_bad().alias("_flag"), *self.order, *([self.part] if self.part else [])
+            SEQ, shard.alias("shard"), is_bad().alias("_flag"), *self.order, *([self.part] if self.part else [])
         )
         if refused is not None:
             more = refused.select(SEQ, F.lit(True).alias("_more"))
@@ -87,15 +92,12 @@ def land(
     values = record_values(spec, sources)
     problems = violations(spec, sources, values)
     key = [values[k] for k in spec.primary_key]
-    shard = shard_of(key, spec.shards)
     if spec.bucket_field is not None:
-        shard = F.coalesce(values[spec.bucket_field], shard)
-        values[spec.bucket_field] = shard
+        values[spec.bucket_field] = F.coalesce(values[spec.bucket_field], shard_of(key, spec.shards))
     order = {f"_order{i}": column(c) for i, c in enumerate(order_by)}
     landed = df.select(
         *[values[n].alias(n) for n in spec.names],
         F.monotonically_increasing_id().alias(SEQ),
-        shard.cast("bigint").alias(SHARD),
         group_of(key, spec.groups).alias(GROUP),
         problems.alias(PROBLEMS),
         *[c.alias(n) for n, c in order.items()],

@@ -4,20 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row, functions as F
 
-from stowage.operators.conditions import Conditions, apply_conditions, scan_order
+from stowage.operators.conditions import Conditions, apply_conditions, scan_order, until_key
 from stowage.operators.numbering import number_rows
 from stowage.sources.files import Scratch
 from stowage.spec import SpaceSpec
 
 
 def next_page(df: DataFrame, spec: SpaceSpec, index, after, size: int) -> tuple[DataFrame, Row | None]:
-    """The ``size`` rows after ``after`` and the position to go on from, None past the end."""
+    """The ``size`` rows after ``after`` and the position to go on from, None past the end.
+
+    The end of the page is found over the ordering fields alone; the page itself
+    then reads only the stretch of keys up to it.
+    """
     conditions = Conditions(index=index).with_limit(size)
     if after is not None:
         conditions = conditions.start_after(after)
     page = apply_conditions(df, spec, conditions)
-    last = page.agg(F.max(F.struct(*scan_order(spec, index))).alias("last")).first()["last"]
-    return page, last
+    order = scan_order(spec, index)
+    last = page.agg(F.max(F.struct(*order)).alias("last")).first()["last"]
+    if last is None:
+        return page, None
+    stretch = df.where(until_key([F.col(f) for f in order], list(last)))
+    if spec.required(order[0]):
+        stretch = stretch.where(F.col(order[0]) <= F.lit(last[0]))
+    return apply_conditions(stretch, spec, conditions), last
 
 
 def number_pages(df: DataFrame, spec: SpaceSpec, index, size: int, scratch: Scratch, page: str = "page") -> DataFrame:

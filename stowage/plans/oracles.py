@@ -210,9 +210,11 @@ ORACLES: dict[str, str] = {
         FROM damaged""",
     "validate_types": """
         SELECT c_custkey, concat_ws('; ',
-                 CASE WHEN trunc(c_acctbal) < 0 THEN 'field 2 (c_acctbal): expected unsigned, got a negative number' END,
+                 CASE WHEN trunc(c_acctbal) <> c_acctbal THEN 'field 2 (c_acctbal): expected unsigned, got double'
+                      WHEN c_acctbal < 0 THEN 'field 2 (c_acctbal): expected unsigned, got a negative number' END,
                  'field 3 (c_name): expected integer, got string') AS violations
-        FROM customer""",
+        FROM (SELECT c_custkey, CASE WHEN c_acctbal < 1000 THEN floor(c_acctbal) ELSE c_acctbal END AS c_acctbal
+              FROM customer)""",
     "shard_ids": f"""
         SELECT o_orderkey, {_shard('CAST(o_orderkey AS VARCHAR)', 16)} AS bucket_id, o_custkey FROM orders""",
     "shard_composite": f"""

@@ -16,7 +16,7 @@ import json
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from stowage.errors import ConcurrentWrite, SpaceNotFound
 from stowage.operators.landing import GROUP
@@ -35,7 +35,7 @@ class Version:
 
 class Snapshots:
     def __init__(self, spark: SparkSession, folder: Folder):
-        self._spark = spark
+        self.spark = spark
         self._folder = folder
         self._versions = folder.folder("versions")
         if not folder.exists("spec.json"):
@@ -61,13 +61,14 @@ class Snapshots:
         schema = self.spec.schema()
         folders = version.folders(only)
         if not folders:
-            return self._spark.createDataFrame([], schema)
-        return self._spark.read.schema(schema).parquet(*[self._folder.within("data", f) for f in folders])
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[self._folder.within("data", f) for f in folders])
 
     def add(self, base: Version, rows: DataFrame | None, replaced) -> Version:
         """Publish the version after ``base``.
 
-        ``rows`` are records with their ``_group``. Groups in ``replaced`` lose
+        ``rows`` are records with their ``_group``, spread over tasks so that a
+        task holds few groups. Groups in ``replaced`` lose
         their old folders; the other groups keep them and gain the new one.
         """
         number = base.number + 1
@@ -85,9 +86,8 @@ class Snapshots:
         return version
 
     def _write(self, rows: DataFrame, path: str) -> None:
-        # Rebalancing gathers each group and splits the large ones by size; the
-        # sort gives row groups narrow key ranges for filters to skip.
-        ordered = rows.hint("rebalance", F.col(GROUP)).sortWithinPartitions(GROUP, *self.spec.primary_key)
+        # The sort gives row groups narrow key ranges for filters to skip.
+        ordered = rows.sortWithinPartitions(GROUP, *self.spec.primary_key)
         ordered.write.partitionBy(GROUP).parquet(path)
 
     def vacuum(self) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from stowage.errors import SpaceNotEmpty, SpaceWriteError
 from stowage.functions.shards import group_of
 from stowage.operators.batches import REJECTED, STATUSES, WRITTEN, WriteReport, batch_report
-from stowage.operators.conditions import Conditions, apply_conditions
+from stowage.operators.conditions import Conditions, apply_conditions, scan_order
 from stowage.operators.convert import Converter, convert, convert_with
 from stowage.operators.keys import last_wins, repeated_rows, strict_conflicts, unique_losers
 from stowage.operators.landing import GROUP, PROBLEMS, SEQ, Landing, is_bad, land
@@ -20,6 +20,12 @@ from stowage.sources.files import Folder, Scratch
 from stowage.sources.snapshots import Snapshots, Version
 from stowage.spec import SpaceSpec
 
+# Folders of one group after which the next load to touch it rewrites it.
+_CROWDED = 16
+
+# Rough size of a key in memory beside its text.
+_ROW_BYTES = 64
+
 _MODES = ("append", "overwrite", "errorifexists", "error", "ignore")
 
 
@@ -119,13 +125,19 @@ class SpaceStore:
         space: str | None = None,
         index: str | int = 0,
         size: int | None = None,
+        columns: Sequence[str] | None = None,
         options: Mapping[str, object] | None = None,
     ) -> DataFrame:
-        """The whole space with the 0-based ``page`` of each row in index order."""
+        """The whole space with the 0-based ``page`` of each row in index order.
+
+        Of the fields, the ordering ones and ``columns`` are read; all by default.
+        """
         read = ReadOptions.resolve(self.spark, options, space=space, cursor_batch_size=size)
-        return number_pages(
-            self.scan(read.space), self.spec(read.space), index, read.cursor_batch_size, Scratch(self.spark)
-        )
+        spec = self.spec(read.space)
+        if columns is not None:
+            columns = list(dict.fromkeys([*scan_order(spec, index), *columns]))
+        df = self.scan(read.space, required=columns)
+        return number_pages(df, spec, index, read.cursor_batch_size, Scratch(self.spark))
 
     def is_empty(self, space: str) -> bool:
         snapshots = self._space(space)
@@ -212,30 +224,43 @@ class SpaceStore:
         spec, base = snapshots.spec, snapshots.current()
         old = Version(base.number) if replace_all else base
         scratch = Scratch(self.spark)
-        landing = land(df, spec, scratch, write.transform_field_names, by, order_by, write_part)
-        load = _Load(snapshots, old, landing, write)
-
-        if strict:
-            load.refuse_conflicts()
-        accepted = load.accepted()
-        if load.good:
-            accepted = load.one_per_key(accepted)
-            accepted = load.unique(accepted)
-            rows, replaced = load.merged(accepted)
-            version = snapshots.add(base, rows, set(base.groups) if replace_all else replaced)
-        elif replace_all and base.groups:
-            version = snapshots.add(base, None, set(base.groups))
-        else:
-            version = base
-
-        report = load.report(version)
-        if not report.failed:
-            scratch.remove()
-        elif on_error == "raise":
+        report = None
+        try:
+            landing = land(df, spec, scratch, write.transform_field_names, by, order_by, write_part)
+            load = _Load(snapshots, old, landing, write)
+            if strict:
+                load.refuse_conflicts()
+            accepted = load.accepted()
+            if load.good:
+                accepted = load.one_per_key(accepted)
+                accepted = load.unique(accepted)
+                rows, replaced = load.merged(accepted)
+                version = snapshots.add(base, rows, set(base.groups) if replace_all else replaced)
+            elif replace_all and base.groups:
+                version = snapshots.add(base, None, set(base.groups))
+            else:
+                version = base
+            report = load.report(version)
+        finally:
+            # The batches of a failed load are read from scratch later on.
+            if report is None or not report.failed:
+                scratch.remove()
+        if report.failed and on_error == "raise":
             raise SpaceWriteError(report.message, report)
         return report
 
 
+def by_group(rows: DataFrame) -> DataFrame:
+    """Rows gathered by storage group; large groups are split by size, small ones put together."""
+    return rows.hint("rebalance", F.col(GROUP))
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """Bytes that the session lets a join broadcast."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text) if text[0] != "-" else -1
+
+
 class _Load:
     """The steps of one load, over its landed rows."""
 
@@ -294,7 +319,11 @@ class _Load:
         counted = self.statuses.groupBy("status").count().collect()
         self.counts = {**dict.fromkeys(STATUSES, 0), **{r["status"]: r["count"] for r in counted}}
         self.good = self.counts[WRITTEN]
-        # A table of its own, so that its true size decides how it is joined.
+        # The smaller side, as a table of its own, so that its true size decides
+        # how it is joined.
+        if 2 * self.good < self.total:
+            written = self.scratch.table(self.statuses.where(F.col("status") == WRITTEN).select(SEQ), "written")
+            return self.landing.rows.join(written, SEQ, "left_semi")
         out = self.scratch.table(self.statuses.where(F.col("status") != WRITTEN).select(SEQ), "unwritten")
         return self.landing.rows.join(out, SEQ, "left_anti")
 
@@ -322,23 +351,34 @@ class _Load:
         return accepted.join(self.losers, SEQ, "left_anti")
 
     def merged(self, accepted: DataFrame) -> tuple[DataFrame, set[int]]:
-        """The rows to write, and the groups whose old rows are among them.
+        """The rows to write, spread for writing, and the groups whose old rows are among them.
 
-        A group is rewritten only if the load replaces one of its rows; a group
-        that only gains keys keeps its files and gets new ones.
+        A group is rewritten if the load replaces one of its rows, or if it has
+        come to lie in many folders; else it keeps its files and gets new ones.
         """
         new = accepted.select(*self.spec.names, GROUP)
         near = self._near()
         if near is None:
-            return new, set()
-        keys = accepted.select(*self.key)
+            return by_group(new), set()
         group = group_of([F.col(k) for k in self.key], self.spec.groups)
-        met = near.where(self._in_span()).select(*self.key).join(keys, self.key, "left_semi")
-        replaced = {r[0] for r in met.select(group.alias(GROUP)).distinct().collect()}
+        met = near.where(self._in_span()).select(*self.key).join(accepted.select(*self.key), self.key, "left_semi")
+        met = self.scratch.table(met, "replaced-keys")
+        text = sum((F.coalesce(F.length(F.col(k).cast("string")), F.lit(0)) for k in self.key), F.lit(_ROW_BYTES))
+        facts = met.agg(
+            F.collect_set(group).alias("groups"), F.coalesce(F.sum(text), F.lit(0)).alias("bytes")
+        ).first()
+        crowded = {g for g in self.groups if len(self.old.groups.get(g, ())) >= _CROWDED}
+        replaced = set(facts["groups"]) | crowded
         if not replaced:
-            return new, set()
-        kept = self._near(replaced).join(keys, self.key, "left_anti").withColumn(GROUP, group)
-        return kept.select(*self.spec.names, GROUP).unionByName(new), replaced
+            return by_group(new), set()
+        kept = self._near(replaced)
+        if facts["bytes"] <= broadcast_limit(self.snapshots.spark):
+            # The replaced keys are few: old rows stay in the tasks that read
+            # them, each of one or a few groups, and only new rows are moved.
+            kept = kept.join(F.broadcast(met), self.key, "left_anti").withColumn(GROUP, group)
+            return kept.select(*self.spec.names, GROUP).unionByName(by_group(new)), replaced
+        kept = kept.join(met, self.key, "left_anti").withColumn(GROUP, group)
+        return by_group(kept.select(*self.spec.names, GROUP).unionByName(new)), replaced
 
     def report(self, version: Version) -> WriteReport:
         report = WriteReport(
