@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stowage.operators.numbering import input_part, input_position, look_up, number_rows
+from stowage.operators.numbering import block_of, input_part, input_position, look_up, number_rows
 from stowage.sources.files import Scratch
 
 WRITTEN, REJECTED, ROLLED_BACK, SKIPPED = "written", "rejected", "rolled_back", "skipped"
@@ -70,12 +70,12 @@ def number_batches(
         return df.select(
             "*",
             input_part(seq).alias(part),
-            F.floor(input_position(seq) / F.lit(batch_size)).alias(batch),
+            block_of(input_position(seq), batch_size).alias(batch),
             F.lit(0).alias(_CHUNK),
         )
     named = df.withColumn(part, F.lit(0) if write_part is None else F.col(write_part))
     numbered = number_rows(named, [*order_by, sequence], scratch, [part], name="_n", chunk=_CHUNK)
-    return numbered.withColumn(batch, F.floor((F.col("_n") - F.lit(1)) / F.lit(batch_size))).drop("_n")
+    return numbered.withColumn(batch, block_of(F.col("_n") - F.lit(1), batch_size)).drop("_n")
 
 
 def row_statuses(

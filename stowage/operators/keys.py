@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stowage.sources.files import Scratch
 from stowage.spec import Index
@@ -16,9 +16,30 @@ def last_wins(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> Dat
     An aggregate, not a window: copies of a hot key are reduced before the
     shuffle, so a key with most of the rows sends one row per task.
     """
-    rest = [c for c in df.columns if c not in key]
-    last = F.max_by(F.struct(*rest), F.struct(*order_by)).alias("_last")
-    return df.groupBy(*key).agg(last).select(*[F.col(c) if c in key else F.col("_last")[c].alias(c) for c in df.columns])
+    order = [c for c in dict.fromkeys(order_by) if c not in key]
+    rest = [c for c in df.columns if c not in key and c not in order]
+    if not order:
+        order, rest = rest, []
+    if all(_comparable(f.dataType) for f in df.schema.fields):
+        last = F.max(F.struct(*order, *rest))
+    else:
+        last = F.max_by(F.struct(*order, *rest), F.struct(*order))
+    found = df.groupBy(*key).agg(last.alias("_last"))
+    return found.select(*[F.col(c) if c in key else F.col("_last")[c].alias(c) for c in df.columns])
+
+
+def _comparable(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.StructType):
+        return all(_comparable(f.dataType) for f in data_type.fields)
+    if isinstance(data_type, T.ArrayType):
+        return _comparable(data_type.elementType)
+    return not isinstance(data_type, (T.MapType, T.VariantType))
+
+
+def superseded_rows(df: DataFrame, key: Sequence[str], order_by: Sequence[str], seq: str) -> DataFrame:
+    """The rows, by ``seq``, that :func:`last_wins` leaves out. ``seq`` is unique and ends ``order_by``."""
+    last = df.groupBy(*key).agg(F.max(F.struct(*dict.fromkeys(order_by))).alias("_last"))
+    return df.select(seq).join(last.select(F.col("_last")[seq].alias(seq)), seq, "left_anti")
 
 
 def repeated_rows(df: DataFrame, key: Sequence[str]) -> int:

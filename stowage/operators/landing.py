@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stowage.functions.names import transform_named
 from stowage.functions.shards import group_of, shard_of
 from stowage.operators.batches import number_batches, row_statuses
 from stowage.operators.mapping import column, record_sources, record_values
-from stowage.operators.validate import violations
+from stowage.operators.validate import problem_text
 from stowage.sources.files import Scratch
 from stowage.spec import SpaceSpec
 
@@ -23,7 +23,8 @@ class Landing:
     """A landed load.
 
     ``rows`` holds the record fields, ``_seq`` (arrival order), ``_group`` and
-    ``_problems``, plus copies of the ordering columns.
+    ``_problems`` (empty for a good row), plus copies of the ordering columns
+    that are no fields or change on the way in.
     """
 
     rows: DataFrame
@@ -66,7 +67,17 @@ class Landing:
 
 
 def is_bad() -> Column:
-    return F.size(PROBLEMS) > 0
+    return F.col(PROBLEMS) != ""
+
+
+def ordering_field(spec: SpaceSpec, sources: dict[str, T.StructField | None], name: str) -> str | None:
+    """The field that keeps the values of column ``name`` as they are, so that it can order the load."""
+    for field, source in sources.items():
+        if source is not None and source.name == name and field != spec.bucket_field:
+            stored = spec.schema()[field].dataType
+            widened = isinstance(source.dataType, T.IntegralType) and isinstance(stored, T.LongType)
+            return field if widened or source.dataType == stored else None
+    return None
 
 
 def land(
@@ -90,17 +101,17 @@ def land(
     ignore = [c for c in steering if rename(c) not in spec.names]
     sources = record_sources(df, spec, transform, by, ignore)
     values = record_values(spec, sources)
-    problems = violations(spec, sources, values)
+    problems = problem_text(spec, sources, values)
     key = [values[k] for k in spec.primary_key]
     if spec.bucket_field is not None:
         values[spec.bucket_field] = F.coalesce(values[spec.bucket_field], shard_of(key, spec.shards))
-    order = {f"_order{i}": column(c) for i, c in enumerate(order_by)}
+    order = {ordering_field(spec, sources, c) or f"_order{i}": column(c) for i, c in enumerate(order_by)}
     landed = df.select(
         *[values[n].alias(n) for n in spec.names],
         F.monotonically_increasing_id().alias(SEQ),
         group_of(key, spec.groups).alias(GROUP),
         problems.alias(PROBLEMS),
-        *[c.alias(n) for n, c in order.items()],
+        *[c.alias(n) for n, c in order.items() if n not in spec.names],
         *([column(write_part).alias(PART)] if write_part else []),
     )
     rows = scratch.table(landed, "landed")

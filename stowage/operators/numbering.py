@@ -22,6 +22,11 @@ def input_position(sequence: Column) -> Column:
     return sequence.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
 
 
+def block_of(place: Column, size: int) -> Column:
+    """0-based block of ``size`` that a 0-based place falls into."""
+    return F.call_function("div", place, F.lit(size))
+
+
 def look_up(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """``rows`` with the other columns of ``table``, matched on ``keys``; NULL keys match NULL keys."""
     other = table.withColumnsRenamed({k: f"_of_{k}" for k in keys})

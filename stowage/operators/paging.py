@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Row, functions as F
 
 from stowage.operators.conditions import Conditions, apply_conditions, scan_order, until_key
-from stowage.operators.numbering import number_rows
+from stowage.operators.numbering import block_of, number_rows
 from stowage.sources.files import Scratch
 from stowage.spec import SpaceSpec
 
@@ -33,4 +33,4 @@ def next_page(df: DataFrame, spec: SpaceSpec, index, after, size: int) -> tuple[
 def number_pages(df: DataFrame, spec: SpaceSpec, index, size: int, scratch: Scratch, page: str = "page") -> DataFrame:
     """All rows with the 0-based page each one falls on; one pass for all pages."""
     numbered = number_rows(df, scan_order(spec, index), scratch, name="_n")
-    return numbered.withColumn(page, F.floor((F.col("_n") - F.lit(1)) / F.lit(size))).select(*df.columns, page)
+    return numbered.withColumn(page, block_of(F.col("_n") - F.lit(1), size)).select(*df.columns, page)

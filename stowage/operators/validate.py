@@ -4,29 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from stowage.functions.types import spark_type
 from stowage.operators.mapping import column, record_sources, record_values
 from stowage.spec import SpaceSpec
 
 VIOLATIONS = "violations"
+LINE = "\n"
 
 
-def violations(spec: SpaceSpec, sources: dict[str, T.StructField | None], values: dict[str, Column]) -> Column:
-    """One message per field of the row that the space would refuse."""
+def problem_text(spec: SpaceSpec, sources: dict[str, T.StructField | None], values: dict[str, Column]) -> Column:
+    """One line per field of the row that the space would refuse; empty text for a good row.
+
+    ``concat_ws`` skips NULLs and, unlike a filter over an array, stays in
+    generated code.
+    """
     found = []
     for place, field in enumerate(spec.fields, start=1):
         source, value = sources[field.name], values[field.name]
         says = f"field {place} ({field.name}): expected {field.type.lower()}, got "
-        given = F.lit(False) if source is None else column(source.name).isNotNull()
-        message = F.when(
-            given & value.isNull(),
-            F.lit(says + ("nil" if source is None else source.dataType.simpleString())),
-        )
+        cases = []
+        if source is not None and source.dataType != spark_type(field.type):
+            misfit = column(source.name).isNotNull() & value.isNull()
+            cases.append((misfit, says + source.dataType.simpleString()))
         if spec.required(field.name):
-            message = message.when(value.isNull(), F.lit(says + "nil"))
+            cases.append((value.isNull(), says + "nil"))
         if field.type.lower() == "unsigned":
-            message = message.when(value < 0, F.lit(says + "a negative number"))
-        found.append(message)
-    return F.array_compact(F.array(*found))
+            cases.append((value < 0, says + "a negative number"))
+        if cases:
+            message = F
+            for condition, text in cases:
+                message = message.when(condition, F.lit(text))
+            found.append(message)
+    return F.concat_ws(LINE, *found) if found else F.lit("")
+
+
+def violations(spec: SpaceSpec, sources: dict[str, T.StructField | None], values: dict[str, Column]) -> Column:
+    """The lines of :func:`problem_text` as an array."""
+    text = problem_text(spec, sources, values)
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, LINE))
 
 
 def validate_rows(df: DataFrame, spec: SpaceSpec, transform: str = "none", by: str = "name") -> DataFrame:

@@ -11,9 +11,10 @@ from stowage.functions.shards import group_of
 from stowage.operators.batches import REJECTED, STATUSES, WRITTEN, WriteReport, batch_report
 from stowage.operators.conditions import Conditions, apply_conditions, scan_order
 from stowage.operators.convert import Converter, convert, convert_with
-from stowage.operators.keys import last_wins, repeated_rows, strict_conflicts, unique_losers
+from stowage.operators.keys import last_wins, repeated_rows, strict_conflicts, superseded_rows, unique_losers
 from stowage.operators.landing import GROUP, PROBLEMS, SEQ, Landing, is_bad, land
 from stowage.operators.mapping import to_rows
+from stowage.operators.validate import LINE
 from stowage.operators.paging import next_page, number_pages
 from stowage.options import ReadOptions, WriteOptions
 from stowage.sources.files import Folder, Scratch
@@ -273,16 +274,18 @@ class _Load:
 
         # One pass over the keys: counts, the groups the load touches (at most
         # as many as the space has) and the span of its keys.
-        fits = ~is_bad()
+        fits = ~F.col("_bad")
         first = F.when(fits, F.col(self.key[0]))
-        facts = landing.rows.agg(
-            F.count("*").alias("rows"),
-            F.count(F.when(is_bad(), 1)).alias("bad"),
+        per_key = landing.rows.groupBy(*self.key, GROUP, is_bad().alias("_bad")).agg(F.count("*").alias("_n"))
+        facts = per_key.agg(
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.when(F.col("_bad"), F.col("_n"))), F.lit(0)).alias("bad"),
+            F.coalesce(F.sum(F.when(fits, F.col("_n") - 1)), F.lit(0)).alias("repeated"),
             F.collect_set(F.when(fits, F.col(GROUP))).alias("groups"),
             F.min(first).alias("low"),
             F.max(first).alias("high"),
         ).first()
-        self.total, self.bad = facts["rows"], facts["bad"]
+        self.total, self.bad, self.repeated = facts["rows"], facts["bad"], facts["repeated"]
         self.groups, self.low, self.high = set(facts["groups"]), facts["low"], facts["high"]
         self.good = self.total - self.bad
         self.counts = {**dict.fromkeys(STATUSES, 0), WRITTEN: self.total}
@@ -328,17 +331,25 @@ class _Load:
         return self.landing.rows.join(out, SEQ, "left_anti")
 
     def one_per_key(self, accepted: DataFrame) -> DataFrame:
-        """The last row of each key; rows stay in place when no key repeats."""
-        self.superseded = repeated_rows(accepted, self.key)
-        kept = [*self.spec.names, GROUP, *self.landing.position]
-        return last_wins(accepted.select(*kept), self.key, self.landing.position) if self.superseded else accepted.select(*kept)
+        """The last row of each key; rows stay in place when no key, or few rows, repeat."""
+        position = self.landing.position
+        kept = accepted.select(*dict.fromkeys([*self.spec.names, GROUP, *position]))
+        self.superseded = self.repeated if self.statuses is None else repeated_rows(accepted, self.key)
+        if not self.superseded:
+            return kept
+        if self.superseded * _ROW_BYTES <= broadcast_limit(self.snapshots.spark):
+            narrow = accepted.select(*dict.fromkeys([*self.key, *position]))
+            out = self.scratch.table(superseded_rows(narrow, self.key, position, SEQ), "superseded")
+            return kept.join(F.broadcast(out), SEQ, "left_anti")
+        return last_wins(kept, self.key, position)
 
     def unique(self, accepted: DataFrame) -> DataFrame:
         """Drop rows that a unique index refuses."""
         if not self.spec.unique_keys:
             return accepted
         fields = list(dict.fromkeys([*self.key, *[f for u in self.spec.unique_keys for f in u.fields]]))
-        candidates = self.scratch.table(accepted.select(*fields, *self.landing.position), "unique-candidates")
+        narrow = accepted.select(*dict.fromkeys([*fields, *self.landing.position]))
+        candidates = self.scratch.table(narrow, "unique-candidates")
         space = self.snapshots.read(self.old).select(*fields) if self.old.groups else None
         self.losers = unique_losers(
             candidates, space, self.key, self.spec.unique_keys, self.landing.position, SEQ, self.scratch
@@ -387,7 +398,7 @@ class _Load:
         if not report.failed:
             return report
         if self.bad:
-            some = self.landing.rows.where(is_bad()).select(F.array_join(PROBLEMS, ", ")).limit(3).collect()
+            some = self.landing.rows.where(is_bad()).select(F.replace(F.col(PROBLEMS), F.lit(LINE), F.lit(", "))).limit(3).collect()
             report.messages += [r[0] for r in some]
         if self.refused is not None:
             report.messages.append("keys of the load are in the space or repeated")

@@ -65,7 +65,7 @@ def test_last_wins_of_copies(spark):
 
 def test_last_wins_reduces_before_the_shuffle(spark, lines):
     plan = last_wins(lines, ["l_returnflag"], ["l_shipdate"])._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan and "Window" not in plan
+    assert "partial_max" in plan and "Window" not in plan
 
 
 def test_key_comparisons(spark):
