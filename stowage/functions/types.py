@@ -47,14 +47,17 @@ def _as_text_map(value: Column, source: T.DataType) -> Column:
 def normalise(value: Column, source: T.DataType, format_type: str) -> Column:
     """``value`` as the stored form of ``format_type``; NULL where it cannot be.
 
-    Maps and arrays keep their order and their NULLs. JSON text and structs are
-    accepted for the two map-shaped types; a fraction does not fit an integer.
+    Maps and arrays keep their order and their NULLs. JSON text is
+    accepted for arrays and maps, a struct for maps; a fraction does not fit an
+    integer.
     """
     target = spark_type(format_type)
     if source == target:
         return value
     if target == _TEXT_MAP:
         return _as_text_map(value, source)
+    if isinstance(target, T.ArrayType) and isinstance(source, T.StringType):
+        return F.from_json(value, target)
     stored = value.try_cast(target)
     if isinstance(target, T.LongType) and isinstance(source, (T.FloatType, T.DoubleType, T.DecimalType)):
         return F.when(stored == value, stored)

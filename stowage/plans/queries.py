@@ -43,15 +43,31 @@ def new_store(spark: SparkSession) -> SpaceStore:
     return SpaceStore(spark, f"{shared_folder(spark)}/spaces-{uuid.uuid4().hex}")
 
 
-def seeded(
-    spark: SparkSession, folder: str, name: str, key: list[str], *indexes: Index
-) -> tuple[SpaceStore, DataFrame]:
-    """A store holding table ``name`` as a space, and the table."""
+_LOADED: dict[tuple, str] = {}
+
+
+def seeded(spark: SparkSession, folder: str, name: str, key: list[str], *indexes: Index) -> SpaceStore:
+    """A store holding table ``name`` as a space, for reading.
+
+    Loaded once per application; all queries that only read share it.
+    """
+    known = (spark.sparkContext.applicationId, folder, name, *key, *indexes)
+    if known in _LOADED:
+        store = SpaceStore(spark, _LOADED[known])
+        if store.exists(name):
+            return store
+    store = filled(spark, folder, name, key, *indexes)
+    _LOADED[known] = store.root
+    return store
+
+
+def filled(spark: SparkSession, folder: str, name: str, key: list[str], *indexes: Index) -> SpaceStore:
+    """A new store holding table ``name`` as a space, for writing to."""
     df = table(spark, folder, name)
     store = new_store(spark)
     store.create(name, SpaceSpec.from_schema(df.schema, key, indexes=indexes))
     store.write(df, name)
-    return store, df
+    return store
 
 
 def plain_times(df: DataFrame) -> DataFrame:
@@ -65,14 +81,14 @@ def plain_times(df: DataFrame) -> DataFrame:
 
 @query
 def scan_customer(spark, folder):
-    store, _ = seeded(spark, folder, "customer", ["c_custkey"])
+    store = seeded(spark, folder, "customer", ["c_custkey"])
     return store.scan("customer")
 
 
 @query
 def scan_partitioned(spark, folder):
     """Ranges of users: a user's events lie in one partition, so the count needs no shuffle."""
-    store, _ = seeded(spark, folder, "events", ["event_id"])
+    store = seeded(spark, folder, "events", ["event_id"])
     ranged = store.scan("events", partitions=8, by=["user_id"])
     return (
         ranged.withColumn("part", F.spark_partition_id())
@@ -86,7 +102,7 @@ def scan_partitioned(spark, folder):
 
 @query
 def scan_user_schema(spark, folder):
-    store, _ = seeded(spark, folder, "orders", ["o_orderkey"])
+    store = seeded(spark, folder, "orders", ["o_orderkey"])
     schema = T.StructType(
         [
             T.StructField("o_totalprice", T.DecimalType(15, 2)),
@@ -100,13 +116,13 @@ def scan_user_schema(spark, folder):
 
 @query
 def scan_required_columns(spark, folder):
-    store, _ = seeded(spark, folder, "orders", ["o_orderkey"])
+    store = seeded(spark, folder, "orders", ["o_orderkey"])
     return plain_times(store.scan("orders", required=["o_orderdate", "o_orderkey"]))
 
 
 @query
 def scan_converter(spark, folder):
-    store, _ = seeded(spark, folder, "documents", ["doc_id"])
+    store = seeded(spark, folder, "documents", ["doc_id"])
 
     def headline(batch):
         text = batch["text"]
@@ -119,7 +135,7 @@ def scan_converter(spark, folder):
 
 @query
 def scan_converter_factory(spark, folder):
-    store, _ = seeded(spark, folder, "documents", ["doc_id"])
+    store = seeded(spark, folder, "documents", ["doc_id"])
 
     def digit_counter():
         import re
@@ -132,7 +148,7 @@ def scan_converter_factory(spark, folder):
 
 @query
 def scan_record_converter(spark, folder):
-    store, _ = seeded(spark, folder, "supplier", ["s_suppkey"])
+    store = seeded(spark, folder, "supplier", ["s_suppkey"])
     convert = per_record(
         lambda s: {"id": s["s_suppkey"], "label": f"{s['s_name']}/{s['s_nationkey']}"}, columns=["id", "label"]
     )
@@ -163,7 +179,7 @@ def empty_probe(spark, folder):
 @query
 def schema_discovery(spark, folder):
     """Field, type and number of values for each field of a space."""
-    store, _ = seeded(spark, folder, "events", ["event_id"])
+    store = seeded(spark, folder, "events", ["event_id"])
     schema = store.schema("events")
     filled = store.scan("events").agg(*[F.count(f.name).alias(f.name) for f in schema.fields])
     types = F.create_map(*[F.lit(x) for f in schema.fields for x in (f.name, f.dataType.simpleString())])
@@ -177,38 +193,38 @@ _BY_CUSTOMER = Index("customer", ("o_custkey",), unique=False)
 
 @query
 def cond_any(spark, folder):
-    store, _ = seeded(spark, folder, "conversations", ["conv_id", "turn"])
+    store = seeded(spark, folder, "conversations", ["conv_id", "turn"])
     return store.scan("conversations", conditions=Conditions.any())
 
 
 @query
 def cond_gt(spark, folder):
-    store, _ = seeded(spark, folder, "orders", ["o_orderkey"], _BY_CUSTOMER)
+    store = seeded(spark, folder, "orders", ["o_orderkey"], _BY_CUSTOMER)
     return plain_times(store.scan("orders", conditions=Conditions.index_greater_than("customer", [75])))
 
 
 @query
 def cond_gt_number(spark, folder):
-    store, _ = seeded(spark, folder, "orders", ["o_orderkey"], _BY_CUSTOMER)
+    store = seeded(spark, folder, "orders", ["o_orderkey"], _BY_CUSTOMER)
     return plain_times(store.scan("orders", conditions=Conditions.index_greater_than(0, [700])))
 
 
 @query
 def cond_gt_composite(spark, folder):
-    store, _ = seeded(spark, folder, "conversations", ["conv_id", "turn"])
+    store = seeded(spark, folder, "conversations", ["conv_id", "turn"])
     return store.scan("conversations", conditions=Conditions.index_greater_than("primary", [4, 2]))
 
 
 @query
 def cond_limit(spark, folder):
-    store, _ = seeded(spark, folder, "orders", ["o_orderkey"], _BY_CUSTOMER)
+    store = seeded(spark, folder, "orders", ["o_orderkey"], _BY_CUSTOMER)
     first = Conditions.index_greater_than("customer", [20]).with_limit(100)
     return plain_times(store.scan("orders", conditions=first))
 
 
 @query
 def page_orders(spark, folder):
-    store, _ = seeded(spark, folder, "orders", ["o_orderkey"])
+    store = seeded(spark, folder, "orders", ["o_orderkey"])
     page = Conditions.index_greater_than("primary", [100]).with_limit(50).start_after([120])
     return plain_times(store.scan("orders", conditions=page))
 
@@ -216,7 +232,7 @@ def page_orders(spark, folder):
 @query
 def page_follow(spark, folder):
     """Two pages by a non-unique index; the second starts where the first ended."""
-    store, _ = seeded(spark, folder, "orders", ["o_orderkey"], _BY_CUSTOMER)
+    store = seeded(spark, folder, "orders", ["o_orderkey"], _BY_CUSTOMER)
     first, last = store.page("orders", index="customer", size=40)
     second, _ = store.page("orders", index="customer", after=last, size=40)
     pages = first.withColumn("page", F.lit(0)).union(second.withColumn("page", F.lit(1)))
@@ -225,7 +241,7 @@ def page_follow(spark, folder):
 
 @query
 def page_walk(spark, folder):
-    store, _ = seeded(spark, folder, "events", ["event_id"], Index("user", ("user_id",), unique=False))
+    store = seeded(spark, folder, "events", ["event_id"], Index("user", ("user_id",), unique=False))
     return store.pages("events", index="user", size=1000, columns=["event_id"])
 
 
@@ -306,7 +322,7 @@ def records_by_position(spark, folder):
 
 @query
 def normalise_array(spark, folder):
-    store, _ = seeded(spark, folder, "embeddings", ["vec_id"])
+    store = seeded(spark, folder, "embeddings", ["vec_id"])
     placed = store.scan("embeddings").select("vec_id", F.posexplode("embedding").alias("place", "text"))
     return placed.select("vec_id", "place", F.col("text").cast("float").cast("double").alias("value"))
 
@@ -352,7 +368,7 @@ def _returned_orders(spark, folder):
 
 @query
 def append_upsert(spark, folder):
-    store, _ = seeded(spark, folder, "orders", ["o_orderkey"])
+    store = filled(spark, folder, "orders", ["o_orderkey"])
     store.write(_returned_orders(spark, folder), "orders", "append")
     return plain_times(store.scan("orders"))
 
@@ -360,7 +376,7 @@ def append_upsert(spark, folder):
 @query
 def replace_many(spark, folder):
     """The same load twice leaves the space as one load does."""
-    store, _ = seeded(spark, folder, "orders", ["o_orderkey"])
+    store = filled(spark, folder, "orders", ["o_orderkey"])
     for _ in range(2):
         store.replace_many(_returned_orders(spark, folder), "orders")
     return store.scan("orders").groupBy("o_orderstatus").agg(F.count("*").alias("n_rows"))
@@ -368,7 +384,8 @@ def replace_many(spark, folder):
 
 @query
 def overwrite_replace(spark, folder):
-    store, orders = seeded(spark, folder, "orders", ["o_orderkey"])
+    orders = table(spark, folder, "orders")
+    store = filled(spark, folder, "orders", ["o_orderkey"])
     store.write(orders.where("o_orderstatus <> 'O'"), "orders", "overwrite")
     return plain_times(store.scan("orders"))
 
@@ -406,7 +423,8 @@ def ignore_mode(spark, folder):
 @query
 def truncate_space(spark, folder):
     """Truncated, then filled from other rows: nothing of the old ones is left."""
-    store, orders = seeded(spark, folder, "orders", ["o_orderkey"])
+    orders = table(spark, folder, "orders")
+    store = filled(spark, folder, "orders", ["o_orderkey"])
     store.truncate("orders")
     store.write(orders.where("o_totalprice > 250000"), "orders", "append")
     return store.scan("orders").groupBy("o_orderstatus").agg(F.count("*").alias("n_rows"))

@@ -35,6 +35,7 @@ class SpaceStore:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
+        self.root = root
         self._root = Folder(spark, root)
 
     # Definitions
@@ -43,6 +44,9 @@ class SpaceStore:
         if not Snapshots.create(self.spark, self._root.folder(space), spec) and not if_not_exists:
             raise ValueError(f"space {space!r} already exists")
 
+    def exists(self, space: str) -> bool:
+        return self._root.exists(space, "spec.json")
+
     def spec(self, space: str) -> SpaceSpec:
         return self._space(space).spec
 

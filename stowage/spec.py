@@ -128,7 +128,7 @@ def format_type(data_type: T.DataType) -> str:
         return "integer"
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
         return "double"
-    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return "datetime"
     if isinstance(data_type, T.DecimalType):
         return "decimal"

@@ -200,6 +200,8 @@ def test_nested_values_to_a_record(spark):
     assert to_records(df, NESTED).first() == Row(
         "a", ["1", None, "3"], {"host": "127.0.0.1", "port": None}, {"k": "1"}
     )
+    df = spark.sql("SELECT 'a' id, '[1, \"b\", null]' items, map() settings, null extra")
+    assert to_records(df, NESTED).first() == Row("a", ["1", "b", None], {}, None)
     df = spark.sql("SELECT 'a' id, array() items, named_struct('n', 1) settings, map(1, 2.5) extra")
     assert to_records(df, NESTED).first() == Row("a", [], {"n": "1"}, {"1": "2.5"})
 
