@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
@@ -11,6 +12,10 @@ from pyspark.sql import types as T
 from stowage.functions.types import spark_type
 
 
+# Names of the columns that a load adds to its records.
+_RESERVED = re.compile(r"_seq|_group|_problems|_part|_order\d+")
+
+
 @dataclass(frozen=True)
 class Field:
     name: str
@@ -40,7 +45,7 @@ class SpaceSpec:
     ``shards`` is the number of shards that ``bucket_field`` (when there is one)
     is filled with. ``groups`` is the number of storage folders the keys are
     hashed into: a load rewrites only the groups it changes, so pick it so that
-    one group is some tens of gigabytes.
+    one group is a few gigabytes.
     """
 
     fields: tuple[Field, ...]
@@ -55,6 +60,8 @@ class SpaceSpec:
         names = self.names
         if len({n.lower() for n in names}) != len(names):
             raise ValueError("field names must be distinct, case aside")
+        if bad := [n for n in names if _RESERVED.fullmatch(n) or "." in n or "`" in n]:
+            raise ValueError(f"field names {bad} are reserved or hold a dot or a backtick")
         if not self.indexes or not self.indexes[0].unique:
             raise ValueError("the first index must be the unique primary key")
         known = set(names)

@@ -251,3 +251,6 @@ def test_spec_checks_and_text():
         SpaceSpec((Field("a", "string"),), (Index("pk", ("a",), unique=False),))
     with pytest.raises(ValueError, match="distinct"):
         SpaceSpec((Field("a", "string"), Field("A", "string")), (Index("pk", ("a",)),))
+    for name in ("_group", "_order3", "a.b"):
+        with pytest.raises(ValueError, match="reserved"):
+            SpaceSpec((Field(name, "string"),), (Index("pk", (name,)),))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spaces import BOOK_COLUMNS, BOOKS, ORDERS, book_store, books, ids
 from stowage import ConcurrentWrite, Field, Index, SpaceNotEmpty, SpaceSpec, SpaceStore, SpaceWriteError
-from stowage.sources import store as store_module
+from stowage.sources import load as load_module
 
 CAMEL = "id int, bucketId int, orderType string, orderValue decimal(20,10), orderItems array<int>, options map<string,string>, cleared boolean"
 
@@ -244,7 +244,7 @@ def test_upsert_leaves_other_groups_alone(store, spark, orders):
 
 
 def test_crowded_groups_are_rewritten(store, spark, monkeypatch):
-    monkeypatch.setattr(store_module, "_CROWDED", 3)
+    monkeypatch.setattr(load_module, "_CROWDED", 3)
     store.create("t", SpaceSpec.from_schema(spark.createDataFrame([], "id int").schema, ["id"], groups=1))
     sizes = []
     for i in range(7):
