@@ -52,7 +52,7 @@ def operations(spark):
 
     def upsert(delta):
         store = store_of(True)
-        return lambda: store.write(delta, "orders")
+        return lambda: store.write(delta, "orders", stable_input=True)
 
     def last_wins():
         store = q.new_store(spark)
@@ -70,7 +70,7 @@ def operations(spark):
         "page_by_key": lambda: consume(filled.scan("orders", conditions=middle)),
         "page_by_index": lambda: consume(filled.page("orders", "customer", {"o_custkey": 5000, "o_orderkey": 0})[0]),
         "pages_all": lambda: consume(filled.pages("orders", "customer", 1000)),
-        "overwrite": lambda: overwritten.write(orders, "orders", "overwrite"),
+        "overwrite": lambda: overwritten.write(orders, "orders", "overwrite", stable_input=True),
         "upsert_tenth": upsert(some),
         "append_new_keys": upsert(fresh),
         "last_wins_lineitem": last_wins(),

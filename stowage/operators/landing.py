@@ -32,6 +32,13 @@ class Landing:
     part: str | None
     spec: SpaceSpec
     scratch: Scratch
+    written: bool = False
+
+    def write(self) -> None:
+        """Write the rows to scratch: arrival order and all values are fixed from here on."""
+        if not self.written:
+            self.rows = self.scratch.table(self.rows, "landed")
+            self.written = True
 
     @property
     def position(self) -> list[str]:
@@ -88,10 +95,12 @@ def land(
     by: str = "name",
     order_by: Sequence[str] = (),
     write_part: str | None = None,
+    stable: bool = False,
 ) -> Landing:
     """Turn ``df`` into checked records and write them to scratch.
 
-    ``order_by`` and ``write_part`` name columns of ``df``; those that are not
+    Those of a ``stable`` input, which gives the same rows at every evaluation,
+    are not written yet. ``order_by`` and ``write_part`` name columns of ``df``; those that are not
     fields of the space are used for the load only.
     """
     steering = [*order_by, *([write_part] if write_part else [])]
@@ -114,8 +123,10 @@ def land(
         *[c.alias(n) for n, c in order.items() if n not in spec.names],
         *([column(write_part).alias(PART)] if write_part else []),
     )
-    rows = scratch.table(landed, "landed")
-    return Landing(rows, list(order), PART if write_part else None, spec, scratch)
+    landing = Landing(landed, list(order), PART if write_part else None, spec, scratch)
+    if not stable:
+        landing.write()
+    return landing
 
 
 def plan_batches(

@@ -81,7 +81,8 @@ def _unchanged(columns: str, old: str, new: str) -> str:
 ORACLES: dict[str, str] = {
     "scan_customer": f"SELECT {_CUSTOMER} FROM customer",
     "scan_partitioned": """
-        SELECT user_id, count(*) AS n_events, CAST(1 AS BIGINT) AS n_parts FROM events GROUP BY user_id""",
+        SELECT CAST(count(*) AS BIGINT) AS n_events, CAST(8 AS BIGINT) AS n_ranges, CAST(0 AS BIGINT) AS n_overlaps
+        FROM events""",
     "scan_user_schema": """
         SELECT CAST(o_totalprice AS DECIMAL(15, 2)) AS o_totalprice, CAST(o_orderkey AS VARCHAR) AS o_orderkey,
                CAST(NULL AS VARCHAR) AS o_note, CAST(o_custkey AS INTEGER) AS o_custkey

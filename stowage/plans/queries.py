@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from stowage.errors import SpaceNotEmpty
 from stowage.functions.names import transform_columns
@@ -66,7 +66,7 @@ def filled(spark: SparkSession, folder: str, name: str, key: list[str], *indexes
     df = table(spark, folder, name)
     store = new_store(spark)
     store.create(name, SpaceSpec.from_schema(df.schema, key, indexes=indexes))
-    store.write(df, name)
+    store.write(df, name, stable_input=True)
     return store
 
 
@@ -87,16 +87,21 @@ def scan_customer(spark, folder):
 
 @query
 def scan_partitioned(spark, folder):
-    """Ranges of users: a user's events lie in one partition, so the count needs no shuffle."""
+    """Ranges of (user, event): how many there are, and how many start before the one ahead ends."""
     store = seeded(spark, folder, "events", ["event_id"])
     ranged = store.scan("events", partitions=8, by=["user_id"])
-    return (
-        ranged.withColumn("part", F.spark_partition_id())
-        .groupBy("user_id")
-        .agg(
-            F.count("*").alias("n_events"),
-            (F.max("part") - F.min("part") + F.lit(1)).cast("bigint").alias("n_parts"),
-        )
+    place = F.struct("user_id", "event_id")
+    ranges = (
+        ranged.select("user_id", "event_id", F.spark_partition_id().alias("part"))
+        .groupBy("part")
+        .agg(F.count("*").alias("n"), F.min(place).alias("low"), F.max(place).alias("high"))
+    )
+    # One row per range.
+    ahead = F.lag("high").over(Window.orderBy("part"))
+    return ranges.withColumn("ahead", ahead).agg(
+        F.sum("n").alias("n_events"),
+        F.count("*").alias("n_ranges"),
+        F.count(F.when(F.col("low") <= F.col("ahead"), 1)).alias("n_overlaps"),
     )
 
 

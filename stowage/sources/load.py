@@ -57,6 +57,8 @@ class Load:
         self.groups, self.low, self.high = set(facts["groups"]), facts["low"], facts["high"]
         self.good = self.total - self.bad
         self.counts = {**dict.fromkeys(STATUSES, 0), WRITTEN: self.total}
+        if self.bad or self.repeated or self.spec.unique_keys:
+            landing.write()
 
     def _fitting(self) -> DataFrame:
         return self.landing.rows.where(~is_bad())
@@ -72,6 +74,7 @@ class Load:
 
     def refuse_conflicts(self) -> None:
         """Find the rows a strict insert refuses."""
+        self.landing.write()
         found = strict_conflicts(self._fitting(), self.key, self.landing.position, SEQ, self._near())
         self.refused = self.scratch.table(found, "conflicts")
 

@@ -66,7 +66,8 @@ class SpaceStore:
 
         ``schema`` replaces the declared one, field by field by name, and
         ``required`` picks columns of it. ``partitions`` spreads the result over
-        that many ranges of the columns ``by``, the primary key by default.
+        that many ranges of the columns ``by``, then the primary key, so that a
+        frequent value of ``by`` may take several.
         """
         read = ReadOptions.resolve(self.spark, options, space=space, conditions=conditions)
         snapshots = self._space(read.space)
@@ -74,7 +75,8 @@ class SpaceStore:
         if schema is not None or required is not None:
             df = to_rows(df, schema or snapshots.spec.schema(), required)
         if partitions is not None:
-            df = df.repartitionByRange(partitions, *(by or snapshots.spec.primary_key))
+            key = snapshots.spec.primary_key
+            df = df.repartitionByRange(partitions, *dict.fromkeys([*(by or ()), *[k for k in key if k in df.columns]]))
         return df
 
     def scan_as(
@@ -167,6 +169,7 @@ class SpaceStore:
         order_by: Sequence[str] = (),
         write_part: str | None = None,
         on_error: str = "raise",
+        stable_input: bool = False,
         **given,
     ) -> WriteReport:
         """Load ``df`` into a space.
@@ -180,6 +183,10 @@ class SpaceStore:
 
         Refused rows raise :class:`SpaceWriteError` once the good ones are
         committed, or are only reported with ``on_error="report"``.
+
+        ``stable_input`` promises that ``df`` gives the same rows at every
+        evaluation, as a scan of files does. A load without bad rows, repeated
+        keys or unique indexes then writes no scratch copy of it.
         """
         write = WriteOptions.resolve(self.spark, options, space=space, **given)
         mode = mode.lower()
@@ -189,7 +196,7 @@ class SpaceStore:
             if mode == "ignore":
                 return WriteReport(write.space, self._space(write.space).current().number, dict.fromkeys(STATUSES, 0))
             raise SpaceNotEmpty(f"space {write.space!r} already exists and contains data")
-        return self._load(df, write, mode == "overwrite", False, by, order_by, write_part, on_error)
+        return self._load(df, write, mode == "overwrite", False, by, order_by, write_part, on_error, stable_input)
 
     def replace_many(self, df: DataFrame, space: str | None = None, **settings) -> WriteReport:
         """Insert or replace by primary key."""
@@ -208,13 +215,15 @@ class SpaceStore:
     ) -> WriteReport:
         """Insert; a key that the space or an earlier row of the load has is refused."""
         write = WriteOptions.resolve(self.spark, options, space=space, **given)
-        return self._load(df, write, False, True, by, order_by, write_part, on_error)
+        return self._load(df, write, False, True, by, order_by, write_part, on_error, False)
 
     def insert(self, df: DataFrame, space: str, overwrite: bool = False, **settings) -> WriteReport:
         """Insert into a relation: overwrite it, or fill it if it is empty."""
         return self.write(df, space, "overwrite" if overwrite else "errorifexists", **settings)
 
-    def _load(self, df, write: WriteOptions, replace_all, strict, by, order_by, write_part, on_error) -> WriteReport:
+    def _load(
+        self, df, write: WriteOptions, replace_all, strict, by, order_by, write_part, on_error, stable
+    ) -> WriteReport:
         if on_error not in ("raise", "report"):
             raise ValueError(f"on_error is 'raise' or 'report', not {on_error!r}")
         snapshots = self._space(write.space)
@@ -223,7 +232,7 @@ class SpaceStore:
         scratch = Scratch(self.spark)
         report = None
         try:
-            landing = land(df, spec, scratch, write.transform_field_names, by, order_by, write_part)
+            landing = land(df, spec, scratch, write.transform_field_names, by, order_by, write_part, stable)
             load = Load(snapshots, old, landing, write)
             if strict:
                 load.refuse_conflicts()

@@ -9,8 +9,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "4")
+        SparkSession.builder.master("local[4]")
+        .config("spark.sql.shuffle.partitions", "3")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         # Keep several partitions even for a few rows, as a cluster would.

@@ -121,11 +121,20 @@ def test_partitioned_scan(store, orders):
     store.write(orders, "orders")
     df = store.scan("orders", partitions=5, by=["o_custkey"])
     assert df.rdd.getNumPartitions() == 5
-    spans = df.groupBy(F.spark_partition_id().alias("p")).agg(F.min("o_custkey").alias("a"), F.max("o_custkey").alias("b"))
-    spans = sorted((r.a, r.b) for r in spans.collect())
+    place = F.struct("o_custkey", "o_orderkey")
+    spans = df.groupBy(F.spark_partition_id().alias("p")).agg(F.min(place).alias("a"), F.max(place).alias("b"))
+    spans = sorted((tuple(r.a), tuple(r.b)) for r in spans.collect())
+    assert len(spans) == 5
     assert all(left[1] < right[0] for left, right in zip(spans, spans[1:]))
 
 
+def test_partitioned_scan_splits_a_frequent_value(store, orders):
+    store.create("orders", SpaceSpec.from_schema(orders.schema, ["o_orderkey"]))
+    store.write(orders.withColumn("o_orderstatus", F.lit("F")), "orders")
+    sizes = store.scan("orders", partitions=5, by=["o_orderstatus"]).groupBy(F.spark_partition_id()).count()
+    assert len([r for r in sizes.collect() if r["count"] > 100]) == 5
+
+
 def test_emptiness(store):
     book_store(store)
     assert store.non_empty("books") and not store.is_empty("books")

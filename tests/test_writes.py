@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spaces import BOOK_COLUMNS, BOOKS, ORDERS, book_store, books, ids
 from stowage import ConcurrentWrite, Field, Index, SpaceNotEmpty, SpaceSpec, SpaceStore, SpaceWriteError
+from stowage.operators.landing import Landing
 from stowage.sources import load as load_module
 
 CAMEL = "id int, bucketId int, orderType string, orderValue decimal(20,10), orderItems array<int>, options map<string,string>, cleared boolean"
@@ -213,7 +214,7 @@ def test_random_loads_match_a_dictionary(spark, store):
     schema = "k string, n int, v int"
     store.create("t", SpaceSpec.from_schema(spark.createDataFrame([], schema).schema, ["k", "n"], groups=5))
     expected = {}
-    for load in range(8):
+    for load in range(6):
         size = random.choice([1, 3, 40, 200])
         hot = load % 2
         rows = [
@@ -269,6 +270,25 @@ def test_large_replacement_without_broadcast(spark, store, orders):
     }
 
 
+def test_stable_input(store, orders, monkeypatch):
+    store.create("orders", SpaceSpec.from_schema(orders.schema, ["o_orderkey"]))
+    made = []
+    write = Landing.write
+
+    def noted(landing):
+        made.append(landing)
+        write(landing)
+
+    monkeypatch.setattr(Landing, "write", noted)
+    store.write(orders, "orders", stable_input=True)
+    store.write(orders.withColumn("o_orderstatus", F.lit("X")), "orders", stable_input=True)
+    assert not made
+    store.write(orders.unionByName(orders.withColumn("o_orderstatus", F.lit("Y"))), "orders", stable_input=True)
+    assert made
+    assert {r[0] for r in store.scan("orders").select("o_orderstatus").distinct().collect()} == {"Y"}
+    assert store.scan("orders").count() == orders.count()
+
+
 def test_loading_a_space_from_itself(store):
     book_store(store)
     store.write(store.scan("books").withColumn("year", F.col("year") + 1), "books", "overwrite")
@@ -371,7 +391,7 @@ def test_unique_indexes(store):
 def test_unique_indexes_at_random(spark, store):
     random.seed(11)
     store.create("t", UNIQUE)
-    for _ in range(5):
+    for _ in range(3):
         rows = [
             (random.randint(1, 15), random.choice([None, *"abcdefgh"]), random.choice([None, None, *"mnopq"]))
             for _ in range(12)
