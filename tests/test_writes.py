@@ -228,6 +228,25 @@ def test_random_loads_match_a_dictionary(spark, store):
         assert {(r.k, r.n): r.v for r in got} == expected
 
 
+@pytest.mark.parametrize("key", ["decimal(38,18)", "timestamp", "string", "double"])
+def test_keys_of_every_type(spark, store, key):
+    rows = spark.range(60).select(
+        F.when(F.lit(key == "timestamp"), F.timestamp_seconds(F.col("id") * 1800).cast("string"))
+        .otherwise((F.col("id") * 1.5).cast("string"))
+        .cast(key)
+        .alias("k"),
+        F.lit(1).alias("v"),
+        "id",
+    )
+    store.create("t", SpaceSpec.from_schema(rows.drop("id").schema, ["k"], groups=3))
+    store.write(rows.where("id < 40").drop("id"), "t")
+    store.write(rows.where("id >= 20").withColumn("v", F.lit(2)).drop("id"), "t")
+    got = {r.v: r["count"] for r in store.scan("t").groupBy("v").count().collect()}
+    assert got == {1: 20, 2: 40}
+    page, last = store.page("t", size=25)
+    assert page.count() == 25 and store.page("t", after=last, size=100)[0].count() == 35
+
+
 def test_upsert_leaves_other_groups_alone(store, spark, orders):
     store.create("orders", SpaceSpec.from_schema(orders.schema, ["o_orderkey"], groups=16))
     store.write(orders, "orders")
