@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from stowage.llm.kernels import Rolling, blocks, runs
-from stowage.llm.tables import ID, TEXT, map_texts, scratch
+from stowage.llm.tables import ID, TEXT, bound, map_texts, scratch
 
 CAPACITY = 4096
 SHARD_PIECES = 25_000  # rows packed together by one task
@@ -209,7 +209,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_
     shards = max(1, -(-kept.count() // shard_pieces))
     dealt = kept.withColumn("_shard", F.pmod(F.xxhash64("_row"), F.lit(shards)).cast("long"))
     schema = T.StructType([*pieces.schema, *T.StructType.fromDDL("sequence_id bigint, offset bigint")])
-    return dealt.groupBy("_shard").applyInPandas(partial(_pack, capacity=capacity), schema)
+    return dealt.groupBy("_shard").applyInPandas(bound(_pack, capacity=capacity), schema)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stowage.llm import licenses, packing
-from stowage.llm.tables import read
+from stowage.llm import decontam, jaccard, langid, licenses, neighbours, packing, quality, toxicity
+from stowage.llm.learn import remainder
+from stowage.llm.tables import read, scratch
 
 #: Where the vocabulary of the packing query lies; any path that all executors see.
 TOKENIZER = "word_bpe_49k.json"
@@ -17,19 +18,64 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 4) == 2
+    model = langid.learn(docs, ~held_out, remainder("doc_id", 64) == 1)
+    found = langid.identify(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.tokenize(read(spark, sf_dir, "documents"), tokenizer_path())
     digest = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(digest)
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read(spark, sf_dir, "documents"), n=4, similar=85)
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = scratch(spark).table(quality.statistics(read(spark, sf_dir, "documents")), "statistics")
+    held_out = remainder("doc_id", 3) == 1
+    rules = quality.learn(measured, read(spark, sf_dir, "labels").where(~held_out), "quality")
+    scored = quality.score(measured, rules)
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read(spark, sf_dir, "documents")).drop("detections")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = read(spark, sf_dir, "documents"), remainder("doc_id", 3) == 1
+    labelled = toxicity.labelled_texts(docs, read(spark, sf_dir, "labels").where(~held_out), "toxic")
+    signs = toxicity.choose(labelled)
+    voted = scratch(spark).table(toxicity.votes(docs, signs), "votes")
+    classifier = toxicity.learn(voted, labelled, signs)
+    scored = voted.select("doc_id", held_out.alias("held_out"), classifier.score().alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
+    "op3_jaccard": op3_jaccard,
+    "op5_quality": op5_quality,
     "op6_licenses": op6_licenses,
+    "op7_toxicity": op7_toxicity,
+    "op9_neighbours": op9_neighbours,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {}

@@ -53,3 +53,14 @@ def map_texts(
     kept = docs.select(F.col(id_col).alias(ID), F.col(text_col).cast("string").alias(TEXT))
     fields = T.StructType([kept.schema[0], *T.StructType.fromDDL(schema)])
     return kept.mapInArrow(partial(_mapped, kernel=kernel, fields=fields.names), fields)
+
+
+def bound(function: Callable, **fixed) -> Callable:
+    """``function`` with some arguments fixed, in the form in which Spark takes functions of groups."""
+
+    def call(*tables):
+        return function(*tables, **fixed)
+
+    if function.__code__.co_argcount - len(fixed) == 1:
+        return lambda table: call(table)
+    return lambda one, other: call(one, other)
