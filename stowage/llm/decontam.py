@@ -27,7 +27,7 @@ read.
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -243,6 +243,23 @@ def _scan(array: pa.Array, items):
     return rows, [pa.array(list(c), kind) for c, kind in zip(columns, kinds)]
 
 
+def _count(array: pa.Array, items):
+    rows, _ = _scan(array, items)
+    return None, [pa.array(np.bincount(np.array(rows, np.int64), minlength=len(array)).astype(np.int64))]
+
+
+def _item_blocks(benchmark: DataFrame, share: float, recall: float, sampled: int, item_col: str, item_text_col: str, item_bytes: int):
+    """The items in blocks of bounded size, each as a broadcast variable."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).cast("string").alias("text"))
+    items = items.where("id is not null and text is not null")
+    size = items.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    parts = -(-size // item_bytes)
+    for part in range(parts):
+        own = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part).orderBy("id", "text").toArrow()
+        yield spark.sparkContext.broadcast(Items(own["id"].to_pylist(), texts(own["text"]), share, sampled, recall))
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -256,16 +273,31 @@ def find_leaks(
     item_bytes: int = ITEM_BYTES,
 ) -> DataFrame:
     """One row for each document and item that it holds: item_id, item_words, edits, start_word, end_word."""
-    spark = docs.sparkSession
-    items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).cast("string").alias("text"))
-    items = items.where("id is not null and text is not null")
-    size = items.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    parts = -(-size // item_bytes)
     schema = "item_id bigint, item_words int, edits int, start_word int, end_word int"
-    result = spark.createDataFrame([], T.StructType([docs.select(F.col(id_col).alias(ID)).schema[0], *T.StructType.fromDDL(schema)]))
-    for part in range(parts):
-        own = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part).orderBy("id", "text").toArrow()
-        shared = spark.sparkContext.broadcast(Items(own["id"].to_pylist(), texts(own["text"]), share, sampled, recall))
-        found = map_texts(docs, partial(_scan, items=shared), schema, id_col, text_col)
-        result = found if part == 0 else result.unionByName(found)
-    return result
+    blocks_ = _item_blocks(benchmark, share, recall, sampled, item_col, item_text_col, item_bytes)
+    found = [map_texts(docs, partial(_scan, items=items), schema, id_col, text_col) for items in blocks_]
+    if not found:
+        nothing = T.StructType([docs.select(F.col(id_col).alias(ID)).schema[0], *T.StructType.fromDDL(schema)])
+        return docs.sparkSession.createDataFrame([], nothing)
+    return reduce(DataFrame.unionByName, found)
+
+
+def count_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    share: float = EDIT_SHARE,
+    recall: float = RECALL,
+    sampled: int = SAMPLED,
+    id_col: str = ID,
+    text_col: str = TEXT,
+    item_col: str = "item_id",
+    item_text_col: str = TEXT,
+    item_bytes: int = ITEM_BYTES,
+) -> DataFrame:
+    """One row per document, in place: doc_id and n_items, the number of items that it holds."""
+    rows = docs.select(F.col(id_col).alias("own"), F.col(text_col).alias("body"), F.lit(0).cast("long").alias("n"))
+    for items in _item_blocks(benchmark, share, recall, sampled, item_col, item_text_col, item_bytes):
+        row = rows.select(F.struct("own", "body", "n").alias("row"), "body")
+        counted = map_texts(row, partial(_count, items=items), "more bigint", "row", "body")
+        rows = counted.select(f"{ID}.own", f"{ID}.body", (F.col(f"{ID}.n") + F.col("more")).alias("n"))
+    return rows.select(F.col("own").alias(ID), F.col("n").alias("n_items"))

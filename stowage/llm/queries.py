@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stowage.llm import decontam, jaccard, langid, licenses, neighbours, packing, quality, toxicity
+from stowage.llm import decontam, jaccard, langid, licenses, neighbours, packing, pii, quality, repeats, toxicity
 from stowage.llm.learn import remainder
 from stowage.llm.tables import read, scratch
 
@@ -36,6 +36,15 @@ def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(read(spark, sf_dir, "documents"), n=4, similar=85)
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scratch(spark).table(pii.find(read(spark, sf_dir, "documents")).drop("text"), "found")
+    rows = pii.spans(found, pii.fit(found))
+    counts = [pii.of_kind("base", kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS]
+    return rows.select(
+        "doc_id", *counts, F.sha2(pii.written("base"), 256).alias("base_sha256"), pii.written("spans").alias("spans")
+    )
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = scratch(spark).table(quality.statistics(read(spark, sf_dir, "documents")), "statistics")
     held_out = remainder("doc_id", 3) == 1
@@ -59,6 +68,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+def op8_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = repeats.remove_repeats(read(spark, sf_dir, "documents"))
+    return rest.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
@@ -71,9 +85,11 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
     "op3_jaccard": op3_jaccard,
+    "op4_pii": op4_pii,
     "op5_quality": op5_quality,
     "op6_licenses": op6_licenses,
     "op7_toxicity": op7_toxicity,
+    "op8_suffix_repeats": op8_suffix_repeats,
     "op9_neighbours": op9_neighbours,
     "op10_decontamination": op10_decontamination,
 }
