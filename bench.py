@@ -7,6 +7,7 @@ shared folder of the session.
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import statistics
@@ -39,9 +40,8 @@ def operations(spark):
     filled.create("orders", spec)
     filled.write(orders, "orders")
     last = orders.agg(F.max("o_orderkey")).first()[0]
-    # A tenth of the keys, spread over all of them, and as many new ones.
+    # A tenth of the keys, spread over all of them.
     some = orders.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(10)) == 0).withColumn("o_orderstatus", F.lit("X"))
-    fresh = some.withColumn("o_orderkey", F.col("o_orderkey") + last + 1)
 
     def store_of(mode_rows):
         store = q.new_store(spark)
@@ -50,9 +50,26 @@ def operations(spark):
             store.write(orders, "orders")
         return store
 
-    def upsert(delta):
+    def upsert(delta, stable=True):
         store = store_of(True)
-        return lambda: store.write(delta, "orders", stable_input=True)
+        return lambda: store.write(delta, "orders", stable_input=stable)
+
+    def append_new():
+        store, turns = store_of(True), itertools.count(1)
+
+        def run():  # other keys at each run
+            store.write(some.withColumn("o_orderkey", F.col("o_orderkey") + next(turns) * (last + 1)), "orders", stable_input=True)
+
+        return run
+
+    def pages():
+        consume(filled.pages("orders", "customer", 1000))
+        filled.release()
+
+    def planned():
+        scratch = Scratch(spark)
+        consume(plan_batches(q._damaged_events(spark, FOLDER), q._EVENT_SPEC, scratch, **q._EVENT_LOAD))
+        scratch.remove()
 
     def last_wins():
         store = q.new_store(spark)
@@ -69,14 +86,13 @@ def operations(spark):
         ),
         "page_by_key": lambda: consume(filled.scan("orders", conditions=middle)),
         "page_by_index": lambda: consume(filled.page("orders", "customer", {"o_custkey": 5000, "o_orderkey": 0})[0]),
-        "pages_all": lambda: consume(filled.pages("orders", "customer", 1000)),
+        "pages_all": pages,
         "overwrite": lambda: overwritten.write(orders, "orders", "overwrite", stable_input=True),
         "upsert_tenth": upsert(some),
-        "append_new_keys": upsert(fresh),
+        "upsert_unstable_input": upsert(some, False),
+        "append_new_keys": append_new(),
         "last_wins_lineitem": last_wins(),
-        "batch_outcome_events": lambda: consume(
-            plan_batches(q._damaged_events(spark, FOLDER), q._EVENT_SPEC, Scratch(spark), **q._EVENT_LOAD)
-        ),
+        "batch_outcome_events": planned,
         "load_with_errors": lambda: q._loaded(spark, FOLDER, False, True),
         "unique_index_load": lambda: consume(q.unique_index_load(spark, FOLDER)),
         "strict_insert": lambda: consume(q.insert_strict(spark, FOLDER)),

@@ -1,4 +1,4 @@
-"""Assignment of rows to shards and of keys to storage groups."""
+"""Assignment of rows to shards."""
 
 from __future__ import annotations
 
@@ -18,8 +18,3 @@ def shard_of(key: Sequence[Column], shards: int) -> Column:
         text = F.concat(text, F.lit("|"), part.cast("string"))
     head = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
     return head % F.lit(shards) + F.lit(1)
-
-
-def group_of(key: Sequence[Column], groups: int) -> Column:
-    """Storage group 0..``groups - 1`` of a key; even for any key distribution."""
-    return F.pmod(F.xxhash64(*key), F.lit(groups)).cast("int")

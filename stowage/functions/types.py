@@ -44,12 +44,19 @@ def _as_text_map(value: Column, source: T.DataType) -> Column:
     return value.try_cast(_TEXT_MAP)
 
 
+def _in_utc(local: Column) -> Column:
+    """The moment at which clocks in UTC show a time that has no zone; no session setting takes part."""
+    minutes = F.unix_date(local.cast("date")).cast("bigint") * 1440 + F.hour(local) * 60 + F.minute(local)
+    micros = (F.date_part(F.lit("SECOND"), local) * 1_000_000).cast("bigint")
+    return F.timestamp_micros(minutes * 60_000_000 + micros)
+
+
 def normalise(value: Column, source: T.DataType, format_type: str) -> Column:
     """``value`` as the stored form of ``format_type``; NULL where it cannot be.
 
     Maps and arrays keep their order and their NULLs. JSON text is
     accepted for arrays and maps, a struct for maps; a fraction does not fit an
-    integer.
+    integer; a time or date without a zone is one in UTC.
     """
     target = spark_type(format_type)
     if source == target:
@@ -58,6 +65,8 @@ def normalise(value: Column, source: T.DataType, format_type: str) -> Column:
         return _as_text_map(value, source)
     if isinstance(target, T.ArrayType) and isinstance(source, T.StringType):
         return F.from_json(value, target)
+    if isinstance(target, T.TimestampType) and isinstance(source, (T.TimestampNTZType, T.DateType)):
+        return _in_utc(value.cast("timestamp_ntz"))
     stored = value.try_cast(target)
     if isinstance(target, T.LongType) and isinstance(source, (T.FloatType, T.DoubleType, T.DecimalType)):
         return F.when(stored == value, stored)

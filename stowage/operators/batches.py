@@ -14,6 +14,7 @@ WRITTEN, REJECTED, ROLLED_BACK, SKIPPED = "written", "rejected", "rolled_back",
 STATUSES = (WRITTEN, REJECTED, ROLLED_BACK, SKIPPED)
 
 _CHUNK = "_chunk"
+_CHUNK_BATCHES = 1000
 
 
 @dataclass
@@ -22,8 +23,10 @@ class WriteReport:
 
     ``rows`` counts by status; ``superseded`` is how many written rows a later
     row with the same key replaced within the load, ``unique_conflicts`` how
-    many rows a unique index refused (they count as rejected). ``batches`` has
-    one row per failed batch, ``messages`` a few of the reasons.
+    many rows a key or a unique index refused (they count as rejected).
+    ``reasons`` has every reason with the number of rows it holds for;
+    ``batches`` has one row per batch when a row was refused or a report was
+    asked for. It is read from scratch until :meth:`close`.
     """
 
     space: str
@@ -32,7 +35,8 @@ class WriteReport:
     superseded: int = 0
     unique_conflicts: int = 0
     batches: DataFrame | None = None
-    messages: list[str] = field(default_factory=list)
+    reasons: list[tuple[str, int]] = field(default_factory=list)
+    scratch: Scratch | None = None
 
     @property
     def failed(self) -> bool:
@@ -41,9 +45,14 @@ class WriteReport:
     @property
     def message(self) -> str:
         counts = ", ".join(f"{self.rows.get(s, 0)} {s}" for s in STATUSES)
-        return f"Dataset write failed: not all rows were written to {self.space!r} ({counts}): " + "; ".join(
-            self.messages
-        )
+        why = "; ".join(f"{reason} ({rows})" for reason, rows in self.reasons)
+        return f"the load into {self.space!r} left rows out ({counts}): {why}"
+
+    def close(self) -> None:
+        """Delete what ``batches`` is read from."""
+        if self.scratch is not None:
+            self.scratch.remove()
+            self.scratch = self.batches = None
 
 
 def number_batches(
@@ -71,7 +80,8 @@ def number_batches(
             "*",
             input_part(seq).alias(part),
             block_of(input_position(seq), batch_size).alias(batch),
-            F.lit(0).alias(_CHUNK),
+            # few enough batches that no chunk has most of a part's rows
+            block_of(block_of(input_position(seq), batch_size), _CHUNK_BATCHES).alias(_CHUNK),
         )
     named = df.withColumn(part, F.lit(0) if write_part is None else F.col(write_part))
     numbered = number_rows(named, [*order_by, sequence], scratch, [part], name="_n", chunk=_CHUNK)
@@ -83,13 +93,16 @@ def row_statuses(
     bad: Column,
     stop_on_error: bool,
     rollback_on_error: bool,
+    refused: Column | None = None,
     part: str = "write_part",
     batch: str = "batch",
     shard: str = "shard",
 ) -> DataFrame:
     """Add ``status`` to rows that :func:`number_batches` numbered.
 
-    A bad row is rejected. With ``stop_on_error`` the batches after a part's
+    A bad row is rejected, and so is one that is ``refused`` unless its batch is
+    skipped: whether a key or a unique index refuses a row is found out only
+    when its batch is written. With ``stop_on_error`` the batches after a part's
     first failing one are skipped. With ``rollback_on_error`` the rows that
     share a shard and a batch with a bad row are rolled back. The rest is
     written.
@@ -97,16 +110,18 @@ def row_statuses(
     The two lookups are keyed by (part, range) and (part, batch, shard), so no
     join key has more rows than a range or a batch, however uneven the parts.
     """
-    rows = df.withColumn("_bad", bad)
+    refused = F.lit(False) if refused is None else refused
+    rows = df.withColumn("_bad", bad).withColumn("_fails", bad | refused)
     status = F.when(F.col("_bad"), F.lit(REJECTED))
-    failed = rows.where("_bad").select(part, batch, shard)
-    added = ["_bad", _CHUNK]
+    failed = rows.where("_fails").select(part, batch, shard)
+    added = ["_bad", "_fails", _CHUNK]
     if stop_on_error:
         first = failed.groupBy(part).agg(F.min(batch).alias("_first_bad"))
         spread = rows.select(part, _CHUNK).distinct()
         rows = look_up(rows, look_up(spread, first, [part]), [part, _CHUNK], "left")
         status = status.when(F.col(batch) > F.col("_first_bad"), F.lit(SKIPPED))
         added.append("_first_bad")
+    status = status.when(F.col("_fails"), F.lit(REJECTED))
     if rollback_on_error:
         hit = failed.where(F.col(shard).isNotNull()).distinct().withColumn("_hit", F.lit(True))
         rows = look_up(rows, hit, [part, batch, shard], "left")

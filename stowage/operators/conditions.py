@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
@@ -57,19 +58,26 @@ class Conditions:
         return replace(self, position=(isinstance(row, Mapping), held))
 
 
+def literal(value) -> Column:
+    """A literal that means the same moment in every zone, if the value is a time with one."""
+    if isinstance(value, datetime) and value.tzinfo is not None:
+        return F.timestamp_micros(F.lit((value - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)))
+    return F.lit(value)
+
+
 def after_key(columns: Sequence[Column], values: Sequence) -> Column:
     """Columns compare after values, field by field; NULL stands before all values."""
     tail = None
     for column, value in reversed(list(zip(columns, values))):
-        greater = column.isNotNull() if value is None else column > F.lit(value)
+        greater = column.isNotNull() if value is None else column > literal(value)
         if tail is None:
             tail = greater
         else:
-            same = column.isNull() if value is None else column == F.lit(value)
+            same = column.isNull() if value is None else column == literal(value)
             tail = greater | (same & tail)
     if len(values) > 1 and values[0] is not None:
         # Implied by the rest; a bare comparison that the scan can use.
-        tail = (columns[0] >= F.lit(values[0])) & tail
+        tail = (columns[0] >= literal(values[0])) & tail
     return tail
 
 
@@ -80,7 +88,7 @@ def until_key(columns: Sequence[Column], values: Sequence) -> Column:
         if value is None:
             tail = column.isNull() & tail
         else:
-            tail = column.isNull() | (column < F.lit(value)) | ((column == F.lit(value)) & tail)
+            tail = column.isNull() | (column < literal(value)) | ((column == literal(value)) & tail)
     return tail
 
 
@@ -97,6 +105,11 @@ def _position_value(spec: SpaceSpec, position, name: str):
     return held[place]
 
 
+def position_values(spec: SpaceSpec, conditions: Conditions, order: Sequence[str]) -> list:
+    """The start position's values of the ordering fields."""
+    return [_position_value(spec, conditions.position, f) for f in order]
+
+
 def scan_order(spec: SpaceSpec, index) -> list[str]:
     """Fields that order an index totally: its own, then the primary key."""
     chosen = spec.index(0 if index is None else index)
@@ -120,7 +133,7 @@ def apply_conditions(df: DataFrame, spec: SpaceSpec, conditions: Conditions, ord
         df = df.where(after_key([F.col(f) for f in key], values))
     order = scan_order(spec, conditions.index)
     if conditions.position is not None:
-        last = [_position_value(spec, conditions.position, f) for f in order]
+        last = position_values(spec, conditions, order)
         df = df.where(after_key([F.col(f) for f in order], last))
     if conditions.limit is not None:
         return df.orderBy(*order).limit(conditions.limit)

@@ -9,7 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 Converter = Callable[[pd.DataFrame], pd.DataFrame]
 
@@ -20,20 +22,31 @@ def convert(df: DataFrame, converter: Converter, schema: T.StructType | str) ->
 
 
 def convert_with(df: DataFrame, factory: Callable[[], Converter], schema: T.StructType | str) -> DataFrame:
-    """Map every batch by a converter that ``factory`` makes once per task."""
+    """Map every batch by a converter that ``factory`` makes once per task.
+
+    The converter gets columns of Arrow types, in which every value is exact and
+    NULL is NULL.
+    """
+    target = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(target)
 
     def run(batches):
         converter = factory()
         for batch in batches:
-            yield converter(batch)
+            frame = pa.Table.from_batches([batch]).to_pandas(types_mapper=pd.ArrowDtype)
+            found = converter(frame)
+            table = pa.Table.from_pandas(found[target.names], schema=arrow, preserve_index=False)
+            yield from table.to_batches()
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, target)
 
 
 def per_record(function: Callable[[dict], dict], columns: list[str]) -> Converter:
-    """A converter from a function of one record, for when there is no batch form."""
+    """A converter from a function of one record, for when there is no batch form: it is called for every record."""
 
     def run(batch):
-        return pd.DataFrame([function(r) for r in batch.to_dict("records")], columns=columns)
+        records = [function(r) for r in pa.Table.from_pandas(batch, preserve_index=False).to_pylist()]
+        # objects stay as they are: no column of numbers is made of them here
+        return pd.DataFrame({c: pd.Series([r[c] for r in records], dtype=object) for c in columns})
 
     return run

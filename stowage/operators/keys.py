@@ -1,47 +1,31 @@
-"""Operators on the keys of a load: duplicates, conflicts, unique indexes."""
+"""Operators on the keys of a load."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
-from stowage.sources.files import Scratch
-from stowage.spec import Index
 
+def last_rows(df: DataFrame, key: Sequence[str], order_by: Sequence[str], seq: str) -> DataFrame:
+    """The last row of each key in ``order_by``, by ``seq``, which is unique and ends ``order_by``.
 
-def last_wins(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """One row per key: the last in ``order_by``, which should be total.
-
-    An aggregate, not a window: copies of a hot key are reduced before the
-    shuffle, so a key with most of the rows sends one row per task.
+    An aggregate over keys and ordering columns alone: copies of a hot key are
+    reduced before the shuffle, and wide rows don't take part.
     """
+    last = df.groupBy(*key).agg(F.max(F.struct(*dict.fromkeys(order_by))).alias("_last"))
+    return last.select(F.col("_last")[seq].alias(seq))
+
+
+def last_wins(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """One row per key: the last in ``order_by``, which should be total."""
     order = [c for c in dict.fromkeys(order_by) if c not in key]
     rest = [c for c in df.columns if c not in key and c not in order]
-    if not order:
-        order, rest = rest, []
-    if all(_comparable(f.dataType) for f in df.schema.fields):
-        last = F.max(F.struct(*order, *rest))
-    else:
-        last = F.max_by(F.struct(*order, *rest), F.struct(*order))
+    last = F.max_by(F.struct(*order, *rest), F.struct(*order)) if order else F.any_value(F.struct(*rest))
     found = df.groupBy(*key).agg(last.alias("_last"))
     return found.select(*[F.col(c) if c in key else F.col("_last")[c].alias(c) for c in df.columns])
 
 
-def _comparable(data_type: T.DataType) -> bool:
-    if isinstance(data_type, T.StructType):
-        return all(_comparable(f.dataType) for f in data_type.fields)
-    if isinstance(data_type, T.ArrayType):
-        return _comparable(data_type.elementType)
-    return not isinstance(data_type, (T.MapType, T.VariantType))
-
-
-def superseded_rows(df: DataFrame, key: Sequence[str], order_by: Sequence[str], seq: str) -> DataFrame:
-    """The rows, by ``seq``, that :func:`last_wins` leaves out. ``seq`` is unique and ends ``order_by``."""
-    last = df.groupBy(*key).agg(F.max(F.struct(*dict.fromkeys(order_by))).alias("_last"))
-    return df.select(seq).join(last.select(F.col("_last")[seq].alias(seq)), seq, "left_anti")
-
-
 def repeated_rows(df: DataFrame, key: Sequence[str]) -> int:
     """How many rows share their key with an earlier one."""
     counts = df.groupBy(*key).agg(F.count("*").alias("_n"))
@@ -59,68 +43,3 @@ def all_set(names: Sequence[str]) -> Column:
     for name in names:
         condition = condition & F.col(name).isNotNull()
     return condition
-
-
-def strict_conflicts(
-    load: DataFrame, key: Sequence[str], position: Sequence[str], seq: str, space: DataFrame | None
-) -> DataFrame:
-    """Rows, by ``seq``, that a strict insert refuses: their key is in the space or came earlier in the load.
-
-    The hot side never meets a join on the key: the first row of each key comes
-    from an aggregate, and all other joins are on ``seq``, which is unique.
-    """
-    first = load.groupBy(*key).agg(F.min(F.struct(*position)).alias("_first"))
-    first = first.select(*key, F.col("_first")[seq].alias(seq))
-    if space is not None:
-        first = first.join(space.select(*key), list(key), "left_anti")
-    return load.select(seq).join(first.select(seq), seq, "left_anti")
-
-
-def unique_losers(
-    load: DataFrame,
-    space: DataFrame | None,
-    primary_key: Sequence[str],
-    unique_keys: Sequence[Index],
-    position: Sequence[str],
-    seq: str,
-    scratch: Scratch,
-) -> DataFrame | None:
-    """Rows of ``load``, by ``seq``, that a unique index refuses; None when there are none.
-
-    ``load`` has one row per primary key. A value belongs to the row of the
-    space that holds it, unless the load replaces that row; else to the first
-    row of the load that claims it; everyone else loses. The old row of a loser
-    stays, and may hold values others claimed, so the check is repeated until
-    nobody loses anew. Values are compared by one aggregate per index, without
-    a join from hot values to their claimants.
-    """
-    losers = None
-    while True:
-        live = load if losers is None else load.join(losers, seq, "left_anti")
-        survivors = None if space is None else space.join(live.select(*primary_key), list(primary_key), "left_anti")
-        rounds = [_losers_of(live, survivors, list(u.fields), position, seq) for u in unique_keys]
-        fresh = rounds[0]
-        for more in rounds[1:]:
-            fresh = fresh.union(more)
-        fresh = scratch.table(fresh.distinct(), "unique-losers")
-        if fresh.isEmpty():
-            return losers
-        losers = fresh if losers is None else losers.union(fresh)
-        returning = load.join(fresh, seq, "left_semi").select(*primary_key)
-        if space is None or space.join(returning, list(primary_key), "left_semi").isEmpty():
-            return losers
-
-
-def _losers_of(
-    live: DataFrame, survivors: DataFrame | None, fields: list[str], position: Sequence[str], seq: str
-) -> DataFrame:
-    claims = live.where(all_set(fields)).select(*fields, F.struct(F.lit(1).alias("_rank"), *position).alias("_claim"))
-    offers = claims
-    if survivors is not None:
-        held = survivors.where(all_set(fields)).join(claims.select(*fields).distinct(), fields, "left_semi")
-        types = {f.name: f.dataType for f in live.schema.fields}
-        nobody = [F.lit(None).cast(types[c]).alias(c) for c in position]
-        offers = claims.union(held.select(*fields, F.struct(F.lit(0).alias("_rank"), *nobody).alias("_claim")))
-    winners = offers.groupBy(*fields).agg(F.min("_claim").alias("_claim"))
-    winners = winners.where(F.col("_claim._rank") == 1).select(F.col("_claim")[seq].alias(seq))
-    return claims.select(F.col("_claim")[seq].alias(seq)).join(winners, seq, "left_anti")

@@ -8,23 +8,23 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stowage.functions.names import transform_named
-from stowage.functions.shards import group_of, shard_of
+from stowage.functions.shards import shard_of
 from stowage.operators.batches import number_batches, row_statuses
 from stowage.operators.mapping import column, record_sources, record_values
 from stowage.operators.validate import problem_text
 from stowage.sources.files import Scratch
 from stowage.spec import SpaceSpec
 
-SEQ, GROUP, PROBLEMS, PART = "_seq", "_group", "_problems", "_part"
+SEQ, PROBLEMS, PART = "_seq", "_problems", "_part"
 
 
 @dataclass
 class Landing:
     """A landed load.
 
-    ``rows`` holds the record fields, ``_seq`` (arrival order), ``_group`` and
-    ``_problems`` (empty for a good row), plus copies of the ordering columns
-    that are no fields or change on the way in.
+    ``rows`` holds the record fields, ``_seq`` (arrival order) and ``_problems``
+    (empty for a good row), plus copies of the ordering columns that are no
+    fields or change on the way in.
     """
 
     rows: DataFrame
@@ -54,7 +54,7 @@ class Landing:
     ) -> DataFrame:
         """Part, batch, shard and status of each row, by ``_seq``. Of the record only the key is read.
 
-        ``refused`` lists further bad rows by ``_seq``.
+        ``refused`` lists rows, by ``_seq``, that a key or a unique index refuses.
         """
         spec = self.spec
         if spec.bucket_field is None:
@@ -64,12 +64,12 @@ class Landing:
         narrow = self.rows.select(
             SEQ, shard.alias("shard"), is_bad().alias("_flag"), *self.order, *([self.part] if self.part else [])
         )
+        held = None
         if refused is not None:
-            more = refused.select(SEQ, F.lit(True).alias("_more"))
-            narrow = narrow.join(more, SEQ, "left").withColumn("_flag", F.col("_flag") | F.col("_more").isNotNull())
-            narrow = narrow.drop("_more")
+            narrow = narrow.join(refused.select(SEQ, F.lit(True).alias("_refused")), SEQ, "left")
+            held = F.col("_refused").isNotNull()
         numbered = number_batches(narrow, batch_size, SEQ, self.scratch, self.part, self.order)
-        done = row_statuses(numbered, F.col("_flag"), stop_on_error, rollback_on_error)
+        done = row_statuses(numbered, F.col("_flag"), stop_on_error, rollback_on_error, held)
         return done.select(SEQ, "write_part", "batch", "shard", "status")
 
 
@@ -118,7 +118,6 @@ def land(
     landed = df.select(
         *[values[n].alias(n) for n in spec.names],
         F.monotonically_increasing_id().alias(SEQ),
-        group_of(key, spec.groups).alias(GROUP),
         problems.alias(PROBLEMS),
         *[c.alias(n) for n, c in order.items() if n not in spec.names],
         *([column(write_part).alias(PART)] if write_part else []),

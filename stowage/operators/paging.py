@@ -2,32 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, functions as F
+from dataclasses import replace
+from datetime import datetime, timedelta, timezone
 
-from stowage.operators.conditions import Conditions, apply_conditions, scan_order, until_key
+from pyspark.sql import DataFrame, Row, functions as F, types as T
+
+from stowage.operators.conditions import Conditions, apply_conditions, literal, scan_order, until_key
 from stowage.operators.numbering import block_of, number_rows
 from stowage.sources.files import Scratch
 from stowage.spec import SpaceSpec
 
 
-def next_page(df: DataFrame, spec: SpaceSpec, index, after, size: int) -> tuple[DataFrame, Row | None]:
-    """The ``size`` rows after ``after`` and the position to go on from, None past the end.
-
-    The end of the page is found over the ordering fields alone; the page itself
-    then reads only the stretch of keys up to it.
-    """
-    conditions = Conditions(index=index).with_limit(size)
-    if after is not None:
-        conditions = conditions.start_after(after)
-    page = apply_conditions(df, spec, conditions)
-    order = scan_order(spec, index)
-    last = page.agg(F.max(F.struct(*order)).alias("last")).first()["last"]
-    if last is None:
-        return page, None
+def end_of(df: DataFrame, spec: SpaceSpec, conditions: Conditions) -> Row | None:
+    """The last position among the rows that a limited scan returns, found over the ordering fields alone."""
+    order = scan_order(spec, conditions.index)
+    rows = apply_conditions(df, spec, conditions)
+    schema = df.schema
+    # Times come to the driver as microseconds: a local time may mean two moments.
+    held = [F.unix_micros(f).alias(f) if _is_time(schema, f) else F.col(f) for f in order]
+    last = rows.agg(F.max(F.struct(*order)).alias("last")).select("last.*").select(*held).first()
+    if last is None or all(v is None for v in last):
+        return None if rows.isEmpty() else Row(*order)(*last)
+    start = datetime(1970, 1, 1, tzinfo=timezone.utc)
+    values = [
+        start + timedelta(microseconds=v) if v is not None and _is_time(schema, f) else v for f, v in zip(order, last)
+    ]
+    return Row(*order)(*values)
+
+
+def _is_time(schema: T.StructType, name: str) -> bool:
+    return isinstance(schema[name].dataType, T.TimestampType)
+
+
+def up_to(df: DataFrame, spec: SpaceSpec, conditions: Conditions, last: Row) -> DataFrame:
+    """The rows of a limited scan whose last position is known: only that stretch is read, and nothing is counted."""
+    order = scan_order(spec, conditions.index)
     stretch = df.where(until_key([F.col(f) for f in order], list(last)))
     if spec.required(order[0]):
-        stretch = stretch.where(F.col(order[0]) <= F.lit(last[0]))
-    return apply_conditions(stretch, spec, conditions), last
+        stretch = stretch.where(F.col(order[0]) <= literal(last[0]))
+    return apply_conditions(stretch, spec, replace(conditions, limit=None))
 
 
 def number_pages(df: DataFrame, spec: SpaceSpec, index, size: int, scratch: Scratch, page: str = "page") -> DataFrame:

@@ -31,8 +31,8 @@ def problem_text(spec: SpaceSpec, sources: dict[str, T.StructField | None], valu
         if field.type.lower() == "unsigned":
             cases.append((value < 0, says + "a negative number"))
         if cases:
-            message = F
-            for condition, text in cases:
+            message = F.when(cases[0][0], F.lit(cases[0][1]))
+            for condition, text in cases[1:]:
                 message = message.when(condition, F.lit(text))
             found.append(message)
     return F.concat_ws(LINE, *found) if found else F.lit("")

@@ -68,7 +68,7 @@ def _resolve(cls, names, spark, options, given):
     if given:
         raise TypeError(f"unknown options: {sorted(given)}")
     if "space" not in found:
-        raise ValueError("space name is not specified")
+        raise ValueError("no space was named")
     return cls(**found)
 
 

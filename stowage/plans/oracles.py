@@ -95,6 +95,9 @@ ORACLES: dict[str, str] = {
     "scan_converter_factory": """
         SELECT doc_id, CAST(length(regexp_replace(text, '[^0-9]', '', 'g')) AS BIGINT) AS n_digits FROM documents""",
     "scan_record_converter": "SELECT s_suppkey AS id, s_name || '/' || s_nationkey AS label FROM supplier",
+    "scan_converter_nulls": """
+        SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN (CAST(1 AS BIGINT) << 60) + o_orderkey + 1 END AS n
+        FROM orders""",
     "empty_probe": """
         SELECT 'created' AS step, TRUE AS is_empty, CAST(0 AS BIGINT) AS n_rows
         UNION ALL SELECT 'loaded', count(*) = 0, count(*) FROM orders
@@ -116,6 +119,14 @@ ORACLES: dict[str, str] = {
     "page_follow": """
         SELECT CAST((rn - 1) // 40 AS INTEGER) AS page, o_custkey, o_orderkey FROM (
           SELECT *, row_number() OVER (ORDER BY o_custkey, o_orderkey) AS rn FROM orders) WHERE rn <= 80""",
+    "page_by_time": """
+        SELECT event_id, ts, CAST(place // 60 AS INTEGER) AS page FROM (
+          SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) - 1 AS place FROM events)
+        WHERE place BETWEEN 180 AND 359""",
+    "index_order": """
+        SELECT CAST(row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1 AS INTEGER) AS place, o_custkey, o_orderkey
+        FROM (SELECT * FROM orders WHERE o_custkey > 40 AND (o_custkey > 45 OR (o_custkey = 45 AND o_orderkey > 0))
+              ORDER BY o_custkey, o_orderkey LIMIT 150)""",
     "page_walk": """
         SELECT event_id, user_id,
                CAST((row_number() OVER (ORDER BY user_id, event_id) - 1) // 1000 AS BIGINT) AS page
@@ -163,7 +174,8 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 3, 'written', 'load 3', count(*) FROM orders""",
     "ignore_mode": f"SELECT {_unchanged(_ORDERS, 'o_orderpriority', chr(39) + 'load 1' + chr(39))} FROM orders",
     "truncate_space": """
-        SELECT o_orderstatus, count(*) AS n_rows FROM orders WHERE o_totalprice > 250000 GROUP BY o_orderstatus""",
+        SELECT o_orderkey * 2 + 1 AS o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+        FROM orders""",
     "last_wins": _last_line("l_orderkey, l_linenumber", "l_shipdate DESC, l_partkey DESC, l_suppkey DESC"),
     "last_wins_hot_keys": _last_line(
         "l_returnflag, l_linestatus",
@@ -201,8 +213,13 @@ ORACLES: dict[str, str] = {
     "write_report": f"""
         WITH {_statuses(False, True)},
         totals AS (SELECT {_COUNTS.replace(' AS ', ' AS all_')} FROM planned),
-        per_batch AS (SELECT part AS write_part, batch, count(*) AS expected, {_COUNTS} FROM planned GROUP BY part, batch)
-        SELECT * FROM per_batch, totals WHERE written < expected""",
+        per_batch AS (SELECT part AS write_part, batch, count(*) AS expected, {_COUNTS} FROM planned GROUP BY part, batch),
+        reasons AS (
+          SELECT concat_ws('; ', 'field 1 (event_id): expected unsigned, got nil: ' || count(CASE WHEN event_id IS NULL THEN 1 END),
+                           'field 4 (event_type): expected string, got nil: ' || count(CASE WHEN event_type IS NULL THEN 1 END))
+                 AS reasons
+          FROM planned)
+        SELECT * FROM per_batch, totals, reasons""",
     "validate_events": f"""
         WITH {_DAMAGED}
         SELECT seq, concat_ws('; ',
@@ -227,12 +244,61 @@ ORACLES: dict[str, str] = {
           SELECT *, row_number() OVER (
             PARTITION BY p_name ORDER BY CASE WHEN p_size > 25 THEN 0 ELSE 1 END, p_partkey) AS rn
           FROM part) WHERE rn = 1""",
+    "unique_index_replace": f"""
+        WITH first AS (
+          SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS rn FROM part WHERE p_size > 25),
+        held AS (SELECT * FROM first WHERE rn = 1 AND p_partkey % 2 = 1),
+        renamed AS (SELECT * REPLACE ('renamed ' || p_partkey AS p_name) FROM part WHERE p_size > 25 AND p_partkey % 2 = 0),
+        asking AS (
+          SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS rn FROM part
+          WHERE p_size <= 25 AND p_name NOT IN (SELECT p_name FROM held))
+        SELECT {_PART} FROM held UNION ALL SELECT {_PART} FROM renamed UNION ALL SELECT {_PART} FROM asking WHERE rn = 1""",
+    "unique_two_indexes": f"""
+        WITH RECURSIVE p AS (
+          SELECT row_number() OVER (ORDER BY p_partkey) AS i, p_partkey, p_name, p_brand || '|' || p_size AS pair FROM part),
+        s(i, names, pairs, keys) AS (
+          SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]), CAST([] AS BIGINT[])
+          UNION ALL
+          SELECT p.i,
+                 CASE WHEN list_contains(names, p_name) OR list_contains(pairs, pair) THEN names ELSE list_append(names, p_name) END,
+                 CASE WHEN list_contains(names, p_name) OR list_contains(pairs, pair) THEN pairs ELSE list_append(pairs, pair) END,
+                 CASE WHEN list_contains(names, p_name) OR list_contains(pairs, pair) THEN keys ELSE list_append(keys, p_partkey) END
+          FROM s JOIN p ON p.i = s.i + 1)
+        SELECT {_PART} FROM part WHERE p_partkey IN (SELECT unnest(keys) FROM (SELECT keys FROM s ORDER BY i DESC LIMIT 1))""",
+    "unique_stop": f"""
+        WITH p AS (
+          SELECT *, (row_number() OVER (ORDER BY p_partkey) - 1) // 7 AS batch,
+                 row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS rn FROM part)
+        SELECT {_PART} FROM p
+        WHERE rn = 1 AND batch <= coalesce((SELECT min(batch) FROM p WHERE rn > 1), (SELECT max(batch) FROM p))""",
+    "unique_rollback": f"""
+        WITH RECURSIVE p AS (
+          SELECT (row_number() OVER (ORDER BY p_partkey) - 1) // 7 AS batch, p_partkey, p_name FROM part),
+        b AS (
+          SELECT batch, list(p_name ORDER BY p_partkey) AS asked, count(DISTINCT p_name) < count(*) AS twice FROM p GROUP BY batch),
+        s(batch, names, done) AS (
+          SELECT CAST(-1 AS BIGINT), CAST([] AS VARCHAR[]), CAST([] AS BIGINT[])
+          UNION ALL
+          SELECT b.batch,
+                 CASE WHEN twice OR list_has_any(names, asked) THEN names ELSE list_concat(names, asked) END,
+                 CASE WHEN twice OR list_has_any(names, asked) THEN done ELSE list_append(done, b.batch) END
+          FROM s JOIN b ON b.batch = s.batch + 1),
+        kept AS (SELECT unnest(done) AS batch FROM (SELECT done FROM s ORDER BY batch DESC LIMIT 1))
+        SELECT {_PART} FROM part JOIN p USING (p_partkey, p_name) WHERE batch IN (SELECT batch FROM kept)""",
+    "insert_strict_after_rollback": """
+        WITH n AS (
+          SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS place FROM orders),
+        b AS (
+          SELECT *, place // 4 AS batch, max(CASE WHEN place % 8 = 2 THEN 1 ELSE 0 END)
+                    OVER (PARTITION BY o_custkey, place // 4) AS undone FROM n)
+        SELECT o_orderkey, o_orderstatus, CASE WHEN undone = 1 THEN 'second' ELSE o_orderpriority END AS o_orderpriority
+        FROM b""",
     "load_from_sql": """
         SELECT c_custkey AS cust_key, c_name AS cust_name, r_name AS region_name, n_name AS nation_name
         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "load_from_orc": """
-        SELECT CAST(o_orderkey + CAST('0.134526900004130000' AS DECIMAL(38, 18)) AS DECIMAL(38, 18)) AS idreg,
-               CAST(CAST(o_totalprice * 100 AS DECIMAL(20, 0)) AS DECIMAL(38, 18)) AS regnum, TRUE AS has_bucket
+        SELECT CAST(o_orderkey + CAST('0.271828182845904523' AS DECIMAL(38, 18)) AS DECIMAL(38, 18)) AS amount,
+               CAST(CAST(o_totalprice * 100 AS DECIMAL(20, 0)) AS DECIMAL(38, 18)) AS serial, TRUE AS has_bucket
         FROM orders""",
     "option_precedence": """
         SELECT source, batch_size, CAST(ceil(n / batch_size) AS BIGINT) AS n_batches

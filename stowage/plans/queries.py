@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from stowage.errors import SpaceNotEmpty
@@ -131,7 +132,8 @@ def scan_converter(spark, folder):
 
     def headline(batch):
         text = batch["text"]
-        return batch[["doc_id"]].assign(title=text.str.split("\n", n=1).str[0], n_words=text.str.count(" ") + 1)
+        first = [None if pd.isna(t) else t.split("\n", 1)[0] for t in text]
+        return batch[["doc_id"]].assign(title=first, n_words=text.str.count(" ") + 1)
 
     return store.scan_as(
         "documents", headline, "doc_id bigint, title string, n_words bigint", columns=["doc_id", "text"]
@@ -160,6 +162,18 @@ def scan_record_converter(spark, folder):
     return store.scan_as("supplier", convert, "id bigint, label string")
 
 
+@query
+def scan_converter_nulls(spark, folder):
+    """A converter adds one to numbers of more bits than a double has; NULL stays NULL."""
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", F.expr("CASE WHEN o_orderkey % 3 <> 0 THEN (1L << 60) + o_orderkey END").alias("n")
+    )
+    store = new_store(spark)
+    store.create("orders", SpaceSpec.from_schema(orders.schema, ["o_orderkey"]))
+    store.write(orders, "orders")
+    return store.scan_as("orders", lambda batch: batch.assign(n=batch["n"] + 1), "o_orderkey bigint, n bigint")
+
+
 @query
 def empty_probe(spark, folder):
     df = table(spark, folder, "orders")
@@ -244,6 +258,30 @@ def page_follow(spark, folder):
     return pages.select("page", "o_custkey", "o_orderkey")
 
 
+@query
+def page_by_time(spark, folder):
+    """The fourth to sixth page of the events by time, each one started from the position of the one before."""
+    store = seeded(spark, folder, "events", ["event_id"], Index("time", ("ts",), unique=False))
+    after, pages = None, []
+    for number in range(6):
+        page, after = store.page("events", index="time", after=after, size=60)
+        pages.append(page.select("event_id", "ts", F.lit(number).alias("page")))
+    found = pages[3]
+    for page in pages[4:]:
+        found = found.union(page)
+    return plain_times(found)
+
+
+@query
+def index_order(spark, folder):
+    """Places of the rows of a limited scan by a secondary index, in the order in which they come."""
+    store = seeded(spark, folder, "orders", ["o_orderkey"], _BY_CUSTOMER)
+    conditions = Conditions.index_greater_than("customer", [40]).start_after({"o_custkey": 45, "o_orderkey": 0}).with_limit(150)
+    rows = store.scan("orders", conditions=conditions).select("o_custkey", "o_orderkey").coalesce(1)
+    listed = rows.agg(F.collect_list(F.struct("o_custkey", "o_orderkey")).alias("rows"))
+    return listed.select(F.posexplode("rows").alias("place", "row")).select("place", "row.*")
+
+
 @query
 def page_walk(spark, folder):
     store = seeded(spark, folder, "events", ["event_id"], Index("user", ("user_id",), unique=False))
@@ -427,12 +465,12 @@ def ignore_mode(spark, folder):
 
 @query
 def truncate_space(spark, folder):
-    """Truncated, then filled from other rows: nothing of the old ones is left."""
+    """Truncated, then filled with rows of other keys: nothing of the old ones is left."""
     orders = table(spark, folder, "orders")
     store = filled(spark, folder, "orders", ["o_orderkey"])
     store.truncate("orders")
-    store.write(orders.where("o_totalprice > 250000"), "orders", "append")
-    return store.scan("orders").groupBy("o_orderstatus").agg(F.count("*").alias("n_rows"))
+    store.write(orders.withColumn("o_orderkey", F.col("o_orderkey") * 2 + 1), "orders", "append")
+    return plain_times(store.scan("orders"))
 
 
 _LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey"]
@@ -609,10 +647,11 @@ def write_continue(spark, folder):
 
 @query
 def write_report(spark, folder):
-    """Failed batches of a load, with the totals of the load beside them."""
+    """All batches of a load, with the totals and the reasons of the load beside them."""
     store, report = _loaded(spark, folder, False, True)
     totals = [F.lit(report.rows[s]).cast("bigint").alias(f"all_{s}") for s in STATUSES]
-    return report.batches.select("*", *totals)
+    reasons = "; ".join(f"{reason}: {rows}" for reason, rows in report.reasons)
+    return report.batches.select("*", *totals, F.lit(reasons).alias("reasons"))
 
 
 @query
@@ -658,6 +697,10 @@ def shard_composite(spark, folder):
     return turns.select("conv_id", "turn", shard_of([F.col("conv_id"), F.col("turn")], 8).alias("shard"))
 
 
+# A refusal concerns its row alone.
+_ROW_BY_ROW = {"stop_on_error": False, "rollback_on_error": False}
+
+
 @query
 def unique_conflicts(spark, folder):
     return duplicate_keys(table(spark, folder, "part"), ["p_name"], "n_rows")
@@ -670,10 +713,89 @@ def unique_index_load(spark, folder):
     store = new_store(spark)
     store.create("part", SpaceSpec.from_schema(parts.schema, ["p_partkey"], indexes=(Index("name", ("p_name",)),)))
     for load in ("p_size > 25", "p_size <= 25"):
-        store.write(parts.where(load), "part", order_by=["p_partkey"], on_error="report")
+        store.write(parts.where(load), "part", order_by=["p_partkey"], on_error="report", **_ROW_BY_ROW)
     return store.scan("part")
 
 
+@query
+def unique_index_replace(spark, folder):
+    """Rows of even keys give up their names; the names that are free then go to the first that ask."""
+    parts = table(spark, folder, "part")
+    store = new_store(spark)
+    store.create("part", SpaceSpec.from_schema(parts.schema, ["p_partkey"], indexes=(Index("name", ("p_name",)),)))
+    store.write(parts.where("p_size > 25"), "part", order_by=["p_partkey"], on_error="report", **_ROW_BY_ROW)
+    name = F.concat(F.lit("renamed "), F.col("p_partkey").cast("string"))
+    renamed = parts.where("p_size > 25 AND p_partkey % 2 = 0").withColumn("p_name", name).withColumn("step", F.lit(0))
+    asking = parts.where("p_size <= 25").withColumn("step", F.lit(1))
+    load = renamed.unionByName(asking)
+    store.write(load, "part", order_by=["step", "p_partkey"], on_error="report", **_ROW_BY_ROW)
+    return store.scan("part")
+
+
+@query
+def unique_two_indexes(spark, folder):
+    """No two parts share a name or a price: a refused part holds neither."""
+    parts = table(spark, folder, "part")
+    indexes = (Index("name", ("p_name",)), Index("price", ("p_brand", "p_size")))
+    store = new_store(spark)
+    store.create("part", SpaceSpec.from_schema(parts.schema, ["p_partkey"], indexes=indexes))
+    store.write(parts, "part", order_by=["p_partkey"], on_error="report", **_ROW_BY_ROW)
+    return store.scan("part")
+
+
+def _unique_batches(spark, folder, **settings):
+    parts = table(spark, folder, "part")
+    store = new_store(spark)
+    spec = SpaceSpec.from_schema(parts.schema, ["p_partkey"], indexes=(Index("name", ("p_name",)),), shards=1)
+    store.create("part", spec)
+    ordered = {"order_by": ["p_partkey"], "write_part": "_one", "on_error": "report"}
+    store.write(parts.withColumn("_one", F.lit(1)), "part", batch_size=7, **ordered, **settings)
+    return store.scan("part")
+
+
+@query
+def unique_stop(spark, folder):
+    """The batch of the first refused name is the last one that is written."""
+    return _unique_batches(spark, folder, stop_on_error=True, rollback_on_error=False)
+
+
+@query
+def unique_rollback(spark, folder):
+    """A batch with a refused name is undone, and its names are free for later ones."""
+    return _unique_batches(spark, folder, stop_on_error=False, rollback_on_error=True)
+
+
+@query
+def insert_strict_after_rollback(spark, folder):
+    """Orders whose first copy was undone with its batch are inserted by a second copy; no other key comes twice."""
+    orders = table(spark, folder, "orders")
+    place = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    # batches of four per customer; some hold an order that lacks its status
+    first = orders.withColumn("place", place).withColumn("broken", F.col("place") % 8 == 3)
+    batch = Window.partitionBy("o_custkey", F.expr("(place - 1) div 4"))
+    first = first.withColumn("undone", F.max("broken").over(batch))
+    again = first.where("undone").withColumn("o_orderpriority", F.lit("second")).withColumn("copy", F.lit(2))
+    first = first.withColumn("o_orderstatus", F.when(~F.col("broken"), F.col("o_orderstatus")))
+    load = first.withColumn("copy", F.lit(1)).unionByName(again)
+    # the second copies come in parts, hence in batches, of their own
+    part = F.col("o_custkey") * 2 + F.col("copy")
+    store = new_store(spark)
+    fields = [Field("o_orderkey", "integer"), Field("o_orderstatus", "string"), Field("o_orderpriority", "string")]
+    store.create("orders", SpaceSpec(tuple(fields), (Index("primary", ("o_orderkey",)),), shards=1))
+    columns = [f.name for f in fields]
+    store.insert_many(
+        load.select(*columns, "copy", "place", part.alias("part")),
+        "orders",
+        order_by=["copy", "place"],
+        write_part="part",
+        batch_size=4,
+        stop_on_error=False,
+        rollback_on_error=True,
+        on_error="report",
+    )
+    return store.scan("orders")
+
+
 @query
 def load_from_sql(spark, folder):
     for name in ("customer", "nation", "region"):
@@ -704,22 +826,22 @@ def load_from_orc(spark, folder):
     """Decimals of both kinds from an ORC table, with the bucket left to the space."""
     orders = table(spark, folder, "orders").select(
         F.lit(None).cast("int").alias("bucket_id"),
-        (F.col("o_orderkey") + F.lit("0.134526900004130000").cast("decimal(38,18)")).cast("decimal(38,18)").alias("idreg"),
-        (F.col("o_totalprice") * 100).cast("decimal(38,0)").alias("regnum"),
+        (F.col("o_orderkey").cast("decimal(19,0)") + F.lit("0.271828182845904523").cast("decimal(18,18)")).alias("amount"),
+        (F.col("o_totalprice") * 100).cast("decimal(38,0)").alias("serial"),
     )
     name = f"stowage_orc_{uuid.uuid4().hex}"
     path = f"{shared_folder(spark)}/{name}"
     orders.write.format("orc").option("path", path).saveAsTable(name)
     spec = SpaceSpec(
-        (Field("bucket_id", "unsigned"), Field("idreg", "decimal"), Field("regnum", "decimal", True)),
-        (Index("index_id", ("idreg",)), Index("bucket_id", ("bucket_id",), unique=False)),
+        (Field("bucket_id", "unsigned"), Field("amount", "decimal"), Field("serial", "decimal", True)),
+        (Index("amount", ("amount",)), Index("bucket_id", ("bucket_id",), unique=False)),
         bucket_field="bucket_id",
     )
     store = new_store(spark)
-    store.create("reg_numbers", spec)
-    store.write(spark.table(name), "reg_numbers", "overwrite", batch_size=9)
+    store.create("ledger", spec)
+    store.write(spark.table(name), "ledger", "overwrite", batch_size=9)
     spark.sql(f"DROP TABLE {name}")
-    return store.scan("reg_numbers").select("idreg", "regnum", F.col("bucket_id").isNotNull().alias("has_bucket"))
+    return store.scan("ledger").select("amount", "serial", F.col("bucket_id").isNotNull().alias("has_bucket"))
 
 
 @query

@@ -6,8 +6,11 @@ store or a local disk.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,26 +75,33 @@ class Folder:
         self._fs.delete(self._at(*names), True)
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    path = tempfile.mkdtemp(prefix="stowage-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors can reach, named by ``spark.checkpoint.dir``.
 
     Only a local session, where driver and executors are one process, may do
-    without the setting.
+    without the setting; it has a folder that lasts as long as the process.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="stowage-")
+    return _own_folder()
 
 
 class Scratch:
-    """Tables written during one operation, in a folder of their own."""
+    """Tables written during one operation, in a folder of their own under ``root``, by default the shared folder."""
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, root: str | None = None):
         self._spark = spark
-        self._folder = Folder(spark, f"{shared_folder(spark)}/stowage-{uuid.uuid4().hex}")
+        self._folder = Folder(spark, f"{root or shared_folder(spark)}/stowage-{uuid.uuid4().hex}")
         self._tables = 0
 
     def table(self, df: DataFrame, name: str) -> DataFrame:

@@ -2,97 +2,111 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-from stowage.functions.shards import group_of
 from stowage.operators.batches import REJECTED, STATUSES, WRITTEN, WriteReport, batch_report
-from stowage.operators.keys import last_wins, repeated_rows, strict_conflicts, superseded_rows, unique_losers
-from stowage.operators.landing import GROUP, PROBLEMS, SEQ, Landing, is_bad
+from stowage.operators.claims import KEY_REASON, REASON, Claims, claims_of, held_claims
+from stowage.operators.keys import last_rows
+from stowage.operators.landing import PROBLEMS, SEQ, Landing, is_bad
 from stowage.operators.validate import LINE
 from stowage.options import WriteOptions
-from stowage.sources.snapshots import Snapshots, Version
+from stowage.sources.snapshots import DataFile, Snapshots, Version, as_literal, bound_of
 
-# Folders of one group after which the next load to touch it rewrites it.
-_CROWDED = 16
-
-# Rough size of a key in memory beside its text.
-_ROW_BYTES = 64
-
-
-def by_group(rows: DataFrame) -> DataFrame:
-    """Rows gathered by storage group; large groups are split by size, small ones put together."""
-    return rows.hint("rebalance", F.col(GROUP))
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """Bytes that the session lets a join broadcast."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
-    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text) if text[0] != "-" else -1
+# Rounds after which a batch that was undone once stays undone, so that rounds end.
+_PATIENCE = 12
 
 
 class Load:
     """The steps of one load, over its landed rows."""
 
-    def __init__(self, snapshots: Snapshots, old: Version, landing: Landing, write: WriteOptions):
-        self.snapshots, self.old, self.landing, self.write = snapshots, old, landing, write
+    def __init__(self, snapshots: Snapshots, old: Version, landing: Landing, write: WriteOptions, strict: bool):
+        self.snapshots, self.old, self.landing, self.write, self.strict = snapshots, old, landing, write, strict
         self.spec, self.scratch = landing.spec, landing.scratch
         self.key = list(self.spec.primary_key)
-        self.superseded = self.unique_conflicts = 0
-        self.refused = self.statuses = self.losers = None
+        self.superseded = self.conflicts = 0
+        self.refused = self.statuses = None
 
-        # One pass over the keys: counts, the groups the load touches (at most
-        # as many as the space has) and the span of its keys.
+        # One pass over the keys: counts and the span of the first key field.
         fits = ~F.col("_bad")
-        first = F.when(fits, F.col(self.key[0]))
-        per_key = landing.rows.groupBy(*self.key, GROUP, is_bad().alias("_bad")).agg(F.count("*").alias("_n"))
+        bound = bound_of(self.key[0], snapshots.first_type)
+        first = F.when(fits, F.lit(None) if bound is None else bound)
+        per_key = landing.rows.groupBy(*self.key, is_bad().alias("_bad")).agg(F.count("*").alias("_n"))
         facts = per_key.agg(
             F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
             F.coalesce(F.sum(F.when(F.col("_bad"), F.col("_n"))), F.lit(0)).alias("bad"),
             F.coalesce(F.sum(F.when(fits, F.col("_n") - 1)), F.lit(0)).alias("repeated"),
-            F.collect_set(F.when(fits, F.col(GROUP))).alias("groups"),
             F.min(first).alias("low"),
             F.max(first).alias("high"),
         ).first()
         self.total, self.bad, self.repeated = facts["rows"], facts["bad"], facts["repeated"]
-        self.groups, self.low, self.high = set(facts["groups"]), facts["low"], facts["high"]
+        self.low, self.high = facts["low"], facts["high"]
         self.good = self.total - self.bad
         self.counts = {**dict.fromkeys(STATUSES, 0), WRITTEN: self.total}
-        if self.bad or self.repeated or self.spec.unique_keys:
+        if self.bad or self.repeated or self.spec.unique_keys or strict:
             landing.write()
 
-    def _fitting(self) -> DataFrame:
-        return self.landing.rows.where(~is_bad())
-
-    def _near(self) -> DataFrame | None:
-        """The old rows whose keys the load could hold, by group and by span of the key."""
-        touched = self.groups & set(self.old.groups)
-        if not touched:
-            return None
-        rows = self.snapshots.read(self.old, touched)
-        first = self.key[0]
-        if isinstance(rows.schema[first].dataType, T.TimestampType):
-            # Local times are not unique when clocks go back, so the span that
-            # came to the driver may be off.
-            return rows
-        return rows.where(F.col(first).between(F.lit(self.low), F.lit(self.high)))
-
-    def refuse_conflicts(self) -> None:
-        """Find the rows a strict insert refuses."""
-        self.landing.write()
-        found = strict_conflicts(self._fitting(), self.key, self.landing.position, SEQ, self._near())
-        self.refused = self.scratch.table(found, "conflicts")
-
-    def accepted(self) -> DataFrame:
-        """Rows that the batch rule lets through."""
-        refused = None if self.refused is None or self.refused.isEmpty() else self.refused
-        if self.bad == 0 and refused is None:
-            return self.landing.rows
+    def _near(self) -> tuple[list[DataFile], DataFrame | None]:
+        """The old files and rows whose keys the load could hold, by the span of the first key field."""
+        files = [f for f in self.old.files if f.within(self.low, self.high)]
+        if not files or not self.good:
+            return [], None
+        rows = self.snapshots.read(self.old, files)
+        if self.low is None:
+            return files, rows
+        ends = [as_literal(v, self.snapshots.first_type) for v in (self.low, self.high)]
+        return files, rows.where(F.col(self.key[0]).between(*ends))
+
+    def _statuses(self) -> DataFrame:
         write = self.write
-        statuses = self.landing.statuses(write.batch_size, write.stop_on_error, write.rollback_on_error, refused)
-        self.statuses = self.scratch.table(statuses, "statuses")
+        found = self.landing.statuses(write.batch_size, write.stop_on_error, write.rollback_on_error, self.refused)
+        return self.scratch.table(found, "statuses")
+
+    def settle(self) -> None:
+        """Find the rows that the key (in a strict insert) or a unique index refuses, and the status of all rows."""
+        if self.good and (self.strict or self.spec.unique_keys):
+            claims = self._claims()
+            if claims.any:
+                self._refuse(claims)
+        if self.bad == 0 and self.refused is None:
+            return
+        if self.statuses is None:
+            self.statuses = self._statuses()
         counted = self.statuses.groupBy("status").count().collect()
         self.counts = {**dict.fromkeys(STATUSES, 0), **{r["status"]: r["count"] for r in counted}}
         self.good = self.counts[WRITTEN]
+
+    def _claims(self) -> Claims:
+        load = claims_of(self.landing.rows.where(~is_bad()), self.spec, *self.landing.position)
+        load = self.scratch.table(load, "claimed")
+        fields = list(dict.fromkeys([*self.key, *[f for u in self.spec.unique_keys for f in u.fields]]))
+        space = self.snapshots.read(self.old) if self.spec.unique_keys and self.old.files else self._near()[1]
+        held = None if space is None else held_claims(claims_of(space.select(*fields), self.spec), load, self.scratch)
+        return Claims(load, held, self.landing.position, SEQ, self.strict, self.scratch)
+
+    def _refuse(self, claims: Claims) -> None:
+        """Refusals fail their batches, and what is skipped or undone holds nothing: repeat until both agree."""
+        found = claims.refused()
+        undone = None
+        for turn in range(1_000_000):
+            empty = found.isEmpty()
+            self.refused = None if empty else found
+            if not (self.write.stop_on_error or self.write.rollback_on_error) or (empty and not self.bad):
+                break
+            self.statuses = self._statuses()
+            failed = self.statuses.where(F.col("status") == REJECTED if self.write.rollback_on_error else F.lit(False))
+            failed = failed.select("write_part", "batch", "shard").distinct()
+            undone = failed if turn < _PATIENCE or undone is None else undone.union(failed).distinct()
+            again = claims.refused(self.statuses, undone)
+            if again.count() == found.count() and again.exceptAll(found).isEmpty():
+                break
+            found = again
+        if self.refused is not None:
+            self.conflicts = self.refused.count()
+
+    def accepted(self) -> DataFrame:
+        """Rows that are written."""
+        if self.statuses is None:
+            return self.landing.rows
         # The smaller side, as a table of its own, so that its true size decides
         # how it is joined.
         if 2 * self.good < self.total:
@@ -102,89 +116,61 @@ class Load:
         return self.landing.rows.join(out, SEQ, "left_anti")
 
     def one_per_key(self, accepted: DataFrame) -> DataFrame:
-        """The last row of each key; rows stay in place when no key, or few rows, repeat."""
+        """The last row of each key; keys alone are compared, and wide rows meet just the list of those to keep or leave."""
+        if not self.repeated or self.strict:
+            return accepted
         position = self.landing.position
-        kept = accepted.select(*dict.fromkeys([*self.spec.names, GROUP, *position]))
-        if self.refused is None and self.repeated:
-            self.superseded = self.repeated if self.statuses is None else repeated_rows(accepted, self.key)
+        last = self.scratch.table(last_rows(accepted, self.key, position, SEQ), "last")
+        self.superseded = self.good - last.count()
         if not self.superseded:
-            return kept
-        if self.superseded * _ROW_BYTES <= broadcast_limit(self.snapshots.spark):
-            narrow = accepted.select(*dict.fromkeys([*self.key, *position]))
-            out = self.scratch.table(superseded_rows(narrow, self.key, position, SEQ), "superseded")
-            return kept.join(F.broadcast(out), SEQ, "left_anti")
-        return last_wins(kept, self.key, position)
-
-    def unique(self, accepted: DataFrame) -> DataFrame:
-        """Drop rows that a unique index refuses."""
-        if not self.spec.unique_keys:
-            return accepted
-        fields = list(dict.fromkeys([*self.key, *[f for u in self.spec.unique_keys for f in u.fields]]))
-        narrow = accepted.select(*dict.fromkeys([*fields, *self.landing.position]))
-        candidates = self.scratch.table(narrow, "unique-candidates")
-        space = self.snapshots.read(self.old).select(*fields) if self.old.groups else None
-        self.losers = unique_losers(
-            candidates, space, self.key, self.spec.unique_keys, self.landing.position, SEQ, self.scratch
-        )
-        if self.losers is None:
             return accepted
-        self.unique_conflicts = self.losers.count()
-        self.counts[WRITTEN] -= self.unique_conflicts
-        self.counts[REJECTED] += self.unique_conflicts
-        return accepted.join(self.losers, SEQ, "left_anti")
+        if 2 * self.superseded > self.good:
+            return accepted.join(last, SEQ, "left_semi")
+        out = self.scratch.table(accepted.select(SEQ).join(last, SEQ, "left_anti"), "superseded")
+        return accepted.join(out, SEQ, "left_anti")
 
-    def merged(self, accepted: DataFrame) -> tuple[DataFrame, set[int]]:
-        """The rows to write, spread for writing, and the groups whose old rows are among them.
+    def merged(self, accepted: DataFrame) -> tuple[DataFrame, list[DataFile]]:
+        """The rows to write, and the old files whose rows are among them.
 
-        A group is rewritten if the load replaces one of its rows, or if it has
-        come to lie in many folders; else it keeps its files and gets new ones.
-        A strict insert replaces nothing, so it looks for nothing.
+        A file is rewritten if the load replaces one of its rows. When a space has
+        come to consist of more loads than its ``max_loads``, the smaller half of
+        them is written anew as well. A strict insert replaces nothing.
         """
-        new = accepted.select(*self.spec.names, GROUP)
-        near = self._near()
-        if near is None:
-            return by_group(new), set()
-        group = group_of([F.col(k) for k in self.key], self.spec.groups)
-        crowded = {g for g in self.groups if len(self.old.groups.get(g, ())) >= _CROWDED}
-        met, met_bytes, replaced = None, 0, set()
-        if self.refused is None:
-            new_keys = accepted.select(*self.key)
-            met = near.select(*self.key).join(new_keys, self.key, "left_semi")
-            met = self.scratch.table(met, "replaced-keys")
-            text = sum((F.length(F.col(k).cast("string")) for k in self.key), F.lit(_ROW_BYTES))
-            facts = met.agg(
-                F.collect_set(group).alias("groups"), F.coalesce(F.sum(text), F.lit(0)).alias("bytes")
-            ).first()
-            replaced, met_bytes = set(facts["groups"]), facts["bytes"]
-        few = met_bytes <= broadcast_limit(self.snapshots.spark)
-
-        def kept(groups):
-            rows = self.snapshots.read(self.old, groups)
-            if met_bytes:
-                rows = rows.join(F.broadcast(met) if few else met, self.key, "left_anti")
-            return rows.withColumn(GROUP, group).select(*self.spec.names, GROUP)
-
-        moved = new.unionByName(kept(crowded)) if crowded else new
-        if not replaced - crowded:
-            return by_group(moved), crowded
-        if few:
-            # Old rows stay in the tasks that read them, each of one or a few
-            # groups; only new rows are moved.
-            return kept(replaced - crowded).unionByName(by_group(moved)), replaced | crowded
-        return by_group(moved.unionByName(kept(replaced - crowded))), replaced | crowded
-
-    def report(self, version: Version) -> WriteReport:
-        report = WriteReport(self.write.space, version.number, self.counts, self.superseded, self.unique_conflicts)
-        if not report.failed:
-            return report
+        new = accepted.select(*self.spec.names)
+        dropped, met = [], None
+        files, near = self._near()
+        if near is not None and not self.strict:
+            keys = near.select(*self.key, F.col("_metadata.file_path").alias("_file"))
+            met = self.scratch.table(keys.join(new.select(*self.key), self.key, "left_semi"), "replaced-keys")
+            dropped = self.snapshots.holding(met, files)
+        loads = self.old.loads()
+        if len(loads) >= self.spec.max_loads:
+            small = set(sorted(loads, key=lambda n: (loads[n], n))[: -(-len(loads) // 2)])
+            dropped = [f for f in self.old.files if f in dropped or f.load in small]
+        if not dropped:
+            return new, []
+        kept = self.snapshots.read(self.old, dropped)
+        if met is not None:
+            kept = kept.join(met.drop("_file"), self.key, "left_anti")
+        return new.unionByName(kept.select(*self.spec.names)), dropped
+
+    def report(self, version: Version, whole: bool) -> WriteReport:
+        """``whole``: with the batches even if no row was refused."""
+        report = WriteReport(self.write.space, version.number, self.counts, self.superseded, self.conflicts)
+        reasons = []
         if self.bad:
-            line = F.replace(F.col(PROBLEMS), F.lit(LINE), F.lit(", "))
-            some = self.landing.rows.where(is_bad()).select(line).limit(3).collect()
-            report.messages += [r[0] for r in some]
+            # as many kinds of lines as the fields of a space allow
+            lines = self.landing.rows.where(is_bad()).select(F.explode(F.split(PROBLEMS, LINE)).alias("reason"))
+            reasons += [(r["reason"], r["count"]) for r in lines.groupBy("reason").count().orderBy("reason").collect()]
         if self.refused is not None:
-            report.messages.append("keys of the load are in the space or repeated")
-        if self.unique_conflicts:
-            report.messages.append(f"{self.unique_conflicts} rows repeat a value of a unique index")
-        if self.statuses is not None:
-            report.batches = batch_report(self.statuses).where(F.col(WRITTEN) < F.col("expected"))
+            for r in self.refused.groupBy(REASON).count().orderBy(REASON).collect():
+                if r[REASON] == KEY_REASON:
+                    reasons.append(("its key is in the space or came earlier in the load", r["count"]))
+                else:
+                    name = self.spec.unique_keys[r[REASON] - 1].name
+                    reasons.append((f"another key holds its value of unique index {name!r}", r["count"]))
+        report.reasons = reasons
+        if report.failed or whole:
+            statuses = self._statuses() if self.statuses is None else self.statuses
+            report.batches = self.scratch.table(batch_report(statuses), "batches")
         return report

@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from stowage.errors import SpaceNotEmpty, SpaceWriteError
 from stowage.operators.batches import STATUSES, WriteReport
-from stowage.operators.conditions import Conditions, apply_conditions, scan_order
+from stowage.operators.conditions import Conditions, apply_conditions, position_values, scan_order
 from stowage.operators.convert import Converter, convert, convert_with
 from stowage.operators.landing import land
 from stowage.operators.mapping import to_rows
-from stowage.operators.paging import next_page, number_pages
+from stowage.operators.paging import end_of, number_pages, up_to
 from stowage.options import ReadOptions, WriteOptions
 from stowage.sources.files import Folder, Scratch
 from stowage.sources.load import Load
-from stowage.sources.snapshots import Snapshots, Version
+from stowage.sources.snapshots import Snapshots, Version, as_bound, as_literal
 from stowage.spec import SpaceSpec
 
 _MODES = ("append", "overwrite", "errorifexists", "error", "ignore")
@@ -29,10 +29,14 @@ class SpaceStore:
         self.spark = spark
         self.root = root
         self._root = Folder(spark, root)
+        self._spaces: dict[str, Snapshots] = {}
+        self._scratches: list[Scratch] = []
 
     # Definitions
 
     def create(self, space: str, spec: SpaceSpec, if_not_exists: bool = False) -> None:
+        if space.startswith("."):
+            raise ValueError("names of spaces do not start with a dot")
         if not Snapshots.create(self.spark, self._root.folder(space), spec) and not if_not_exists:
             raise ValueError(f"space {space!r} already exists")
 
@@ -47,7 +51,19 @@ class SpaceStore:
         return self.spec(space).schema()
 
     def _space(self, space: str) -> Snapshots:
-        return Snapshots(self.spark, self._root.folder(space))
+        if space not in self._spaces:
+            self._spaces[space] = Snapshots(self.spark, self._root.folder(space))
+        return self._spaces[space]
+
+    def _scratch(self) -> Scratch:
+        """A scratch folder under the store's root, which all executors reach."""
+        self._scratches.append(Scratch(self.spark, self._root.within(".scratch")))
+        return self._scratches[-1]
+
+    def release(self) -> None:
+        """Delete the scratch tables behind results of this store: those of :meth:`pages` and of reports."""
+        while self._scratches:
+            self._scratches.pop().remove()
 
     # Reads
 
@@ -71,7 +87,7 @@ class SpaceStore:
         """
         read = ReadOptions.resolve(self.spark, options, space=space, conditions=conditions)
         snapshots = self._space(read.space)
-        df = apply_conditions(snapshots.read(snapshots.current()), snapshots.spec, read.conditions, ordered)
+        df, _ = self._conditioned(snapshots, read.conditions, ordered)
         if schema is not None or required is not None:
             df = to_rows(df, schema or snapshots.spec.schema(), required)
         if partitions is not None:
@@ -79,6 +95,39 @@ class SpaceStore:
             df = df.repartitionByRange(partitions, *dict.fromkeys([*(by or ()), *[k for k in key if k in df.columns]]))
         return df
 
+    def _conditioned(
+        self, snapshots: Snapshots, conditions: Conditions, ordered: bool = True
+    ) -> tuple[DataFrame, Row | None]:
+        """A scan of the files that can hold what is asked for, and the last position of a limited one.
+
+        With a limit, its end is found first over the ordering fields alone, so that
+        other fields are read for the stretch up to it.
+        """
+        version, spec = snapshots.current(), snapshots.spec
+        if conditions == Conditions():
+            return snapshots.read(version), None
+        order = scan_order(spec, conditions.index)
+        low, need = None, conditions.limit
+        if order[0] == spec.primary_key[0]:
+            starts = []
+            if conditions.greater_than is not None:
+                starts.append(conditions.greater_than[0])
+            if conditions.position is not None:
+                starts.append(position_values(spec, conditions, order)[0])
+            bounds = [as_bound(v, snapshots.first_type) for v in starts if v is not None]
+            low = max((b for b in bounds if b is not None), default=None)
+        df, files = snapshots.read(version), None
+        if order[0] == spec.primary_key[0]:
+            files, high = snapshots.stretch(version, low, need if list(order) == list(spec.primary_key) else None)
+            if len(files) < len(version.files):
+                df = snapshots.read(version, files)
+            if high is not None:
+                df = df.where(F.col(order[0]) <= as_literal(high, snapshots.first_type))
+        if need is None:
+            return apply_conditions(df, spec, conditions, ordered), None
+        last = end_of(df, spec, conditions) if need else None
+        return (df.limit(0) if last is None else up_to(df, spec, conditions, last)), last
+
     def scan_as(
         self,
         space: str,
@@ -87,7 +136,7 @@ class SpaceStore:
         conditions: Conditions | None = None,
         columns: Sequence[str] | None = None,
     ) -> DataFrame:
-        """A scan through ``converter``, which maps a pandas batch to rows of ``schema``.
+        """A scan through ``converter``, which maps a pandas batch of Arrow types to rows of ``schema``.
 
         Only ``columns`` are read, if given.
         """
@@ -117,7 +166,10 @@ class SpaceStore:
         ``size`` is ``cursorBatchSize`` unless given.
         """
         read = ReadOptions.resolve(self.spark, options, space=space, cursor_batch_size=size)
-        return next_page(self.scan(read.space), self.spec(read.space), index, after, read.cursor_batch_size)
+        conditions = Conditions(index=index).with_limit(read.cursor_batch_size)
+        if after is not None:
+            conditions = conditions.start_after(after)
+        return self._conditioned(self._space(read.space), conditions)
 
     def pages(
         self,
@@ -130,18 +182,19 @@ class SpaceStore:
         """The whole space with the 0-based ``page`` of each row in index order.
 
         Of the fields, the ordering ones and ``columns`` are read; all by default.
+        The rows lie in scratch until :meth:`release`.
         """
         read = ReadOptions.resolve(self.spark, options, space=space, cursor_batch_size=size)
         spec = self.spec(read.space)
         if columns is not None:
             columns = list(dict.fromkeys([*scan_order(spec, index), *columns]))
         df = self.scan(read.space, required=columns)
-        return number_pages(df, spec, index, read.cursor_batch_size, Scratch(self.spark))
+        return number_pages(df, spec, index, read.cursor_batch_size, self._scratch())
 
     def is_empty(self, space: str) -> bool:
         snapshots = self._space(space)
         version = snapshots.current()
-        return not version.groups or snapshots.read(version).isEmpty()
+        return not sum(f.rows for f in version.files)
 
     def non_empty(self, space: str) -> bool:
         return not self.is_empty(space)
@@ -152,8 +205,8 @@ class SpaceStore:
         """Remove all rows; the definition stays."""
         snapshots = self._space(space)
         base = snapshots.current()
-        if base.groups:
-            snapshots.add(base, None, replaced=set(base.groups))
+        if base.files:
+            snapshots.add(base, None, base.files)
 
     def vacuum(self, space: str) -> None:
         """Delete the files of earlier versions. Not while a load or an older scan runs."""
@@ -184,6 +237,8 @@ class SpaceStore:
         Refused rows raise :class:`SpaceWriteError` once the good ones are
         committed, or are only reported with ``on_error="report"``.
 
+        A report has one row per batch; after an exception, that of its report.
+
         ``stable_input`` promises that ``df`` gives the same rows at every
         evaluation, as a scan of files does. A load without bad rows, repeated
         keys or unique indexes then writes no scratch copy of it.
@@ -192,11 +247,12 @@ class SpaceStore:
         mode = mode.lower()
         if mode not in _MODES:
             raise ValueError(f"unknown mode {mode!r}; known: {', '.join(_MODES)}")
-        if mode in ("errorifexists", "error", "ignore") and self.non_empty(write.space):
+        base = self._space(write.space).current()
+        if mode in ("errorifexists", "error", "ignore") and sum(f.rows for f in base.files):
             if mode == "ignore":
-                return WriteReport(write.space, self._space(write.space).current().number, dict.fromkeys(STATUSES, 0))
+                return WriteReport(write.space, base.number, dict.fromkeys(STATUSES, 0))
             raise SpaceNotEmpty(f"space {write.space!r} already exists and contains data")
-        return self._load(df, write, mode == "overwrite", False, by, order_by, write_part, on_error, stable_input)
+        return self._load(df, write, base, mode == "overwrite", False, by, order_by, write_part, on_error, stable_input)
 
     def replace_many(self, df: DataFrame, space: str | None = None, **settings) -> WriteReport:
         """Insert or replace by primary key."""
@@ -215,42 +271,41 @@ class SpaceStore:
     ) -> WriteReport:
         """Insert; a key that the space or an earlier row of the load has is refused."""
         write = WriteOptions.resolve(self.spark, options, space=space, **given)
-        return self._load(df, write, False, True, by, order_by, write_part, on_error, False)
+        base = self._space(write.space).current()
+        return self._load(df, write, base, False, True, by, order_by, write_part, on_error, False)
 
     def insert(self, df: DataFrame, space: str, overwrite: bool = False, **settings) -> WriteReport:
         """Insert into a relation: overwrite it, or fill it if it is empty."""
         return self.write(df, space, "overwrite" if overwrite else "errorifexists", **settings)
 
     def _load(
-        self, df, write: WriteOptions, replace_all, strict, by, order_by, write_part, on_error, stable
+        self, df, write: WriteOptions, base: Version, replace_all, strict, by, order_by, write_part, on_error, stable
     ) -> WriteReport:
         if on_error not in ("raise", "report"):
             raise ValueError(f"on_error is 'raise' or 'report', not {on_error!r}")
         snapshots = self._space(write.space)
-        spec, base = snapshots.spec, snapshots.current()
         old = Version(base.number) if replace_all else base
-        scratch = Scratch(self.spark)
+        scratch = self._scratch()
         report = None
         try:
-            landing = land(df, spec, scratch, write.transform_field_names, by, order_by, write_part, stable)
-            load = Load(snapshots, old, landing, write)
-            if strict:
-                load.refuse_conflicts()
-            accepted = load.accepted()
+            landing = land(df, snapshots.spec, scratch, write.transform_field_names, by, order_by, write_part, stable)
+            load = Load(snapshots, old, landing, write, strict)
+            load.settle()
             if load.good:
-                accepted = load.one_per_key(accepted)
-                accepted = load.unique(accepted)
-                rows, replaced = load.merged(accepted)
-                version = snapshots.add(base, rows, set(base.groups) if replace_all else replaced)
-            elif replace_all and base.groups:
-                version = snapshots.add(base, None, set(base.groups))
+                rows, dropped = load.merged(load.one_per_key(load.accepted()))
+                version = snapshots.add(base, rows, base.files if replace_all else dropped)
+            elif replace_all and base.files:
+                version = snapshots.add(base, None, base.files)
             else:
                 version = base
-            report = load.report(version)
+            report = load.report(version, on_error == "report")
         finally:
-            # The batches of a failed load are read from scratch later on.
-            if report is None or not report.failed:
+            # The batches of a report are read from scratch later on.
+            if report is None or report.batches is None:
                 scratch.remove()
+                self._scratches.remove(scratch)
+            else:
+                report.scratch = scratch
         if report.failed and on_error == "raise":
             raise SpaceWriteError(report.message, report)
         return report

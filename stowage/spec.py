@@ -13,7 +13,7 @@ from stowage.functions.types import spark_type
 
 
 # Names of the columns that a load adds to its records.
-_RESERVED = re.compile(r"_seq|_group|_problems|_part|_order\d+")
+_RESERVED = re.compile(r"_seq|_file|_key|_values|_reason|_problems|_part|_order\d+")
 
 
 @dataclass(frozen=True)
@@ -43,16 +43,15 @@ class SpaceSpec:
     """What a space holds.
 
     ``shards`` is the number of shards that ``bucket_field`` (when there is one)
-    is filled with. ``groups`` is the number of storage folders the keys are
-    hashed into: a load rewrites only the groups it changes, so pick it so that
-    one group is a few gigabytes.
+    is filled with. ``max_loads`` is how many loads a space may consist of
+    before a load writes the smaller half of them anew together with its rows.
     """
 
     fields: tuple[Field, ...]
     indexes: tuple[Index, ...]
     bucket_field: str | None = None
     shards: int = 2
-    groups: int = 8
+    max_loads: int = 16
 
     def __post_init__(self):
         object.__setattr__(self, "fields", tuple(self.fields))
@@ -68,15 +67,20 @@ class SpaceSpec:
         for index in self.indexes:
             if missing := [f for f in index.fields if f not in known]:
                 raise ValueError(f"index {index.name!r} uses unknown fields {missing}")
+            if unordered := [f for f in index.fields if isinstance(spark_type(self.field(f).type), T.MapType)]:
+                raise ValueError(f"index {index.name!r} uses fields {unordered}, which have no order")
         if self.bucket_field is not None and self.bucket_field not in known:
             raise ValueError(f"unknown bucket field {self.bucket_field!r}")
-        if self.shards < 1 or self.groups < 1:
-            raise ValueError("shards and groups must be positive")
+        if self.shards < 1 or self.max_loads < 1:
+            raise ValueError("shards and max_loads must be positive")
 
     @property
     def names(self) -> list[str]:
         return [f.name for f in self.fields]
 
+    def field(self, name: str) -> Field:
+        return next(f for f in self.fields if f.name == name)
+
     @property
     def primary_key(self) -> tuple[str, ...]:
         return self.indexes[0].fields
@@ -105,7 +109,7 @@ class SpaceSpec:
             return False
         if name in self.primary_key:
             return True
-        return not next(f for f in self.fields if f.name == name).nullable
+        return not self.field(name).nullable
 
     def schema(self) -> T.StructType:
         """Spark schema of a scan; every field is nullable there."""

@@ -1,60 +1,42 @@
-"""Spaces and rows shared by the tests."""
+"""Spaces and rows shared by the tests: a small harbour register."""
 
 from stowage import Field, Index, SpaceSpec
 
-BOOKS = SpaceSpec(
+VESSELS = SpaceSpec(
     (
-        Field("id", "unsigned"),
-        Field("bucket_id", "unsigned"),
-        Field("unique_key", "string"),
-        Field("book_name", "string"),
-        Field("author", "string"),
-        Field("year", "unsigned", True),
-        Field("issuerAddress", "any", True),
-        Field("storeAddresses", "array", True),
-        Field("readers", "array", True),
-        Field("issueDate", "string", True),
+        Field("imo", "unsigned"),
+        Field("name", "string"),
+        Field("berth_shard", "unsigned"),
+        Field("flag", "string"),
+        Field("tonnes", "number"),
+        Field("in_port", "boolean", True),
+        Field("holds", "array", True),
+        Field("papers", "any", True),
+        Field("radio", "map", True),
     ),
-    (
-        Index("id", ("id",)),
-        Index("inx_author", ("author",), unique=False),
-        Index("bucket_id", ("bucket_id",), unique=False),
-        Index("name", ("book_name",)),
-    ),
-    bucket_field="bucket_id",
+    (Index("imo", ("imo",)), Index("by_flag", ("flag",), unique=False), Index("by_name", ("name",))),
+    bucket_field="berth_shard",
+    shards=3,
 )
 
-BOOK_ROWS = [
-    (1, None, "a1", "Don Quixote", "Miguel de Cervantes", 1605),
-    (2, None, "a2", "The Great Gatsby", "F. Scott Fitzgerald", 1925),
-    (3, None, "a3", "War and Peace", "Leo Tolstoy", 1869),
+VESSEL_COLUMNS = "imo int, name string, berth_shard int, flag string, tonnes double"
+VESSEL_ROWS = [
+    (11, "Amber Tide", None, "NO", 900.5),
+    (12, "Quiet Sound", None, "DK", 120.0),
+    (13, "Long Reach", None, "FI", 4400.25),
 ]
-BOOK_COLUMNS = "id int, bucket_id int, unique_key string, book_name string, author string, year int"
-
-ORDERS = SpaceSpec(
-    (
-        Field("id", "unsigned"),
-        Field("bucket_id", "unsigned"),
-        Field("order_type", "string"),
-        Field("order_value", "number"),
-        Field("order_items", "array"),
-        Field("options", "map"),
-        Field("cleared", "boolean"),
-    ),
-    (Index("id", ("id",)), Index("bucket_id", ("bucket_id",), unique=False)),
-    bucket_field="bucket_id",
-)
 
 
-def books(spark):
-    return spark.createDataFrame(BOOK_ROWS, BOOK_COLUMNS).coalesce(1)
+def vessels(spark):
+    return spark.createDataFrame(VESSEL_ROWS, VESSEL_COLUMNS).coalesce(1)
 
 
-def book_store(store):
-    store.create("books", BOOKS)
-    store.write(books(store.spark), "books")
+def harbour(store):
+    """``store`` with a space of three vessels."""
+    store.create("vessels", VESSELS)
+    store.write(vessels(store.spark), "vessels")
     return store
 
 
-def ids(df, name="id"):
+def ids(df, name="imo"):
     return sorted(r[0] for r in df.select(name).collect())

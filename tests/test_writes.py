@@ -1,141 +1,129 @@
 import itertools
+import os
 import random
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from spaces import BOOK_COLUMNS, BOOKS, ORDERS, book_store, books, ids
+from spaces import VESSELS, harbour, ids, vessels
 from stowage import ConcurrentWrite, Field, Index, SpaceNotEmpty, SpaceSpec, SpaceStore, SpaceWriteError
 from stowage.operators.landing import Landing
-from stowage.sources import load as load_module
-
-CAMEL = "id int, bucketId int, orderType string, orderValue decimal(20,10), orderItems array<int>, options map<string,string>, cleared boolean"
-
-
-def nine_orders(spark, suffix=""):
-    rows = [
-        (i, random.randint(1, 2), f"type{i % 2}{suffix}", Decimal("0.25") * i, [1, 2, 3],
-         {"segment": "vip", "system": "internal"}, True)
-        for i in range(1, 10)
-    ]
-    return spark.createDataFrame(rows, CAMEL)
+from stowage.sources import store as store_module
+
+def parcels(spark, depot):
+    """Seven parcels under names in camel case; keys 100 to 106."""
+    return spark.range(100, 107).select(
+        F.col("id").cast("int").alias("parcelNo"),
+        F.lit(depot).alias("depotName"),
+        (F.col("id") / 8).cast("decimal(12,3)").alias("grossWeight"),
+        F.array(F.col("id") % 3, F.lit(None).cast("bigint")).alias("itemCodes"),
+        F.create_map(F.lit("zone"), (F.col("id") % 2).cast("string")).alias("labels"),
+        (F.col("id") % 2 == 0).alias("sealed"),
+    )
 
 
-def types_end(store):
-    found = store.scan("orders").select(F.substring("order_type", -3, 3)).collect()
-    assert len(found) == 9
-    return {r[0] for r in found}
+PARCELS = SpaceSpec(
+    (
+        Field("parcel_no", "unsigned"),
+        Field("depot_name", "string"),
+        Field("gross_weight", "number"),
+        Field("item_codes", "array"),
+        Field("labels", "map"),
+        Field("sealed", "boolean"),
+    ),
+    (Index("parcel_no", ("parcel_no",)),),
+)
 
 
-def test_mode_matrix(spark, store):
-    store.create("orders", ORDERS)
+def test_modes(spark, store):
+    store.create("parcels", PARCELS)
 
-    def write(mode, suffix):
-        store.write(nine_orders(spark, suffix), "orders", mode, {"stowage.transformFieldNames": "snake_case"})
+    def depots(mode, depot):
+        store.write(parcels(spark, depot), "parcels", mode, {"stowage.transformFieldNames": "snake_case"})
+        found = store.scan("parcels").groupBy("depot_name").count().collect()
+        assert sum(r["count"] for r in found) == 7
+        return {r.depot_name for r in found}
 
-    write("append", "")
-    rows = store.scan("orders").orderBy("id").collect()
-    assert [r.id for r in rows] == list(range(1, 10))
-    assert all(r.bucket_id in (1, 2) and r.cleared for r in rows)
-    assert rows[2].order_value == 0.75 and rows[2].order_items == ["1", "2", "3"]
-    assert rows[2].options == {"segment": "vip", "system": "internal"}
-    write("overwrite", "222")
-    assert types_end(store) == {"222"}
-    write("append", "333")
-    assert types_end(store) == {"333"}
+    assert depots("ignore", "Oslo") == {"Oslo"}  # the space is empty
+    assert depots("append", "Turku") == {"Turku"}  # replaced by key
+    assert depots("ignore", "Riga") == {"Turku"}
+    assert depots("overwrite", "Riga") == {"Riga"}
     with pytest.raises(SpaceNotEmpty, match="already exists"):
-        write("errorifexists", "444")
-    store.truncate("orders")
-    write("errorifexists", "444")
-    assert types_end(store) == {"444"}
-    write("ignore", "555")
-    assert types_end(store) == {"444"}
-    store.truncate("orders")
-    write("ignore", "555")
-    assert types_end(store) == {"555"}
+        depots("errorifexists", "Kiel")
+    store.truncate("parcels")
+    assert depots("errorifexists", "Kiel") == {"Kiel"}
     with pytest.raises(ValueError, match="unknown mode"):
-        write("merge", "")
+        depots("merge", "Bremen")
+    row = store.scan("parcels").where("parcel_no = 103").first()
+    assert (row.gross_weight, row.item_codes, row.labels, row.sealed) == (12.875, ["1", None], {"zone": "1"}, False)
 
 
 def test_missing_field_is_refused(spark, store):
-    store.create("books", BOOKS)
-    df = spark.sql(
-        "SELECT 1 AS id, null AS bucketId, 'Don Quixote' AS bookName, 'Miguel de Cervantes' AS author, 1605 AS year "
-        "UNION ALL SELECT 2, null, 'The Great Gatsby', 'F. Scott Fitzgerald', 1925 "
-        "UNION ALL SELECT 2, null, 'War and Peace', 'Leo Tolstoy', 1869"
-    )
-    with pytest.raises(SpaceWriteError, match=r"field 3 \(unique_key\): expected string, got nil"):
-        store.write(df, "books", transform_field_names="snake_case")
-    assert store.is_empty("books")
+    store.create("vessels", VESSELS)
+    df = vessels(spark).drop("flag")
+    with pytest.raises(SpaceWriteError, match=r"field 4 \(flag\): expected string, got nil \(3\)"):
+        store.write(df, "vessels")
+    assert store.is_empty("vessels")
 
 
-@pytest.mark.parametrize("transform", ["snake_case", "none"])
+@pytest.mark.parametrize("transform", ["upper_case", "none"])
 def test_name_mapping(spark, store, transform):
-    store.create("books", BOOKS)
-    a, b, c = ("bucketId", "bookName", "uniqueKey") if transform == "snake_case" else ("bucket_id", "book_name", "unique_key")
-    df = spark.sql(
-        f"SELECT 1 AS id, null AS {a}, 'Miguel de Cervantes' AS author, 1605 AS year, 'Don Quixote' AS {b}, 'k1' AS {c} "
-        "UNION ALL SELECT 2, null, 'F. Scott Fitzgerald', 1925, 'The Great Gatsby', 'k2' "
-        "UNION ALL SELECT 3, null, 'Leo Tolstoy', 1869, 'War and Peace', 'k3'"
-    )
-    store.write(df, "books", transform_field_names=transform)
-    got = store.scan("books").orderBy("id").collect()
-    assert [(r.author, r.book_name, r.year, r.unique_key) for r in got] == [
-        ("Miguel de Cervantes", "Don Quixote", 1605, "k1"),
-        ("F. Scott Fitzgerald", "The Great Gatsby", 1925, "k2"),
-        ("Leo Tolstoy", "War and Peace", 1869, "k3"),
-    ]
+    fields = tuple(Field(n.upper() if transform == "upper_case" else n, "string") for n in ("code", "colour"))
+    store.create("t", SpaceSpec(fields, (Index("pk", (fields[0].name,)),)))
+    df = spark.createDataFrame([("red", "x1"), ("blue", "x2")], "colour string, code string")
+    store.write(df, "t", transform_field_names=transform)
+    assert {tuple(r) for r in store.scan("t").collect()} == {("x1", "red"), ("x2", "blue")}
 
 
-def books_with_a_hole(spark):
-    rows = [
-        (1, None, "Miguel de Cervantes", 1605, "Don Quixote", "lolkek"),
-        (None, None, "Miguel de Cervantes", 1605, "Don Quixote", "lolkek"),
-        (3, None, "F. Scott Fitzgerald", 1925, "The Great Gatsby", "lolkek1"),
-    ]
-    return spark.createDataFrame(
-        rows, "id int, bucketId int, author string, year int, bookName string, uniqueKey string"
-    ).coalesce(1)
+def with_a_hole(spark):
+    """Five vessels, the second and fourth without a key or a name."""
+    rows = [(21, "Far Shore", "NO"), (None, "Drifter", "NO"), (23, "Tern", "IS"), (24, None, "IS"), (25, "Skua", "FO")]
+    df = spark.createDataFrame(rows, "imo int, name string, flag string").coalesce(1)
+    return df.withColumn("tonnes", F.lit(1.5))
 
 
 def test_stop_on_error(spark, store):
-    book_store(store)
-    options = {
-        "stowage.stopOnError": "true",
-        "stowage.rollbackOnError": "true",
-        "stowage.batchSize": "2",
-        "stowage.transformFieldNames": "snake_case",
-    }
-    with pytest.raises(SpaceWriteError, match="Dataset write failed") as caught:
-        store.write(books_with_a_hole(spark), "books", "overwrite", options)
-    assert ids(store.scan("books")) == [1]
+    harbour(store)
+    options = {"stowage.stopOnError": "true", "stowage.rollbackOnError": "true", "stowage.batchSize": "2"}
+    with pytest.raises(SpaceWriteError, match="left rows out") as caught:
+        store.write(with_a_hole(spark), "vessels", "overwrite", options)
+    # the refused row has no key, hence no shard: nothing is undone with it
+    assert ids(store.scan("vessels")) == [21]
     report = caught.value.report
-    assert report.rows == {"written": 1, "rejected": 1, "rolled_back": 0, "skipped": 1}
+    # a row that cannot be written anywhere is counted as such, also after the stop
+    assert report.rows == {"written": 1, "rejected": 2, "rolled_back": 0, "skipped": 2}
     assert [tuple(r) for r in report.batches.orderBy("batch").collect()] == [
         (0, 0, 2, 1, 1, 0, 0),
-        (0, 1, 1, 0, 0, 0, 1),
+        (0, 1, 2, 0, 1, 0, 1),
+        (0, 2, 1, 0, 0, 0, 1),
     ]
 
 
 def test_continue_on_error(spark, store):
-    book_store(store)
+    harbour(store)
     with pytest.raises(SpaceWriteError):
-        store.write(
-            books_with_a_hole(spark), "books", "overwrite",
-            stop_on_error=False, batch_size=1, transform_field_names="snake_case",
-        )
-    assert ids(store.scan("books")) == [1, 3]
-
-
-def test_reported_errors(spark, store):
-    store.create("books", BOOKS)
-    report = store.write(
-        books_with_a_hole(spark), "books", on_error="report", stop_on_error=False, transform_field_names="snake_case"
-    )
-    assert report.failed and report.rows["rejected"] == 1 and "expected unsigned, got nil" in report.message
+        store.write(with_a_hole(spark), "vessels", "overwrite", stop_on_error=False, batch_size=1)
+    assert ids(store.scan("vessels")) == [21, 23, 25]
+
+
+def test_reports_hold_every_reason_and_batch(spark, store):
+    store.create("vessels", VESSELS)
+    df = with_a_hole(spark).withColumn("tonnes", F.when(F.col("flag") != "FO", F.col("tonnes")))
+    report = store.write(df, "vessels", on_error="report", stop_on_error=False, rollback_on_error=False, batch_size=3)
+    assert report.failed and report.rows["rejected"] == 3
+    assert report.reasons == [
+        ("field 1 (imo): expected unsigned, got nil", 1),
+        ("field 2 (name): expected string, got nil", 1),
+        ("field 5 (tonnes): expected number, got nil", 1),
+    ]
+    assert all(reason in report.message for reason, _ in report.reasons)
+    assert sorted((r.batch, r.expected, r.rejected) for r in report.batches.collect()) == [(0, 3, 1), (1, 2, 2)]
+    fine = store.write(vessels(spark), "vessels", on_error="report", batch_size=2)
+    assert not fine.failed and fine.reasons == []
+    assert sorted((r.batch, r.expected, r.written) for r in fine.batches.collect()) == [(0, 2, 2), (1, 1, 1)]
     with pytest.raises(ValueError, match="on_error"):
-        store.write(books(spark), "books", on_error="ignore")
+        store.write(vessels(spark), "vessels", on_error="ignore")
 
 
 # Stop, rollback -> written, rejected, rolled back, skipped, of the
@@ -170,30 +158,17 @@ def test_batch_outcome(spark, store, stop, rollback):
     assert store.scan("events").count() == report.rows["written"]
 
 
-def decimals(spark):
-    rows = [
-        (None, Decimal(f"{10855296 + i}00000.134526900004130000"), Decimal(f"40450{30147 + i}00028"))
-        for i in range(100)
-    ]
-    return spark.createDataFrame(rows, "bucket_id int, idreg decimal(38,18), regnum decimal(38,0)")
-
-
-@pytest.mark.parametrize("stop,batch", list(itertools.product([False, True], [9, 10, 100, 101])))
-def test_decimals_from_a_table(spark, store, tmp_path, stop, batch):
-    spec = SpaceSpec(
-        (Field("bucket_id", "unsigned"), Field("idreg", "decimal"), Field("regnum", "decimal", True)),
-        (Index("index_id", ("idreg",)), Index("bucket_id", ("bucket_id",), unique=False)),
-        bucket_field="bucket_id",
-    )
-    store.create("reg_numbers", spec)
-    spark.sql("DROP TABLE IF EXISTS reg_numbers")
-    decimals(spark).write.format("orc").option("path", str(tmp_path / "orc")).saveAsTable("reg_numbers")
-    store.write(spark.table("reg_numbers"), "reg_numbers", "overwrite", stop_on_error=stop, batch_size=batch)
-    spark.sql("DROP TABLE reg_numbers")
-    got = store.scan("reg_numbers").orderBy("idreg").collect()
-    assert [r.idreg for r in got] == [r.idreg for r in decimals(spark).collect()]
-    assert [r.regnum for r in got] == [r.regnum for r in decimals(spark).collect()]
-    assert store.schema("reg_numbers")["regnum"].dataType.simpleString() == "decimal(38,18)"
+@pytest.mark.parametrize("stop,batch", list(itertools.product([False, True], [1, 49, 50, 51])))
+def test_long_decimals_from_a_table(spark, store, tmp_path, stop, batch):
+    """Fifty numbers with all 38 digits in use, and integers wider than 64 bits."""
+    rows = [(Decimal(7**22 + i) + Decimal(i + 1).scaleb(-18), Decimal(3**38 + i)) for i in range(50)]
+    df = spark.createDataFrame(rows, "amount decimal(38,18), serial decimal(38,0)")
+    store.create("ledger", SpaceSpec.from_schema(df.schema, ["amount"]))
+    spark.sql("DROP TABLE IF EXISTS ledger")
+    df.write.format("orc").option("path", str(tmp_path / "orc")).saveAsTable("ledger")
+    store.write(spark.table("ledger"), "ledger", "overwrite", stop_on_error=stop, batch_size=batch)
+    spark.sql("DROP TABLE ledger")
+    assert sorted((r.amount, r.serial) for r in store.scan("ledger").collect()) == rows
 
 
 def test_last_row_of_a_key_wins(spark, store):
@@ -212,7 +187,7 @@ def test_random_loads_match_a_dictionary(spark, store):
     """Loads of every size against a plain dictionary; keys stay unique throughout."""
     random.seed(7)
     schema = "k string, n int, v int"
-    store.create("t", SpaceSpec.from_schema(spark.createDataFrame([], schema).schema, ["k", "n"], groups=5))
+    store.create("t", SpaceSpec.from_schema(spark.createDataFrame([], schema).schema, ["k", "n"], max_loads=3))
     expected = {}
     for load in range(6):
         size = random.choice([1, 3, 40, 200])
@@ -238,7 +213,7 @@ def test_keys_of_every_type(spark, store, key):
         F.lit(1).alias("v"),
         "id",
     )
-    store.create("t", SpaceSpec.from_schema(rows.drop("id").schema, ["k"], groups=3))
+    store.create("t", SpaceSpec.from_schema(rows.drop("id").schema, ["k"]))
     store.write(rows.where("id < 40").drop("id"), "t")
     store.write(rows.where("id >= 20").withColumn("v", F.lit(2)).drop("id"), "t")
     got = {r.v: r["count"] for r in store.scan("t").groupBy("v").count().collect()}
@@ -247,31 +222,42 @@ def test_keys_of_every_type(spark, store, key):
     assert page.count() == 25 and store.page("t", after=last, size=100)[0].count() == 35
 
 
-def test_upsert_leaves_other_groups_alone(store, spark, orders):
-    store.create("orders", SpaceSpec.from_schema(orders.schema, ["o_orderkey"], groups=16))
-    store.write(orders, "orders")
+def shuffled(spark, partitions, action):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        return action()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_upsert_rewrites_the_files_it_must(store, spark, orders):
+    store.create("orders", SpaceSpec.from_schema(orders.schema, ["o_orderkey"]))
+    shuffled(spark, 12, lambda: store.write(orders, "orders"))
     space = store._space("orders")
     before = space.current()
-    store.write(orders.where("o_orderkey = 5").withColumn("o_orderstatus", F.lit("X")), "orders")
+    keys = [r[0] for r in orders.select("o_orderkey").orderBy("o_orderkey").collect()]
+    some = [*keys[:10], *keys[-10:]]  # the first and the last file
+    store.write(orders.where(F.col("o_orderkey").isin(some)).withColumn("o_orderstatus", F.lit("X")), "orders")
     after = space.current()
-    changed = [g for g in before.groups if before.groups[g] != after.groups[g]]
-    assert len(changed) == 1 and len(after.groups[changed[0]]) == 1
-    # New keys only: folders are added, none is rewritten.
+    gone = [f for f in before.files if f not in after.files]
+    assert len(before.files) == 12 and len(gone) == 2
+    assert sorted(r[0] for r in store.scan("orders").where("o_orderstatus = 'X'").select("o_orderkey").collect()) == some
+    # New keys only: files are added, none is rewritten.
     store.write(orders.withColumn("o_orderkey", F.col("o_orderkey") + 10**6), "orders")
-    last = space.current()
-    assert all(last.groups[g][:-1] == after.groups[g] for g in after.groups)
+    assert set(after.files) <= set(space.current().files)
+    assert store.scan("orders").count() == 2 * orders.count()
+    # A vacuum deletes the two files and keeps their neighbours.
+    store.vacuum("orders")
     assert store.scan("orders").count() == 2 * orders.count()
 
 
-def test_crowded_groups_are_rewritten(store, spark, monkeypatch):
-    monkeypatch.setattr(load_module, "_CROWDED", 3)
-    store.create("t", SpaceSpec.from_schema(spark.createDataFrame([], "id int").schema, ["id"], groups=1))
-    sizes = []
-    for i in range(7):
+def test_many_small_loads_are_written_anew(store, spark):
+    store.create("t", SpaceSpec.from_schema(spark.createDataFrame([], "id int").schema, ["id"], max_loads=4))
+    for i in range(14):
         store.write(spark.createDataFrame([(i,)], "id int"), "t")
-        sizes.append(len(store._space("t").current().groups[0]))
-    assert sizes == [1, 2, 3, 1, 2, 3, 1]
-    assert ids(store.scan("t")) == list(range(7))
+        assert len(store._space("t").current().loads()) <= 4
+    assert ids(store.scan("t"), "id") == list(range(14))
 
 
 def test_large_replacement_without_broadcast(spark, store, orders):
@@ -309,86 +295,145 @@ def test_stable_input(store, orders, monkeypatch):
 
 
 def test_loading_a_space_from_itself(store):
-    book_store(store)
-    store.write(store.scan("books").withColumn("year", F.col("year") + 1), "books", "overwrite")
-    assert ids(store.scan("books"), "year") == [1606, 1870, 1926]
+    harbour(store)
+    store.write(store.scan("vessels").withColumn("tonnes", F.col("tonnes") + 1), "vessels", "overwrite")
+    assert ids(store.scan("vessels"), "tonnes") == [121.0, 901.5, 4401.25]
 
 
 def test_a_scan_keeps_its_version(store):
-    book_store(store)
-    before = store.scan("books")
-    store.truncate("books")
-    assert before.count() == 3 and store.is_empty("books")
-    store.write(books(store.spark), "books")
-    store.vacuum("books")
-    assert ids(store.scan("books")) == [1, 2, 3]
+    harbour(store)
+    before = store.scan("vessels")
+    store.truncate("vessels")
+    assert before.count() == 3 and store.is_empty("vessels")
+    store.write(vessels(store.spark), "vessels")
+    store.vacuum("vessels")
+    assert ids(store.scan("vessels")) == [11, 12, 13]
 
 
 def test_failed_jobs_change_nothing(spark, store):
-    book_store(store)
-    broken = books(spark).withColumn("year", F.expr("CAST(raise_error('broken') AS int)"))
+    harbour(store)
+    broken = vessels(spark).withColumn("tonnes", F.expr("CAST(raise_error('broken') AS double)"))
     with pytest.raises(Exception, match="broken"):
-        store.write(broken, "books", "overwrite")
-    assert ids(store.scan("books")) == [1, 2, 3]
+        store.write(broken, "vessels", "overwrite")
+    assert ids(store.scan("vessels")) == [11, 12, 13]
 
 
 def test_two_writers(store):
-    book_store(store)
-    space = store._space("books")
+    harbour(store)
+    space = store._space("vessels")
     base = space.current()
-    store.truncate("books")
+    store.truncate("vessels")
+    with pytest.raises(ConcurrentWrite):
+        space.add(base, None, base.files)
+    assert store.is_empty("vessels")
+
+
+def test_a_space_filled_meanwhile_is_not_overwritten(spark, store, monkeypatch):
+    """Two stores load an empty space at once: the version that was found empty is the one that is built on."""
+    store.create("vessels", VESSELS)
+    other = SpaceStore(spark, store.root)
+    land = store_module.land
+
+    def late(*given, **named):
+        monkeypatch.setattr(store_module, "land", land)
+        other.write(vessels(spark), "vessels")
+        return land(*given, **named)
+
+    monkeypatch.setattr(store_module, "land", late)
     with pytest.raises(ConcurrentWrite):
-        space.add(base, None, set(base.groups))
-    assert store.is_empty("books")
+        store.write(vessels(spark).limit(1), "vessels", "errorifexists")
+    assert ids(store.scan("vessels")) == [11, 12, 13]
+
+
+KEYED = SpaceSpec((Field("id", "unsigned"), Field("v", "string")), (Index("id", ("id",)),), shards=1)
+
+
+def strict(store, rows, **settings):
+    df = store.spark.createDataFrame(rows, "id int, v string").coalesce(1)
+    report = store.insert_many(df, "t", on_error="report", **settings)
+    return report, {r.id: r.v for r in store.scan("t").collect()}
 
 
 def test_strict_insert(spark, store):
-    book_store(store)
-    more = spark.createDataFrame(
-        [(3, None, "b3", "Again", "X", 1), (4, None, "b4", "New", "Y", 2), (4, None, "b5", "Twice", "Z", 3)], BOOK_COLUMNS
-    ).coalesce(1)
-    report = store.insert_many(more, "books", stop_on_error=False, batch_size=1, on_error="report")
+    store.create("t", KEYED)
+    store.write(spark.createDataFrame([(5, "old")], "id int, v string"), "t")
+    each = {"stop_on_error": False, "batch_size": 1}
+    report, got = strict(store, [(5, "again"), (6, "new"), (6, "twice")], **each)
     assert report.rows == {"written": 1, "rejected": 2, "rolled_back": 0, "skipped": 0}
-    assert {r.id: r.book_name for r in store.scan("books").collect()} == {
-        1: "Don Quixote", 2: "The Great Gatsby", 3: "War and Peace", 4: "New",
-    }
-    with pytest.raises(SpaceWriteError, match="repeated"):
-        store.insert_many(more, "books")
-    assert store.scan("books").count() == 4
+    assert report.reasons == [("its key is in the space or came earlier in the load", 2)]
+    assert got == {5: "old", 6: "new"}
+    with pytest.raises(SpaceWriteError, match="came earlier"):
+        store.insert_many(spark.createDataFrame([(6, "x")], "id int, v string"), "t")
+    # A bad row alone says nothing about keys.
+    report, got = strict(store, [(7, "seven"), (8, None)], **each)
+    assert [reason for reason, _ in report.reasons] == ["field 2 (v): expected string, got nil"] and 7 in got
+
+
+def test_strict_insert_of_a_key_that_was_undone(spark, store):
+    store.create("t", KEYED)
+    settings = {"stop_on_error": False, "rollback_on_error": True, "batch_size": 2}
+    report, got = strict(store, [(1, "x"), (2, None), (1, "y")], **settings)
+    assert got == {1: "y"}
+    assert report.rows == {"written": 1, "rejected": 1, "rolled_back": 1, "skipped": 0}
+    # Within a batch the second copy is refused although both are undone.
+    report, got = strict(store, [(3, "a"), (3, "b"), (3, "c")], **settings)
+    assert report.rows == {"written": 1, "rejected": 1, "rolled_back": 1, "skipped": 0} and got[3] == "c"
 
 
 def test_insert_into(spark, store):
-    store.create("books", BOOKS)
-    store.insert(books(spark), "books")
+    store.create("vessels", VESSELS)
+    store.insert(vessels(spark), "vessels")
     with pytest.raises(SpaceNotEmpty):
-        store.insert(books(spark), "books")
-    store.insert(books(spark).where("id = 1"), "books", overwrite=True)
-    assert ids(store.scan("books")) == [1]
+        store.insert(vessels(spark), "vessels")
+    store.insert(vessels(spark).where("imo = 11"), "vessels", overwrite=True)
+    assert ids(store.scan("vessels")) == [11]
 
 
 def test_shards(spark, store):
-    book_store(store)
-    buckets = {r.id: r.bucket_id for r in store.scan("books").collect()}
-    assert set(buckets.values()) <= {1, 2}
-    given = books(spark).withColumn("bucket_id", F.lit(7))
-    store.write(given, "books")
-    assert {r.bucket_id for r in store.scan("books").collect()} == {7}
+    harbour(store)
+    assert {r.berth_shard for r in store.scan("vessels").collect()} <= {1, 2, 3}
+    store.write(vessels(spark).withColumn("berth_shard", F.lit(7)), "vessels")
+    assert {r.berth_shard for r in store.scan("vessels").collect()} == {7}
 
 
 UNIQUE = SpaceSpec(
     (Field("id", "unsigned"), Field("u", "string", True), Field("w", "string", True)),
     (Index("id", ("id",)), Index("u", ("u",)), Index("w", ("w",))),
+    shards=1,
 )
 
 
-def unique_load(store, rows):
+EACH = {"stop_on_error": False, "rollback_on_error": False}
+
+
+def unique_load(store, rows, **settings):
     df = store.spark.createDataFrame(rows, "id int, u string, w string").coalesce(1)
-    report = store.write(df, "t", on_error="report")
-    got = {r.id: (r.u, r.w) for r in store.scan("t").collect()}
-    for place in (0, 1):
-        values = [v[place] for v in got.values() if v[place] is not None]
-        assert len(values) == len(set(values))
-    return report, got
+    report = store.write(df, "t", on_error="report", **(settings or EACH))
+    return report, {r.id: (r.u, r.w) for r in store.scan("t").collect()}
+
+
+def plain_load(space, rows, batch_size=1000, stop_on_error=False, rollback_on_error=False):
+    """What a load of one part into one shard does, row by row, on a dictionary. Returns the space and the counts."""
+    counts = {"written": 0, "rejected": 0, "rolled_back": 0, "skipped": 0}
+    for at in range(0, len(rows), batch_size):
+        before, taken, bad = dict(space), 0, 0
+        for key, *values in rows[at : at + batch_size]:
+            held = any(v is not None and space[k][i] == v for k in space if k != key for i, v in enumerate(values))
+            if held:
+                bad += 1
+            else:
+                space[key] = tuple(values)
+                taken += 1
+        counts["rejected"] += bad
+        if bad and rollback_on_error:
+            space = before
+            counts["rolled_back"] += taken
+        else:
+            counts["written"] += taken
+        if bad and stop_on_error:
+            counts["skipped"] += max(0, len(rows) - at - batch_size)
+            break
+    return space, counts
 
 
 def test_unique_indexes(store):
@@ -398,51 +443,89 @@ def test_unique_indexes(store):
     # A value that a replaced row gives up may be taken by another.
     report, got = unique_load(store, [(1, "c", None), (5, "a", None)])
     assert got[1] == ("c", None) and got[5] == ("a", None) and not report.failed
-    # A held value may not; the old row of the refused one stays.
-    report, got = unique_load(store, [(2, "c", "x")])
-    assert report.unique_conflicts == 1 and got[2] == ("b", None)
-    # The refusal of 2 keeps "b" held, so 6 is refused as well.
+    # A held value may not; the old row of the refused one stays, and so does what it holds.
     report, got = unique_load(store, [(2, "c", None), (6, "b", None), (7, "d", "y")])
     assert report.unique_conflicts == 2 and report.rows["written"] == 1
-    assert 6 not in got and got[7] == ("d", "y")
+    assert got[2] == ("b", None) and 6 not in got and got[7] == ("d", "y")
+
+
+def test_a_refused_row_holds_nothing(store):
+    store.create("t", UNIQUE)
+    unique_load(store, [(9, "z", "y")])
+    report, got = unique_load(store, [(1, "x", "y"), (2, "x", None)])
+    assert report.rows["rejected"] == 1 and got == {9: ("z", "y"), 2: ("x", None)}
+    assert report.reasons == [("another key holds its value of unique index 'w'", 1)]
+    # Of one key, the last row that was taken in stays.
+    report, got = unique_load(store, [(1, "a", None), (1, "z", None)])
+    assert got[1] == ("a", None) and report.rows["written"] == 1 and report.superseded == 0
+
+
+def test_a_chain_of_values(store):
+    """Each key takes what the next one gives up; the rounds don't follow the chain."""
+    store.create("t", UNIQUE)
+    size = 40
+    unique_load(store, [(i, f"u{i}", None) for i in range(size)])
+    report, got = unique_load(store, [(i, f"u{i + 1}", None) for i in reversed(range(size))])
+    assert not report.failed and got == {i: (f"u{i + 1}", None) for i in range(size)}
+    report, got = unique_load(store, [(i, f"u{i + 2}", None) for i in range(size)])
+    assert report.rows["rejected"] == size - 1 and got[size - 1] == (f"u{size + 1}", None)
 
 
-def test_unique_indexes_at_random(spark, store):
+@pytest.mark.parametrize("stop,rollback", [(False, False), (True, False), (False, True), (True, True)])
+def test_unique_indexes_at_random(spark, store, stop, rollback):
     random.seed(11)
     store.create("t", UNIQUE)
-    for _ in range(3):
+    expected = {}
+    for _ in range(2):
         rows = [
             (random.randint(1, 15), random.choice([None, *"abcdefgh"]), random.choice([None, None, *"mnopq"]))
-            for _ in range(12)
+            for _ in range(20)
         ]
-        report, got = unique_load(store, rows)
-        assert report.rows["written"] + report.rows["rejected"] == 12
+        settings = {"batch_size": 4, "stop_on_error": stop, "rollback_on_error": rollback}
+        report, got = unique_load(store, rows, **settings)
+        expected, counts = plain_load(expected, rows, **settings)
+        assert got == expected
+        assert report.rows == counts
 
 
 def test_unknown_columns_and_steering_columns(spark, store):
-    store.create("books", BOOKS)
-    extra = books(spark).withColumn("colour", F.lit("red"))
+    store.create("vessels", VESSELS)
+    extra = vessels(spark).withColumn("colour", F.lit("red"))
     with pytest.raises(ValueError, match="colour"):
-        store.write(extra, "books")
-    store.write(extra, "books", order_by=["id"], write_part="colour")
-    assert store.scan("books").count() == 3
+        store.write(extra, "vessels")
+    store.write(extra, "vessels", order_by=["imo"], write_part="colour")
+    assert store.scan("vessels").count() == 3
     with pytest.raises(ValueError, match="lacks columns"):
-        store.write(books(spark), "books", order_by=["nothing"])
+        store.write(vessels(spark), "vessels", order_by=["nothing"])
 
 
 def test_create_twice(store):
-    store.create("books", BOOKS)
-    store.create("books", BOOKS, if_not_exists=True)
+    store.create("vessels", VESSELS)
+    store.create("vessels", VESSELS, if_not_exists=True)
     with pytest.raises(ValueError, match="already exists"):
-        store.create("books", BOOKS)
-
+        store.create("vessels", VESSELS)
+    with pytest.raises(ValueError, match="dot"):
+        store.create(".hidden", VESSELS)
 
-def test_scratch_is_removed(spark, tmp_path):
-    import os
 
+def test_scratch_is_removed(spark, store, tmp_path):
     shared = spark.conf.get("spark.checkpoint.dir")
     before = set(os.listdir(shared))
-    store = SpaceStore(spark, str(tmp_path / "spaces"))
-    book_store(store)
-    store.write(books(spark), "books")
+    harbour(store)
+    store.write(vessels(spark), "vessels")
+
+    def left():
+        folder = os.path.join(store.root, ".scratch")
+        return [n for n in os.listdir(folder) if not n.startswith(".")] if os.path.exists(folder) else []
+
+    assert left() == []
+    report = store.write(with_a_hole(spark), "vessels", on_error="report")
+    assert report.batches.count() and len(left()) == 1
+    report.close()
+    assert report.batches is None and left() == []
+    for _ in range(3):
+        assert store.pages("vessels", size=2).count() == store.scan("vessels").count()
+    assert len(left()) == 3
+    store.release()
+    assert left() == []
     assert set(os.listdir(shared)) == before
