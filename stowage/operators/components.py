@@ -10,21 +10,18 @@ from stowage.sources.files import Scratch
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) for every node of ``links`` (columns a and b); a component is named by its least node.
 
-    Each round takes the least label among a node's neighbours, then the label of
-    that label, so that rounds grow with the logarithm of a chain's length.
+    Each round takes the least label among a node and its neighbours, then the label
+    of that label, so that rounds grow with the logarithm of a chain's length.
     """
     both = scratch.table(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
     labels = scratch.table(both.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node")), "labels")
     while True:
-        near = (
-            both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("component").alias("least"))
-        )
+        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("component").alias("least"))
         stepped = labels.join(near, F.col("node") == F.col("a")).select(
-            "node", F.col("component").alias("before"), F.least("component", "least").alias("component")
+            "node", F.col("component").alias("before"), F.least("component", "least").alias("via")
         )
-        stepped = scratch.table(stepped, "stepped")
-        target = stepped.select(F.col("node").alias("via"), F.col("component").alias("next"))
-        jumped = stepped.join(target, F.col("component") == F.col("via")).select("node", "before", F.col("next").alias("component"))
+        of_label = labels.select(F.col("node").alias("label"), F.col("component").alias("next"))
+        jumped = stepped.join(of_label, F.col("via") == F.col("label")).select("node", "before", F.col("next").alias("component"))
         jumped = scratch.table(jumped, "labels")
         labels = jumped.select("node", "component")
         if jumped.where("before != component").isEmpty():
