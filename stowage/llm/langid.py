@@ -274,14 +274,18 @@ def _calibrate(model: Model, langs: list[str], documents: list[str]) -> Model:
     entropy, n = _Scorer(model).entropies(documents)
     pick, best, second = _lowest(entropy)
     known = n > 0
-    right = np.array([model.langs[p] == lang for p, lang in zip(pick, langs)])
+    right = np.array([model.langs[p] == lang for p, lang in zip(pick, langs)], bool)
+    whole = known & right & (n >= 20) & (np.arange(len(n)) < len(short))
     limits = []
     for j in range(len(model.langs)):
-        own = best[: len(short)][(known & right & (pick == j))[: len(short)]]
-        limits.append(float(own.mean() + 6 * own.std() + 0.5) if len(own) >= 20 else -2 * model.floor)
+        own = best[whole & (pick == j)]
+        limits.append(float(np.quantile(own, 0.995)) + 0.4 if len(own) >= 20 else -model.floor)
     if known.sum() < 20:
         return model._replace(limits=limits, calibration=[0.0, 0.0, 0.0, 1.0])
-    weights = logistic(_features(best, second, n)[known], right[known].astype(float), ridge=1.0)
+    # Targets short of certainty, by how many rows speak for them.
+    hits, misses = (known & right).sum(), (known & ~right).sum()
+    target = np.where(right, (hits + 1) / (hits + 2), 1 / (misses + 2))
+    weights = logistic(_features(best, second, n)[known], target[known], ridge=1.0)
     return model._replace(limits=limits, calibration=[float(w) for w in weights])
 
 

@@ -235,6 +235,8 @@ def label_model(
     every, weight = np.concatenate([fired, anchors]).astype(float), np.concatenate([mass, anchor_mass]).astype(float)
     given = np.concatenate([np.full(len(fired), np.nan), labels])
     prior = min(max(float((labels * anchor_mass).sum() / max(anchor_mass.sum(), 1e-9)), 0.01), 0.5) if len(labels) else 0.1
+    if not len(every):
+        return LabelModel(prior, np.full((2, voters), 0.5), np.ones(voters))
     # To begin with: any vote is a sign.
     p = np.where(np.isnan(given), np.clip(0.6 * every.any(axis=1), 0.01, None), given)
     shares = np.ones(voters)
