@@ -14,7 +14,8 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     of that label, so that rounds grow with the logarithm of a chain's length.
     """
     both = scratch.table(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = scratch.table(both.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node")), "labels")
+    labels = both.groupBy("a").agg(F.min("b").alias("least"))
+    labels = scratch.table(labels.select(F.col("a").alias("node"), F.least("a", "least").alias("component")), "labels")
     while True:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("component").alias("least"))
         stepped = labels.join(near, F.col("node") == F.col("a")).select(
