@@ -31,10 +31,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from stowage.llm.tables import bound, scratch, small_batches
 
 SAMPLE_ROWS = 65_536  # rows that the trees are fitted on, at most (and a few more)
-TREES = 16
-LEAF_ROWS = 64
+TREES = 8
+LEAF_ROWS = 256
 MIN_LEAF_SAMPLE = 16
-REACH_ROWS = 4096  # rows in the leaves that a query visits, over all trees
+RECALL = 0.95  # share of the true neighbours to find, as measured on the sample
+TRIALS = 200  # rows of the sample that the recall is measured with
 BLOCK_ROWS = 2048  # members, and queries, that meet in one group
 
 
@@ -109,6 +110,33 @@ def visits(forest: list[Tree], query: np.ndarray, reach: float) -> list[tuple[in
     return found
 
 
+def reach_for(forest: list[Tree], points: np.ndarray, k: int, recall: float) -> int:
+    """How many rows of the sample a query has to reach so that it finds this share of its ``k`` nearest in the sample."""
+    trials = np.random.default_rng(1).permutation(len(points))[:TRIALS]
+    asked = points[trials].copy()
+    asked[:, -1] = 0  # a query has no such component
+    places = [tree.leaves(points) for tree in forest]
+    scores = asked @ points.T
+    scores[np.arange(len(trials)), trials] = -np.inf
+    nearest = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+    reach = max(64, 4 * k)
+    while reach < len(forest) * len(points):
+        found = 0
+        for query, wanted in zip(asked, nearest):
+            length = np.linalg.norm(query)
+            seen = {}
+            for t, leaf in visits(forest, query / length if length else query, reach):
+                seen.setdefault(t, []).append(leaf)
+            hit = np.zeros(len(wanted), bool)
+            for t, leaves in seen.items():
+                hit |= np.isin(places[t][wanted], leaves)
+            found += hit.sum()
+        if found >= recall * nearest.size:
+            return reach
+        reach = reach * 5 // 4
+    return reach
+
+
 def _matrix(column) -> np.ndarray:
     array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     if not len(array):
@@ -197,11 +225,15 @@ def search(
     vec_col: str = "embedding",
     trees: int = TREES,
     leaf_rows: int = LEAF_ROWS,
-    reach_rows: int = REACH_ROWS,
+    recall: float = RECALL,
     sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the ``k`` best rows found for each row where ``is_query`` holds.
 
+    Queries go as far as the share ``recall`` of true neighbours takes, measured by
+    brute force within the sample. A query's neighbours among all rows are nearer
+    than those in a sample, and are found no less often.
+
     ``is_query`` is a condition on a column named ``id``.
     """
     spark = vectors.sparkSession
@@ -217,12 +249,13 @@ def search(
     sample = rows.where(chance < int(share * (1 << 30)) + 1).select("vec").toArrow()["vec"]
     points = _lengthened(_matrix(sample), longest) if len(sample) else np.zeros((0, 1), np.float32)
     least = max(MIN_LEAF_SAMPLE if share < 1 else 2, round(leaf_rows * share))
-    forest = spark.sparkContext.broadcast([grow(points, least, seed) for seed in range(trees)])
+    grown = [grow(points, least, seed) for seed in range(trees)]
+    reach = reach_for(grown, points, min(k, max(1, len(points) - 1)), recall) if len(points) > 1 else 1
+    forest = spark.sparkContext.broadcast(grown)
 
     kind = rows.schema["vec"].dataType.simpleString()
     schema = f"tree int, leaf bigint, id bigint, vec {kind}"
     members = kept.table(rows.mapInArrow(partial(_assign, forest=forest, longest=longest), schema), "members")
-    reach = reach_rows * share
     asking = kept.table(
         rows.where(is_query).repartition(F.xxhash64("id")).mapInArrow(partial(_visit, forest=forest, reach=reach), schema),
         "queries",

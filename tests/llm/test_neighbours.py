@@ -50,19 +50,40 @@ def test_norms_and_ties(spark):
     """Many equal vectors, and a long vector that is nearest by product alone; crowded leaves are dealt into blocks."""
     rows = [(i, [1.0, 0.0, 0.0], "", "") for i in range(300)] + [(300, [5.0, 4.0, 0.0], "", "")]
     got = {}
-    for q, rank, v, s in search(spark, rows, k=4, leaf_rows=8, reach_rows=400):
+    for q, rank, v, s in search(spark, rows, k=4, leaf_rows=8, recall=1.0):
         got.setdefault(q, []).append((rank, v, s))
     assert got[0] == [(1, 300, 5.0), (2, 1, 1.0), (3, 2, 1.0), (4, 3, 1.0)]
     assert got[2] == [(1, 300, 5.0), (2, 0, 1.0), (3, 1, 1.0), (4, 3, 1.0)]
 
 
+def test_vectors_without_clusters_reach_the_recall():
+    """Random directions are the hard case: the reach follows from measured recall."""
+    rng = np.random.default_rng(4)
+    points = rng.normal(size=(3000, 48))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    long = neighbours._lengthened(points, 1.0000001)
+    forest = [neighbours.grow(long, 64, seed) for seed in range(8)]
+    reach = neighbours.reach_for(forest, long, 20, 0.95)
+    few = neighbours.reach_for(forest, long, 20, 0.5)
+    assert few < reach <= 8 * 3000
+    places, found = [t.leaves(long) for t in forest], 0
+    for i in range(0, 3000, 30):
+        query = np.append(points[i], 0).astype(np.float32)
+        scores = points @ points[i]
+        scores[i] = -2
+        best = np.argsort(-scores)[:20]
+        seen = neighbours.visits(forest, query, reach)
+        found += sum(any(places[t][b] == leaf for t, leaf in seen) for b in best)
+    assert found / 2000 >= 0.9
+
+
 @pytest.mark.parametrize("block", [16, 2048])
 def test_blocks_give_the_same(spark, monkeypatch, block):
     monkeypatch.setattr(neighbours, "BLOCK_ROWS", block)
     rng = np.random.default_rng(0)
     points = rng.normal(size=(200, 5)).astype(np.float32)
     rows = [(i, p.tolist(), "", "") for i, p in enumerate(points)]
-    got = search(spark, rows, k=5, reach_rows=100000)
+    got = search(spark, rows, k=5, recall=1.0, leaf_rows=1000)
     exact = points.astype(float) @ points.astype(float).T
     np.fill_diagonal(exact, -np.inf)
     for q, rank, v, s in got:
