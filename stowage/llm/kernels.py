@@ -12,7 +12,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 21  # documents handled together; a longer document makes a block of its own
+BLOCK_BYTES = 1 << 19  # documents handled together; a longer document makes a block of its own
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)

@@ -36,7 +36,7 @@ ORDER, BITS = 4, 15  # n-grams of four characters with 15 bits each
 MAX_GRAMS = 2_000_000  # n-grams of all languages together that a model keeps, the most frequent first
 CALIBRATION_ROWS = 4000
 UNKNOWN = "und"
-_BLOCK_CHARS = 1 << 20
+_BLOCK_CHARS = 1 << 19
 _MERGE_GRAMS = 1 << 22
 
 _EDGE = 1  # code of the padding between texts

@@ -13,7 +13,7 @@ from stowage.sources.files import Scratch
 
 ID, TEXT = "doc_id", "text"
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-BATCH_ROWS = 1000  # texts handed to a Python worker together
+BATCH_ROWS = 256  # texts handed to a Python worker together
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
