@@ -154,7 +154,9 @@ def learn(measured: DataFrame, labels: DataFrame, label_col: str, rows: int = LA
     if len(set(y.tolist())) < 2:
         share = min(max(float(y.mean()), 1e-3), 1 - 1e-3) if len(y) else 0.5
         return Rules(float(np.log(share / (1 - share))), [])
-    vectors = VectorAssembler(inputCols=list(STATISTICS), outputCol="features").transform(sample.repartition(8, *STATISTICS))
+    vectors = VectorAssembler(inputCols=list(STATISTICS), outputCol="features").transform(sample)
+    # rows in one order, so that the same sample gives the same forest
+    vectors = vectors.repartition(8, *STATISTICS).sortWithinPartitions("label", *STATISTICS)
     forest = RandomForestClassifier(
         labelCol="label", numTrees=TREES, maxDepth=DEPTH, featureSubsetStrategy="0.5", subsamplingRate=0.7, seed=11
     ).fit(vectors)
