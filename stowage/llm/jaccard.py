@@ -22,6 +22,7 @@ null; empty tables give no rows; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -30,16 +31,17 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from stowage.llm.components import components
 from stowage.llm.kernels import Rolling, blocks, mix, runs, shingles, texts
 from stowage.llm.tables import ID, TEXT, bound, map_texts, scratch, small_batches
+from stowage.operators.components import components
 
 GROUPS = 64  # coordinates of a point
 LEAF = 64  # points in a leaf of the R-tree
 FREQUENT = 1 << 18  # shingles that are known to be frequent; others count as rare
-TALLY = 1 << 22  # shingles that a task tallies at once
+TALLY = 1 << 21  # shingles that a task tallies at once
 BUCKET_ROWS = 200_000  # prefix shingles of one bucket
 GROUP_ROWS = 20_000  # rows of one bucket of candidate groups
+PAIR_ROWS = 2000  # pairs of one bucket, about
 BLOCK_ROWS = 2048  # members of a crowded group that meet at once
 ROUNDS = (1, 16, 1 << 30)  # partners of a class that are verified in each round
 IDS_BYTES = 16 << 20  # identifiers that may go to all tasks
@@ -67,23 +69,29 @@ def _short(signature: bytes) -> int:
     return int(np.frombuffer(signature, np.int64)[1])
 
 
+def _point(members: np.ndarray) -> bytes:
+    """How many members of a set fall on each coordinate."""
+    return np.bincount((members >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype("<i4").tobytes()
+
+
 def _profile(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    """A row for each text, and rows for shingles that several texts of the task have."""
-    names = ["doc_id", "n_shingles", "signature", "owner", "shingle", "texts"]
+    """A row for each text with the point of its set, and rows for shingles that several texts of the task have."""
+    names = ["doc_id", "n_shingles", "signature", "owner", "point", "shingle", "texts"]
     held, size, kind = [], 0, None
 
     def tally() -> pa.RecordBatch:
         codes, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64),) * 2
         codes, counts = codes[counts > 1], counts[counts > 1]
-        nothing = [pa.nulls(len(codes), t) for t in (kind, pa.int64(), pa.binary(), pa.int64())]
+        nothing = [pa.nulls(len(codes), t) for t in (kind, pa.int64(), pa.binary(), pa.int64(), pa.binary())]
         return pa.RecordBatch.from_arrays([*nothing, pa.array(codes.view(np.int64)), pa.array(counts.astype(np.int64))], names)
 
     for batch in batches:
         kind = batch.schema.field(0).type
-        sizes, signatures = [], []
+        sizes, signatures, points = [], [], []
         for members in _sets(texts(batch.column(1)), n):
             sizes.append(len(members))
             signatures.append(_signature(members))
+            points.append(_point(members))
             held.append(members)
             size += len(members)
             if size >= TALLY:
@@ -91,6 +99,7 @@ def _profile(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBat
                 held, size = [], 0
         owners = [_short(s) for s in signatures]
         found = [pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), pa.array(owners, pa.int64())]
+        found.append(pa.array(points, pa.binary()))
         yield pa.RecordBatch.from_arrays([batch.column(0), *found, *[pa.nulls(len(sizes), pa.int64())] * 2], names)
     if held:
         yield tally()
@@ -159,22 +168,14 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["shingle", "owner"])
 
 
-def _points(array: pa.Array, n: int):
-    signatures, short, sizes, points, members_of = [], [], [], [], []
-    for members in _sets(array, n):
-        signature = _signature(members)
-        signatures.append(signature)
-        short.append(_short(signature))
-        sizes.append(len(members))
-        group = (members >> np.uint64(58)).astype(np.int64)
-        points.append(np.bincount(group, minlength=GROUPS).astype("<i4").tobytes())
-        members_of.append(members.tobytes())
+def _members(array: pa.Array, n: int):
+    """Each set as a whole, with its signature."""
+    sets = list(_sets(array, n))
+    signatures = [_signature(members) for members in sets]
     return None, [
         pa.array(signatures, pa.binary()),
-        pa.array(short, pa.int64()),
-        pa.array(sizes, pa.int64()),
-        pa.array(points, pa.binary()),
-        pa.array(members_of, pa.binary()),
+        pa.array([_short(s) for s in signatures], pa.int64()),
+        pa.array([members.tobytes() for members in sets], pa.binary()),
     ]
 
 
@@ -272,15 +273,23 @@ def _seek(table: pa.Table, similar: int, of: int, partners: int) -> pa.Table:
     return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=_FOUND)
 
 
-def _verify(batches: Iterator[pa.RecordBatch], similar: int, of: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        kept = []
-        for a, b in zip(batch.column(2), batch.column(3)):
-            a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (a, b))
-            overlap = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
-            kept.append(of * overlap >= similar * (len(a) + len(b) - overlap))
-        linked = batch.filter(pa.array(kept, pa.bool_()))
-        yield pa.RecordBatch.from_arrays([linked.column(0), linked.column(1)], ["a", "b"])
+_LINKS = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+
+def _verify(pairs: pa.Table, sets: pa.Table, similar: int, of: int) -> pa.Table:
+    """The linked pairs of a bucket, as signatures; the bucket has each set that its pairs name once."""
+    by_owner: dict[int, list] = {}
+    for owner, signature, members in zip(sets["owner"].to_pylist(), sets["signature"].to_pylist(), sets["members"]):
+        by_owner.setdefault(owner, []).append((signature, np.frombuffer(members.as_buffer(), np.uint64)))
+    links = []
+    for one, two in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
+        for first, a in by_owner.get(one, ()):
+            for second, b in by_owner.get(two, ()):
+                overlap = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
+                if of * overlap >= similar * (len(a) + len(b) - overlap):
+                    links.append((first, second))
+    columns = list(zip(*links)) or [(), ()]
+    return pa.Table.from_arrays([pa.array(list(c), pa.binary()) for c in columns], schema=_LINKS)
 
 
 def near_duplicates(
@@ -295,9 +304,9 @@ def near_duplicates(
     kept = scratch(spark)
     plain = docs.select(F.col(id_col).alias(ID), F.col(text_col).cast("string").alias(TEXT))
     kind = plain.schema[ID].dataType.simpleString()
-    schema = f"doc_id {kind}, n_shingles bigint, signature binary, owner bigint, shingle bigint, texts bigint"
+    schema = f"doc_id {kind}, n_shingles bigint, signature binary, owner bigint, point binary, shingle bigint, texts bigint"
     seen = kept.table(plain.mapInArrow(partial(_profile, n=n), schema), "profile")
-    profile = seen.where("signature is not null").select(ID, "n_shingles", "signature", "owner")
+    profile = seen.where("signature is not null").select(ID, "n_shingles", "signature", "owner", "point")
     often = seen.where("shingle is not null").groupBy("shingle").agg(F.sum("texts").alias("texts"))
     often = often.orderBy(F.desc("texts"), "shingle").limit(FREQUENT).toArrow()["shingle"].to_numpy().view(np.uint64)
     frequent = spark.sparkContext.broadcast(np.sort(often))
@@ -305,28 +314,35 @@ def near_duplicates(
     total = (profile.agg(F.sum("n_shingles")).head()[0] or 0) * (of - similar) // of
     buckets = max(1, -(-total // BUCKET_ROWS))
     kernel = partial(_prefixes, n=n, similar=similar, of=of, frequent=frequent, buckets=buckets)
-    blobs = kept.table(plain.select(TEXT).mapInArrow(kernel, "bucket bigint, pairs binary"), "prefixes")
+    passing = scratch(spark)
+    blobs = passing.table(plain.select(TEXT).mapInArrow(kernel, "bucket bigint, pairs binary"), "prefixes")
     rare = blobs.where("bucket >= 0").groupBy("bucket").applyInArrow(bound(_shared), "shingle bigint, owner bigint")
     common = blobs.where("bucket < 0").mapInArrow(_unpacked, "shingle bigint, owner bigint").distinct()
     shared = kept.table(rare.unionByName(common), "shared")
-
-    # The sets of the classes in question, from the text of one row of each.
-    classes = profile.join(shared.select("owner").distinct(), "owner", "left_semi")
-    rows = kept.table(classes.groupBy("signature").agg(F.min(ID).alias("row")).select("row").distinct(), "rows")
-    if rows.count() * 16 <= IDS_BYTES:  # two words a row at most, as counted
-        rows = F.broadcast(rows)
-    texts_of = plain.join(rows, F.col(ID).eqNullSafe(F.col("row")), "left_semi")
-    sets = map_texts(
-        texts_of, partial(_points, n=n), "signature binary, owner bigint, n_shingles bigint, point binary, members binary"
-    )
-    sets = kept.table(sets.where("n_shingles > 0").dropDuplicates(["signature"]).drop(ID), "sets")
-    return _grouped(profile, _links(kept, shared, sets, similar, of), kept)
-
-
-def _links(kept, shared: DataFrame, sets: DataFrame, similar: int, of: int) -> DataFrame:
-    """Links between signatures that connect all that are linked."""
-    crowd = shared.groupBy("shingle").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"), F.count("*").alias("m"))
-    crowd = crowd.where("m > 1").drop("m")
+    passing.remove()  # the largest table: what is needed of it is in shared
+
+    def sets_of(owners: DataFrame) -> DataFrame:
+        """signature, owner and members of some classes, from the text of one row of each."""
+        asked = profile.join(owners, "owner", "left_semi").groupBy("signature").agg(F.min(ID).alias("row"))
+        asked = kept.table(asked.select("row").distinct(), "rows")
+        if asked.count() * 16 <= IDS_BYTES:  # two words a row at most, as counted
+            asked = F.broadcast(asked)
+        found = plain.join(asked, F.col(ID).eqNullSafe(F.col("row")), "left_semi")
+        found = map_texts(found, partial(_members, n=n), "signature binary, owner bigint, members binary").drop(ID)
+        # Other texts may have the same identifier, or none.
+        found = found.where("length(members) > 0").join(owners, "owner", "left_semi")
+        return kept.table(found.dropDuplicates(["signature"]), "sets")
+
+    return _grouped(profile, _connected(kept, shared, profile, sets_of, similar, of))
+
+
+def _connected(kept, shared: DataFrame, profile: DataFrame, sets_of, similar: int, of: int) -> DataFrame:
+    """The component of each signature that is linked with another one."""
+    # Copies share many shingles: of groups with the same members, known by two digests, one will do.
+    whose = [F.count("*").alias("m"), F.bit_xor(F.xxhash64("owner")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "owner")).alias("y")]
+    groups = shared.groupBy("shingle").agg(*whose).where("m > 1")
+    crowd = groups.groupBy("m", "x", "y").agg(F.min("shingle").alias("shingle"))
+    crowd = crowd.select("shingle", F.ceil(F.col("m") / BLOCK_ROWS).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("owner"), F.col("blocks")).cast("int")
     members = (
         shared.join(crowd, "shingle")
@@ -336,13 +352,14 @@ def _links(kept, shared: DataFrame, sets: DataFrame, similar: int, of: int) -> D
     members = kept.table(members, "members")
     buckets = max(1, -(-members.count() // GROUP_ROWS))
     bucket = F.pmod(F.xxhash64("shingle", "low", "high"), F.lit(buckets)).alias("bucket")
-    outline = sets.select("signature", "owner", "n_shingles", "point")
-    linked = tested = None
+    outline = profile.join(members.select("owner").distinct(), "owner", "left_semi").dropDuplicates(["signature"])
+    outline = kept.table(outline.select("signature", "owner", "n_shingles", "point"), "outline")
+    linked = tested = found = None
     for partners in ROUNDS:
         labelled = outline.withColumn("component", F.col("signature"))
-        if linked is not None:
-            found = components(linked, kept).withColumnsRenamed({"node": "signature", "component": "of"})
-            labelled = outline.join(found, "signature", "left").withColumn("component", F.coalesce("of", "signature")).drop("of")
+        if found is not None:
+            of_them = found.select(F.col("node").alias("signature"), F.col("component").alias("of"))
+            labelled = outline.join(of_them, "signature", "left").withColumn("component", F.coalesce("of", "signature")).drop("of")
         rows = members.join(labelled.drop("signature"), "owner")
         pairs = (
             rows.withColumn("bucket", bucket).groupBy("bucket")
@@ -354,20 +371,30 @@ def _links(kept, shared: DataFrame, sets: DataFrame, similar: int, of: int) -> D
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = kept.table(pairs, "pairs")
-        if pairs.isEmpty() and partners > 1:
+        pairs = kept.table(pairs.coalesce(buckets), "pairs")
+        found_pairs = pairs.count()
+        if not found_pairs and partners > 1:
             break
         tested = pairs if tested is None else tested.unionByName(pairs)
-        one = sets.select(F.col("owner").alias("a"), F.col("signature").alias("one"), F.col("members").alias("one_set"))
-        two = sets.select(F.col("owner").alias("b"), F.col("signature").alias("two"), F.col("members").alias("two_set"))
-        both = pairs.join(one, "a").join(two, "b").select("one", "two", "one_set", "two_set")
-        new = kept.table(both.mapInArrow(partial(_verify, similar=similar, of=of), "a binary, b binary"), "links")
-        linked = new if linked is None else linked.unionByName(new)
-    return linked
+        sets = sets_of(pairs.select(F.col("a").alias("owner")).union(pairs.select("b")).distinct())
+        # Buckets by the digests of both sides: a set goes to as many as a side has, however many pairs it is in.
+        side = math.isqrt(found_pairs // PAIR_ROWS) + 1
+        digest = [F.pmod(F.xxhash64(c), F.lit(side)) for c in ("a", "b")]
+        dealt = pairs.withColumn("bucket", digest[0] * side + digest[1])
+        named = dealt.select("bucket", F.col("a").alias("owner")).union(dealt.select("bucket", "b")).distinct()
+        named = named.select(F.col("bucket").alias("of"), "owner")
+        new = (
+            dealt.groupBy("bucket").cogroup(named.join(sets, "owner").groupBy("of"))
+            .applyInArrow(bound(_verify, similar=similar, of=of), "a binary, b binary")
+        )
+        new = kept.table(new, "links")
+        if found is None or not new.isEmpty():
+            linked = new if linked is None else linked.unionByName(new)
+            found = components(linked, kept)
+    return found
 
 
-def _grouped(profile: DataFrame, links: DataFrame, kept) -> DataFrame:
-    found = components(links, kept)
+def _grouped(profile: DataFrame, found: DataFrame) -> DataFrame:
     # Texts of one set are one class; the classes of a component share its label.
     classes = profile.where("n_shingles > 0").groupBy("signature").agg(F.min(ID).alias("least"))
     labelled = classes.join(found, F.col("signature") == F.col("node"), "left")
