@@ -35,7 +35,7 @@ from stowage.llm.kernels import Rolling, blocks, mix, runs, shingles, texts
 from stowage.llm.tables import ID, TEXT, bound, map_texts, scratch, small_batches
 from stowage.operators.components import components
 
-GROUPS = 64  # coordinates of a point
+GROUPS = 256  # coordinates of a point
 LEAF = 64  # points in a leaf of the R-tree
 FREQUENT = 1 << 18  # shingles that are known to be frequent; others count as rare
 TALLY = 1 << 21  # shingles that a task tallies at once
@@ -70,8 +70,13 @@ def _short(signature: bytes) -> int:
 
 
 def _point(members: np.ndarray) -> bytes:
-    """How many members of a set fall on each coordinate."""
-    return np.bincount((members >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype("<i4").tobytes()
+    """How many members of a set fall on each coordinate, in as few bytes as the largest count takes."""
+    counts = np.bincount((members >> np.uint64(56)).astype(np.int64), minlength=GROUPS)
+    return counts.astype(np.min_scalar_type(int(counts.max()))).tobytes()
+
+
+def _counts(point: bytes) -> np.ndarray:
+    return np.frombuffer(point, f"<u{len(point) // GROUPS}")
 
 
 def _profile(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
@@ -191,7 +196,7 @@ class Tree:
                 self.leaves.append(rows)
                 continue
             own = points[rows]
-            widest = int((own.max(axis=0) - own.min(axis=0)).argmax())
+            widest = int((own.max(axis=0) - own.min(axis=0)).argmax())  # counts: the difference is not negative
             order = np.argsort(own[:, widest], kind="stable")
             stack += [rows[order[: len(rows) // 2]], rows[order[len(rows) // 2 :]]]
         self.corners = np.array([points[leaf].max(axis=0) for leaf in self.leaves])
@@ -201,7 +206,7 @@ class Tree:
     def near(self, similar: int, of: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of leaves whose boxes may hold linked points."""
         for i in range(len(self.leaves)):
-            bound = np.minimum(self.corners[i], self.corners[i:]).sum(axis=1)
+            bound = np.minimum(self.corners[i], self.corners[i:]).sum(axis=1, dtype=np.int64)
             enough = bound * (of + similar) >= similar * (self.least[i] + self.least[i:])
             enough &= (self.most[i:] * of >= self.least[i] * similar) & (self.most[i] * of >= self.least[i:] * similar)
             for j in np.flatnonzero(enough).tolist():
@@ -219,7 +224,7 @@ def _candidates(
     across = len(np.unique(block)) > 1
     tree = Tree(points, sizes)
     for one, other in tree.near(similar, of):
-        bound = np.minimum(points[one][:, None, :], points[other][None, :, :]).sum(axis=2)
+        bound = np.minimum(points[one][:, None, :], points[other][None, :, :]).sum(axis=2, dtype=np.int64)
         a, b = sizes[one][:, None], sizes[other][None, :]
         slack = bound * (of + similar) - similar * (a + b)
         good = (slack >= 0) & (a * of >= b * similar) & (b * of >= a * similar)
@@ -252,7 +257,7 @@ def _seek(table: pa.Table, similar: int, of: int, partners: int) -> pa.Table:
     cuts = np.flatnonzero(np.concatenate([[True], group[order][1:] != group[order][:-1]]))
     owner, sizes, block = (table[c].to_numpy() for c in ("owner", "n_shingles", "block"))
     _, component = np.unique(np.array(table["component"].to_pylist(), object), return_inverse=True)
-    points = np.frombuffer(b"".join(table["point"].to_pylist()), "<i4").reshape(-1, GROUPS)
+    points = np.array([_counts(p) for p in table["point"].to_pylist()])  # in the widest type of the bucket
     out = []
     for rows in np.split(order, cuts[1:]):
         if (component[rows] == component[rows[0]]).all():
