@@ -35,6 +35,7 @@ TREES = 8
 LEAF_ROWS = 256
 MIN_LEAF_SAMPLE = 16
 RECALL = 0.95  # share of the true neighbours to find, as measured on the sample
+PROBE_ROWS = 8192  # rows of the sample, an eighth at most, that tell each query which scores are too low for its result
 TRIALS = 200  # rows of the sample that the recall is measured with
 BLOCK_ROWS = 2048  # members, and queries, that meet in one group
 
@@ -160,11 +161,17 @@ def _assign(batches: Iterator[pa.RecordBatch], forest, longest: float) -> Iterat
             yield pa.RecordBatch.from_arrays([*place, batch.column(0), batch.column(1)], ["tree", "leaf", "id", "vec"])
 
 
-def _visit(batches: Iterator[pa.RecordBatch], forest, reach: float) -> Iterator[pa.RecordBatch]:
+def _visit(batches: Iterator[pa.RecordBatch], forest, probe, reach: float, k: int) -> Iterator[pa.RecordBatch]:
+    ids, given = probe.value
     for batch in batches:
         if not batch.num_rows:
             continue
         points = _matrix(batch.column(1)).astype(np.float64)
+        least = np.full(len(points), -np.inf)
+        for i, (own, point) in enumerate(zip(batch.column(0).to_pylist(), points)):
+            scores = (given @ point)[ids != own]
+            if len(scores) >= k:  # k rows are at least as near, so that lower scores can't be among the k best
+                least[i] = np.partition(scores, len(scores) - k)[len(scores) - k] - 1e-9
         points = points / np.linalg.norm(points, axis=1, keepdims=True)
         points = np.column_stack([points, np.zeros(len(points))]).astype(np.float32)
         rows, trees, leaves = [], [], []
@@ -175,12 +182,26 @@ def _visit(batches: Iterator[pa.RecordBatch], forest, reach: float) -> Iterator[
                 leaves.append(leaf)
         taken = batch.take(pa.array(rows, pa.int64()))
         place = [pa.array(trees, pa.int32()), pa.array(leaves, pa.int64())]
-        yield pa.RecordBatch.from_arrays([*place, taken.column(0), taken.column(1)], ["tree", "leaf", "id", "vec"])
+        bound_ = pa.array(least[rows])
+        yield pa.RecordBatch.from_arrays([*place, taken.column(0), taken.column(1), bound_], ["tree", "leaf", "id", "vec", "least"])
 
 
 _FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
+def _probed(batches: Iterator[pa.RecordBatch], probe, k: int) -> Iterator[pa.RecordBatch]:
+    """The best rows of the probe for each query: they are found, and give a score that the result can't fall below."""
+    ids, given = probe.value
+    for batch in batches:
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for own, point in zip(batch.column(0).to_pylist(), _matrix(batch.column(1)).astype(np.float64)):
+            scores = np.where(ids == own, -np.inf, np.einsum("md,d->m", given, point))
+            best = np.lexsort((ids, -scores))[:k]
+            best = best[scores[best] > -np.inf]
+            out.append((np.full(len(best), own), ids[best], scores[best]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=_FOUND)
+
+
 def _best(queries: pa.Table, members: pa.Table, k: int) -> pa.Table:
     """The ``k`` best members of the group for each query of the group."""
     if not queries.num_rows or not members.num_rows:
@@ -189,12 +210,13 @@ def _best(queries: pa.Table, members: pa.Table, k: int) -> pa.Table:
     wanted, given = _matrix(queries["vec"]).astype(np.float64), _matrix(members["vec"]).astype(np.float64)
     order = np.argsort(ids, kind="stable")  # ties keep the smaller identifier
     ids, given = ids[order], given[order]
+    least = queries["least"].to_numpy()
     out = []
     for at in range(0, len(asked), 128):
         # einsum sums each product in one order, so that equal vectors get equal scores
         scores = np.einsum("qd,md->qm", wanted[at : at + 128], given)
-        for query, row in zip(asked[at : at + 128], scores):
-            row = np.where(ids == query, -np.inf, row)
+        for query, row, low in zip(asked[at : at + 128], scores, least[at : at + 128]):
+            row = np.where((ids == query) | (row < low), -np.inf, row)
             if len(row) > 4 * k:  # all that tie with the k-th stay
                 near = np.flatnonzero(row >= np.partition(row, len(row) - k)[len(row) - k])
             else:
@@ -246,18 +268,24 @@ def search(
     longest = math.sqrt(facts["square"] or 1.0) * (1 + 1e-12)
 
     chance = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30))
-    sample = rows.where(chance < int(share * (1 << 30)) + 1).select("vec").toArrow()["vec"]
+    taken = rows.where(chance < int(share * (1 << 30)) + 1).select("id", "vec").toArrow()
+    sample = taken["vec"]
     points = _lengthened(_matrix(sample), longest) if len(sample) else np.zeros((0, 1), np.float32)
     least = max(MIN_LEAF_SAMPLE if share < 1 else 2, round(leaf_rows * share))
     grown = [grow(points, least, seed) for seed in range(trees)]
     reach = reach_for(grown, points, min(k, max(1, len(points) - 1)), recall) if len(points) > 1 else 1
     forest = spark.sparkContext.broadcast(grown)
+    some = np.random.default_rng(2).permutation(len(sample))[: min(PROBE_ROWS, len(sample) // 8)]
+    near_by = _matrix(sample).astype(np.float64)[some] if len(sample) else np.zeros((0, 1))
+    probe = spark.sparkContext.broadcast((taken["id"].to_numpy()[some], near_by))
 
     kind = rows.schema["vec"].dataType.simpleString()
     schema = f"tree int, leaf bigint, id bigint, vec {kind}"
     members = kept.table(rows.mapInArrow(partial(_assign, forest=forest, longest=longest), schema), "members")
     asking = kept.table(
-        rows.where(is_query).repartition(F.xxhash64("id")).mapInArrow(partial(_visit, forest=forest, reach=reach), schema),
+        rows.where(is_query).repartition(F.xxhash64("id")).mapInArrow(
+            partial(_visit, forest=forest, probe=probe, reach=reach, k=k), f"{schema}, least double"
+        ),
         "queries",
     )
 
@@ -268,17 +296,18 @@ def search(
         .join(asking.groupBy(*place).agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("q")), place)
     )
 
-    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+    def dealt(df: DataFrame, own: str, other: str, *more: str) -> DataFrame:
         block = F.pmod(F.xxhash64("id", F.lit("block")), F.col(own)).alias(f"{own}_block")
         every = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(f"{other}_block")
-        return df.join(blocks, place).select(*place, "id", "vec", block, every)
+        return df.join(blocks, place).select(*place, "id", "vec", *more, block, every)
 
     key = [*place, "m_block", "q_block"]
     found = (
-        dealt(asking, "q", "m").groupBy(*key).cogroup(dealt(members, "m", "q").groupBy(*key))
+        dealt(asking, "q", "m", "least").groupBy(*key).cogroup(dealt(members, "m", "q").groupBy(*key))
         .applyInArrow(bound(_best, k=k), "query_id bigint, vec_id bigint, score double")
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    distinct = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    probed = rows.where(is_query).mapInArrow(partial(_probed, probe=probe, k=k), "query_id bigint, vec_id bigint, score double")
+    distinct = found.unionByName(probed).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     ranked = distinct.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
