@@ -8,11 +8,15 @@ insert those of keys that are held or repeated. Competing keys fall into
 connected components, found in a number of rounds that grows with the logarithm of a
 chain, and each component is streamed through one task in order. What a task
 remembers is what is held, not the rows that were refused.
+
+Where a batch with a refused row is undone, batches are taken whole, one after
+another in the order of their first rows, and what a batch does is seen by later
+ones only if none of its rows is refused.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import partial
 
 import pyarrow as pa
@@ -23,6 +27,7 @@ from stowage.sources.files import Scratch
 from stowage.spec import SpaceSpec
 
 KEY, VALUES, REASON = "_key", "_values", "_reason"
+BATCH, BROKEN = "_batch", "_broken"
 KEY_REASON = 0  # other reasons are the numbers of unique indexes, from 1
 
 
@@ -82,42 +87,70 @@ def competing_keys(load: DataFrame, held: DataFrame | None, strict: bool, scratc
 
 
 def _decide(batches: Iterator[pa.RecordBatch], strict: bool) -> Iterator[pa.RecordBatch]:
-    component, rows, held, apart = None, {}, {}, {}
+    component, group, fails, rows, held, own_rows, own_held = None, None, False, {}, {}, {}, {}
     for batch in batches:
-        seqs, reasons = [], []
+        out = []
         for r in batch.to_pylist():
             if r["component"] != component:
-                component, rows, held, apart = r["component"], {}, {}, {}
+                component, group, rows, held, own_rows, own_held = r["component"], None, {}, {}, {}, {}
+            if r["group"] != group:
+                if not fails:
+                    _settle(rows, held, own_rows, own_held)
+                group, fails, own_rows, own_held = r["group"], r["fails"], {}, {}
             key, values = r[KEY], r[VALUES]
-            if r["seq"] is None:  # a row of the space
-                rows[key] = values
-                held.update((v, key) for v in values if v is not None)
-                continue
-            # What a batch does that is undone as a whole is seen by its own rows only.
-            own_rows, own_held = apart.setdefault(r["undone"], ({}, {})) if r["undone"] is not None else (rows, held)
             before = own_rows.get(key, rows.get(key))
-            reason = KEY_REASON if strict and before is not None else None
-            if reason is None:
+            reason = KEY_REASON if strict and before is not None and r["seq"] is not None else None
+            if reason is None and r["seq"] is not None:
                 for n, value in enumerate(values, start=1):
                     if value is not None and own_held.get(value, held.get(value)) not in (None, key):
                         reason = n
                         break
             if reason is not None:
-                seqs.append(r["seq"])
-                reasons.append(reason)
+                fails = True
+                out.append((r["seq"], reason, component, group))
                 continue
-            for value in before or ():
-                if value is not None:
-                    own_held[value] = None
+            # What a batch does is seen by its own rows only until it is known that it isn't undone.
+            own_held.update((v, None) for v in before or () if v is not None)
             own_rows[key] = values
             own_held.update((v, key) for v in values if v is not None)
-        yield pa.RecordBatch.from_arrays([pa.array(seqs, pa.int64()), pa.array(reasons, pa.int32())], ["seq", REASON])
+            if group is None:
+                _settle(rows, held, own_rows, own_held)
+        columns = list(zip(*out)) or [()] * len(_REFUSED)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _REFUSED)], schema=_REFUSED)
 
 
-class Claims:
-    """The competing rows of a load, to be decided once or, batch by batch, several times."""
+_REFUSED = pa.schema([("seq", pa.int64()), (REASON, pa.int32()), ("component", pa.binary()), ("group", pa.int64())])
+
+
+def _settle(rows: dict, held: dict, own_rows: dict, own_held: dict) -> None:
+    """Move what a batch did to what all later rows see."""
+    rows.update(own_rows)
+    for value, key in own_held.items():
+        if key is None:
+            held.pop(value, None)
+        else:
+            held[value] = key
+    own_rows.clear()
+    own_held.clear()
+
 
-    def __init__(self, load: DataFrame, held: DataFrame | None, order: Sequence[str], seq: str, strict: bool, scratch: Scratch):
+class Claims:
+    """The competing rows of a load, to be decided once or, batch by batch, several times.
+
+    ``places`` gives the batch of each row by ``seq`` (``BATCH``: the position of its first
+    row, ``BROKEN``: whether it has a bad row) if batches are undone as a whole.
+    """
+
+    def __init__(
+        self,
+        load: DataFrame,
+        held: DataFrame | None,
+        order: Sequence[str],
+        seq: str,
+        strict: bool,
+        scratch: Scratch,
+        places: Callable[[], DataFrame] | None = None,
+    ):
         self._order, self._seq, self._strict, self._scratch = list(order), seq, strict, scratch
         competing = competing_keys(load, held, strict, scratch)
         self.any = not competing.isEmpty()
@@ -130,24 +163,31 @@ class Claims:
             types = {f.name: f.dataType for f in load.schema.fields}
             nobody = [F.lit(None).cast(types[c]).alias(c) for c in load.columns if c not in (KEY, VALUES)]
             rows = rows.unionByName(held.select(KEY, VALUES, *nobody).join(of, KEY))
+        if places is None:
+            rows = rows.withColumn("group", F.lit(None).cast("long")).withColumn(BROKEN, F.lit(False))
+        else:
+            self._order = [BATCH, *self._order]
+            rows = rows.join(places(), seq, "left").withColumn("group", F.col(BATCH)[seq])
         self._rows = scratch.table(rows, "claims")
 
-    def refused(self, statuses: DataFrame | None = None, undone: DataFrame | None = None) -> DataFrame:
-        """Refused rows (``seq`` and the reason) when rows of ``statuses`` marked as skipped do not take part
-        and those of the groups in ``undone`` leave nothing behind.
+    def refused(self, statuses: DataFrame | None = None, found: DataFrame | None = None) -> DataFrame:
+        """Refused rows (``seq``, the reason, component and batch) when rows of ``statuses`` marked as skipped
+        do not take part, and batches with a bad row, or one that ``found`` has in another component, are undone.
         """
         rows = self._rows.withColumn("seq", F.col(self._seq))
-        if statuses is None:
-            rows = rows.withColumn("undone", F.lit(None).cast("string"))
-        else:
-            own = statuses.select(
-                F.col(self._seq).alias("seq"), "status", F.concat_ws("|", "write_part", "batch", "shard").alias("group")
-            )
-            failing = undone.select(F.concat_ws("|", "write_part", "batch", "shard").alias("undone")).distinct()
-            rows = rows.join(own, "seq", "left").where("status IS NULL OR status <> 'skipped'")
-            rows = rows.join(failing, F.col("group") == F.col("undone"), "left")
+        if statuses is not None:
+            skipped = statuses.where("status = 'skipped'").select(F.col(self._seq).alias("seq"))
+            rows = rows.join(skipped, "seq", "left_anti")
+        fails = F.coalesce(F.col(BROKEN), F.lit(False))
+        if found is not None:
+            # Refusals in the component itself are found anew.
+            where = found.where("group IS NOT NULL").groupBy("group")
+            rows = rows.join(where.agg(F.min("component").alias("_low"), F.max("component").alias("_high")), "group", "left")
+            fails |= F.coalesce((F.col("_low") != F.col("component")) | (F.col("_high") != F.col("component")), F.lit(False))
         # NULL sorts first: the rows of the space.
-        ordered = rows.repartition("component").sortWithinPartitions("component", F.col("seq").isNotNull(), *self._order)
-        narrow = ordered.select("component", "seq", KEY, VALUES, "undone")
-        decided = narrow.mapInArrow(partial(_decide, strict=self._strict), f"seq bigint, {REASON} int")
+        ordered = rows.withColumn("fails", fails).repartition("component")
+        ordered = ordered.sortWithinPartitions("component", F.col("seq").isNotNull(), *self._order)
+        narrow = ordered.select("component", "seq", KEY, VALUES, "group", "fails")
+        schema = f"seq bigint, {REASON} int, component binary, group bigint"
+        decided = narrow.mapInArrow(partial(_decide, strict=self._strict), schema)
         return self._scratch.table(decided.withColumnRenamed("seq", self._seq), "refused")

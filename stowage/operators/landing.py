@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from stowage.functions.names import transform_named
 from stowage.functions.shards import shard_of
 from stowage.operators.batches import number_batches, row_statuses
+from stowage.operators.claims import BATCH, BROKEN
 from stowage.operators.mapping import column, record_sources, record_values
 from stowage.operators.validate import problem_text
 from stowage.sources.files import Scratch
@@ -33,6 +34,7 @@ class Landing:
     spec: SpaceSpec
     scratch: Scratch
     written: bool = False
+    batches: DataFrame | None = None
 
     def write(self) -> None:
         """Write the rows to scratch: arrival order and all values are fixed from here on."""
@@ -56,6 +58,18 @@ class Landing:
 
         ``refused`` lists rows, by ``_seq``, that a key or a unique index refuses.
         """
+        numbered = self.numbered(batch_size)
+        held = None
+        if refused is not None:
+            numbered = numbered.join(refused.select(SEQ, F.lit(True).alias("_refused")), SEQ, "left")
+            held = F.col("_refused").isNotNull()
+        done = row_statuses(numbered, F.col("_flag"), stop_on_error, rollback_on_error, held)
+        return done.select(SEQ, "write_part", "batch", "shard", "status")
+
+    def numbered(self, batch_size: int, keep: bool = False) -> DataFrame:
+        """Part, batch, shard, ordering columns and badness (``_flag``) of each row; ``keep`` those for later calls."""
+        if self.batches is not None:
+            return self.batches
         spec = self.spec
         if spec.bucket_field is None:
             shard = shard_of([F.col(k) for k in spec.primary_key], spec.shards)
@@ -64,13 +78,22 @@ class Landing:
         narrow = self.rows.select(
             SEQ, shard.alias("shard"), is_bad().alias("_flag"), *self.order, *([self.part] if self.part else [])
         )
-        held = None
-        if refused is not None:
-            narrow = narrow.join(refused.select(SEQ, F.lit(True).alias("_refused")), SEQ, "left")
-            held = F.col("_refused").isNotNull()
         numbered = number_batches(narrow, batch_size, SEQ, self.scratch, self.part, self.order)
-        done = row_statuses(numbered, F.col("_flag"), stop_on_error, rollback_on_error, held)
-        return done.select(SEQ, "write_part", "batch", "shard", "status")
+        if keep:
+            numbered = self.batches = self.scratch.table(numbered, "batches")
+        return numbered
+
+    def places(self, batch_size: int) -> DataFrame:
+        """By ``_seq``: the position of the first row of the batch and shard, and whether one of their rows is bad."""
+        group = ["write_part", "batch", "shard"]
+        numbered = self.numbered(batch_size, keep=True)
+        # a batch has few rows, and rows without a shard are not undone with others
+        whole = numbered.where("shard IS NOT NULL").groupBy(*group).agg(
+            F.min(F.struct(*self.position)).alias("_first"), F.max("_flag").alias("_any")
+        )
+        batch = F.coalesce("_first", F.struct(*self.position)).alias(BATCH)
+        broken = F.coalesce("_any", F.lit(False)).alias(BROKEN)
+        return self.scratch.table(numbered.join(whole, group, "left").select(SEQ, batch, broken), "places")
 
 
 def is_bad() -> Column:

@@ -5,16 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from stowage.operators.batches import REJECTED, STATUSES, WRITTEN, WriteReport, batch_report
-from stowage.operators.claims import KEY_REASON, REASON, Claims, claims_of, held_claims
+from stowage.operators.claims import BATCH, KEY_REASON, REASON, Claims, claims_of, held_claims
 from stowage.operators.keys import last_rows
 from stowage.operators.landing import PROBLEMS, SEQ, Landing, is_bad
 from stowage.operators.validate import LINE
 from stowage.options import WriteOptions
 from stowage.sources.snapshots import DataFile, Snapshots, Version, as_literal, bound_of
 
-# Rounds after which a batch that was undone once stays undone, so that rounds end.
-_PATIENCE = 12
-
 
 class Load:
     """The steps of one load, over its landed rows."""
@@ -24,7 +21,7 @@ class Load:
         self.spec, self.scratch = landing.spec, landing.scratch
         self.key = list(self.spec.primary_key)
         self.superseded = self.conflicts = 0
-        self.refused = self.statuses = None
+        self.refused = self.statuses = self.places = None
 
         # One pass over the keys: counts and the span of the first key field.
         fits = ~F.col("_bad")
@@ -81,22 +78,29 @@ class Load:
         fields = list(dict.fromkeys([*self.key, *[f for u in self.spec.unique_keys for f in u.fields]]))
         space = self.snapshots.read(self.old) if self.spec.unique_keys and self.old.files else self._near()[1]
         held = None if space is None else held_claims(claims_of(space.select(*fields), self.spec), load, self.scratch)
-        return Claims(load, held, self.landing.position, SEQ, self.strict, self.scratch)
+        places = self._places if self.write.rollback_on_error else None
+        return Claims(load, held, self.landing.position, SEQ, self.strict, self.scratch, places)
+
+    def _places(self) -> DataFrame:
+        if self.places is None:
+            self.places = self.landing.places(self.write.batch_size)
+        return self.places
 
     def _refuse(self, claims: Claims) -> None:
-        """Refusals fail their batches, and what is skipped or undone holds nothing: repeat until both agree."""
+        """Refusals fail their batches, and what is skipped or undone holds nothing: repeat until both agree.
+
+        What becomes of a batch follows from those before it, so that each round settles one
+        more of them at least, and the rounds end with what row by row comes out.
+        """
         found = claims.refused()
-        undone = None
-        for turn in range(1_000_000):
+        while True:
             empty = found.isEmpty()
             self.refused = None if empty else found
             if not (self.write.stop_on_error or self.write.rollback_on_error) or (empty and not self.bad):
                 break
+            self.landing.numbered(self.write.batch_size, keep=True)
             self.statuses = self._statuses()
-            failed = self.statuses.where(F.col("status") == REJECTED if self.write.rollback_on_error else F.lit(False))
-            failed = failed.select("write_part", "batch", "shard").distinct()
-            undone = failed if turn < _PATIENCE or undone is None else undone.union(failed).distinct()
-            again = claims.refused(self.statuses, undone)
+            again = claims.refused(self.statuses if self.write.stop_on_error else None, found)
             if again.count() == found.count() and again.exceptAll(found).isEmpty():
                 break
             found = again
@@ -119,8 +123,10 @@ class Load:
         """The last row of each key; keys alone are compared, and wide rows meet just the list of those to keep or leave."""
         if not self.repeated or self.strict:
             return accepted
-        position = self.landing.position
-        last = self.scratch.table(last_rows(accepted, self.key, position, SEQ), "last")
+        rows, position = accepted, self.landing.position
+        if self.spec.unique_keys and self.write.rollback_on_error:  # the order in which claims are decided
+            rows, position = rows.join(self._places().select(SEQ, BATCH), SEQ), [BATCH, *position]
+        last = self.scratch.table(last_rows(rows, self.key, position, SEQ), "last")
         self.superseded = self.good - last.count()
         if not self.superseded:
             return accepted

@@ -488,6 +488,28 @@ def test_unique_indexes_at_random(spark, store, stop, rollback):
         assert report.rows == counts
 
 
+def test_a_chain_of_undone_batches(store):
+    """Each batch asks for a value of the one before: what becomes of it hangs on the whole chain."""
+    store.create("t", UNIQUE)
+    rows = [(2 * i + j, f"u{i + j}", None) for i in range(40) for j in range(2)]
+    settings = {"batch_size": 2, "stop_on_error": False, "rollback_on_error": True}
+    report, got = unique_load(store, rows, **settings)
+    expected, counts = plain_load({}, rows, **settings)
+    assert got == expected and report.rows == counts
+    assert counts["written"] == 40
+
+
+def test_batches_that_interleave_are_taken_whole(spark, store):
+    """Two parts in turn: the batch of the earlier first row comes first, also for the last row of a key."""
+    store.create("t", UNIQUE)
+    rows = [(1, "a", 0, 0), (2, "b", 1, 1), (3, "b", 2, 0), (4, "a", 3, 1), (5, "d", 4, 2), (6, "e", 5, 3), (6, "f", 6, 2)]
+    df = spark.createDataFrame(rows, "id int, u string, place int, part int")
+    settings = {"batch_size": 2, "stop_on_error": False, "rollback_on_error": True}
+    report = store.write(df, "t", order_by=["place"], write_part="part", on_error="report", **settings)
+    assert {r.id: r.u for r in store.scan("t").collect()} == {1: "a", 3: "b", 5: "d", 6: "e"}
+    assert report.rows == {"written": 5, "rejected": 2, "rolled_back": 0, "skipped": 0}
+
+
 def test_unknown_columns_and_steering_columns(spark, store):
     store.create("vessels", VESSELS)
     extra = vessels(spark).withColumn("colour", F.lit("red"))
