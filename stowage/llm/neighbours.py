@@ -13,7 +13,7 @@ leaf (equal vectors can't be split) is dealt into blocks of members and of queri
 Defined results: vectors that are null, zero, of another length than most, or that
 hold null or non-finite components take no part, and neither do rows without an
 identifier. Ties go to the smaller identifier, also among equal vectors. Rows with
-one identifier count once per rank if their vectors are the same. With fewer candidates than
+one identifier count once, with the best of their scores. With fewer candidates than
 asked for, all are returned. Empty tables give no rows; other columns are not read.
 """
 
@@ -111,15 +111,31 @@ def visits(forest: list[Tree], query: np.ndarray, reach: float) -> list[tuple[in
     return found
 
 
-def reach_for(forest: list[Tree], points: np.ndarray, k: int, recall: float) -> int:
-    """How many rows of the sample a query has to reach so that it finds this share of its ``k`` nearest in the sample."""
+def _by_id(ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each of some sorted identifiers once, with the best of its scores (along the last axis)."""
+    first = np.flatnonzero(np.diff(ids, prepend=ids[:1] - 1))
+    if len(first) == len(ids):
+        return ids, scores
+    return ids[first], np.maximum.reduceat(scores, first, axis=-1)
+
+
+def reach_for(forest: list[Tree], points: np.ndarray, k: int, recall: float, ids: np.ndarray | None = None) -> int:
+    """How many rows of the sample a query has to reach so that it finds this share of its ``k`` nearest in the sample.
+
+    Of the rows with one of the ``ids`` the nearest counts.
+    """
+    ids = np.arange(len(points)) if ids is None else ids
+    k = min(k, max(1, len(np.unique(ids)) - 1))
     trials = np.random.default_rng(1).permutation(len(points))[:TRIALS]
     asked = points[trials].copy()
     asked[:, -1] = 0  # a query has no such component
     places = [tree.leaves(points) for tree in forest]
     scores = asked @ points.T
-    scores[np.arange(len(trials)), trials] = -np.inf
-    nearest = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+    scores[ids[trials][:, None] == ids] = -np.inf
+    order = np.argsort(-scores, axis=1, kind="stable")
+    if len(np.unique(ids)) < len(ids):
+        order = [row[np.sort(np.unique(ids[row], return_index=True)[1])[:k]] for row in order]
+    nearest = np.array([row[:k] for row in order])
     reach = max(64, 4 * k)
     while reach < len(forest) * len(points):
         found = 0
@@ -169,8 +185,9 @@ def _visit(batches: Iterator[pa.RecordBatch], forest, probe, reach: float, k: in
         points = _matrix(batch.column(1)).astype(np.float64)
         least = np.full(len(points), -np.inf)
         for i, (own, point) in enumerate(zip(batch.column(0).to_pylist(), points)):
-            scores = (given @ point)[ids != own]
-            if len(scores) >= k:  # k rows are at least as near, so that lower scores can't be among the k best
+            others, scores = _by_id(ids, given @ point)
+            scores = scores[others != own]
+            if len(scores) >= k:  # k identifiers are at least as near, so that lower scores can't be among the k best
                 least[i] = np.partition(scores, len(scores) - k)[len(scores) - k] - 1e-9
         points = points / np.linalg.norm(points, axis=1, keepdims=True)
         points = np.column_stack([points, np.zeros(len(points))]).astype(np.float32)
@@ -195,10 +212,11 @@ def _probed(batches: Iterator[pa.RecordBatch], probe, k: int) -> Iterator[pa.Rec
     for batch in batches:
         out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         for own, point in zip(batch.column(0).to_pylist(), _matrix(batch.column(1)).astype(np.float64)):
-            scores = np.where(ids == own, -np.inf, np.einsum("md,d->m", given, point))
-            best = np.lexsort((ids, -scores))[:k]
+            others, scores = _by_id(ids, np.einsum("md,d->m", given, point))
+            scores = np.where(others == own, -np.inf, scores)
+            best = np.lexsort((others, -scores))[:k]
             best = best[scores[best] > -np.inf]
-            out.append((np.full(len(best), own), ids[best], scores[best]))
+            out.append((np.full(len(best), own), others[best], scores[best]))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=_FOUND)
 
 
@@ -215,15 +233,16 @@ def _best(queries: pa.Table, members: pa.Table, k: int) -> pa.Table:
     for at in range(0, len(asked), 128):
         # einsum sums each product in one order, so that equal vectors get equal scores
         scores = np.einsum("qd,md->qm", wanted[at : at + 128], given)
+        others, scores = _by_id(ids, scores)
         for query, row, low in zip(asked[at : at + 128], scores, least[at : at + 128]):
-            row = np.where((ids == query) | (row < low), -np.inf, row)
+            row = np.where((others == query) | (row < low), -np.inf, row)
             if len(row) > 4 * k:  # all that tie with the k-th stay
                 near = np.flatnonzero(row >= np.partition(row, len(row) - k)[len(row) - k])
             else:
                 near = np.arange(len(row))
             near = near[np.argsort(-row[near], kind="stable")][:k]
             near = near[row[near] > -np.inf]
-            out.append((np.full(len(near), query), ids[near], row[near]))
+            out.append((np.full(len(near), query), others[near], row[near]))
     columns = [np.concatenate(c) for c in zip(*out)]
     return pa.Table.from_arrays([pa.array(c) for c in columns], schema=_FOUND)
 
@@ -262,6 +281,10 @@ def search(
     small_batches(spark)
     kept = scratch(spark)
     rows = kept.table(usable(vectors, id_col, vec_col), "vectors")
+    repeated = kept.table(rows.groupBy("id").count().where("count > 1").select("id"), "repeated")
+    if not repeated.isEmpty():
+        once = rows.join(repeated, "id", "left_semi").distinct()
+        rows = kept.table(rows.join(repeated, "id", "left_anti").unionByName(once), "distinct")
     square = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     facts = rows.agg(F.count("*").alias("rows"), F.max(square).alias("square")).head()
     share = min(1.0, sample_rows / max(1, facts["rows"]))
@@ -273,11 +296,13 @@ def search(
     points = _lengthened(_matrix(sample), longest) if len(sample) else np.zeros((0, 1), np.float32)
     least = max(MIN_LEAF_SAMPLE if share < 1 else 2, round(leaf_rows * share))
     grown = [grow(points, least, seed) for seed in range(trees)]
-    reach = reach_for(grown, points, min(k, max(1, len(points) - 1)), recall) if len(points) > 1 else 1
+    sample_ids = taken["id"].to_numpy()
+    reach = reach_for(grown, points, k, recall, sample_ids) if len(points) > 1 else 1
     forest = spark.sparkContext.broadcast(grown)
     some = np.random.default_rng(2).permutation(len(sample))[: min(PROBE_ROWS, len(sample) // 8)]
+    some = some[np.argsort(sample_ids[some], kind="stable")]
     near_by = _matrix(sample).astype(np.float64)[some] if len(sample) else np.zeros((0, 1))
-    probe = spark.sparkContext.broadcast((taken["id"].to_numpy()[some], near_by))
+    probe = spark.sparkContext.broadcast((sample_ids[some], near_by))
 
     kind = rows.schema["vec"].dataType.simpleString()
     schema = f"tree int, leaf bigint, id bigint, vec {kind}"

@@ -94,3 +94,29 @@ def test_blocks_give_the_same(spark, monkeypatch, block):
 
 def test_empty_table(spark):
     assert search(spark, []) == []
+
+
+@pytest.mark.parametrize("options", [{}, {"leaf_rows": 8}])
+def test_repeated_rows_take_no_places(spark, options):
+    """Ids that stand on three rows, two of them alike: each of the other ids is found once, with its best score."""
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=(15, 4)).astype(np.float32)
+    others = (points + rng.normal(scale=0.1, size=points.shape)).astype(np.float32)
+    rows = [(i, p.tolist(), "", "") for i in range(15) for p in (points[i], points[i], others[i])]
+    got = search(spark, rows, k=14, recall=1.0, **options)
+    both = np.stack([points, others]).astype(float)
+    scores = np.einsum("aqd,bmd->abqm", both, both).max(axis=(0, 1))
+    np.fill_diagonal(scores, -np.inf)
+    for query in range(0, 15, 2):
+        mine = [(v, s) for q, _, v, s in got if q == query]
+        assert [v for v, _ in mine] == np.argsort(-scores[query])[:14].tolist()
+        assert np.allclose([s for _, s in mine], np.sort(scores[query])[::-1][:14])
+
+
+def test_an_id_on_many_rows_sets_no_bound(spark):
+    """Twenty rows of one id near the query; those of other ids are found all the same."""
+    rng = np.random.default_rng(7)
+    rows = [(1, [1.0, float(x)], "", "") for x in rng.normal(scale=0.01, size=400)]
+    rows += [(0, [1.0, 0.0], "", "")] + [(i, [0.9 - i / 1000, 0.1], "", "") for i in range(3, 40, 2)]
+    got = search(spark, rows, k=5, recall=1.0, leaf_rows=1000)
+    assert [v for q, _, v, _ in got if q == 0] == [1, 3, 5, 7, 9]
