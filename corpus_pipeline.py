@@ -9,7 +9,7 @@ documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stowage.llm import decontam, jaccard, packing, pii, quality
 from stowage.llm.learn import bounded_sample, remainder
@@ -18,6 +18,7 @@ from stowage.llm.tables import read, scratch
 
 #: Identifiers that may go to all tasks, in bytes; beyond that, documents are shuffled to them.
 IDS_BYTES = 16 << 20
+KEY_BYTES = 64  # of an identifier with the digest of a text, about
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,27 +33,40 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.select(F.col("doc_id.*"))
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` but for those with an identifier in ``ids`` (one column of distinct identifiers, not null)."""
-    return docs.join(F.broadcast(ids) if ids.count() * 16 <= IDS_BYTES else ids, "doc_id", "left_anti")
+def _by_key(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``docs`` with, or without, the rows whose key is among ``keys`` (doc_id and digest of the text, distinct)."""
+    keys = F.broadcast(keys) if keys.count() * KEY_BYTES <= IDS_BYTES else keys
+    alike = docs["doc_id"].eqNullSafe(keys["_id"]) & _digest(docs["text"]).eqNullSafe(keys["_digest"])
+    return docs.join(keys, alike, how)
+
+
+def _digest(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("string").cast("binary")))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents connected by a similarity of 0.8 or more over five-word shingles, the one of least identifier.
 
-    A row repeated with its identifier and text stays once. Documents without a word,
-    and those without an identifier, stay.
+    Rows are told apart by identifier and text: of one identifier with several texts,
+    those that are copies go and others stay, and of copies under one identifier one
+    text stays. A row repeated with both stays once. A document without an identifier
+    comes after all that have one. Documents without a word stay; those that lack an
+    identifier as well are not taken for repeats.
     """
     kept = scratch(spark)
-    found = kept.table(jaccard.near_duplicates(docs), "groups").where("doc_id is not null")
-    copies = found.where("n_shingles > 0 and component_id != doc_id").select("doc_id").distinct()
-    twice = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    rest = _without(docs, kept.table(copies, "copies"))
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", _digest(F.col("text")).alias("digest"))
+    keyed = docs.select(key.alias("key"), "text")
+    found = kept.table(jaccard.near_duplicates(keyed, id_col="key"), "groups").withColumnRenamed("doc_id", "key")
+    names = [F.col("key.doc_id").alias("_id"), F.col("key.digest").alias("_digest")]
+    copies = found.where("n_shingles > 0 and component_id != key").select(*names).distinct()
+    stay = found.where("n_shingles > 0 and component_id = key or n_shingles = 0 and not key.none")
+    twice = stay.groupBy("key").count().where("count > 1").select(*names)
+    rest = _by_key(docs, kept.table(copies, "copies"), "left_anti")
     twice = kept.table(twice, "twice")
     if twice.isEmpty():
         return rest
-    repeated = rest.join(F.broadcast(twice) if twice.count() * 16 <= IDS_BYTES else twice, "doc_id", "left_semi")
-    return _without(rest, twice).unionByName(repeated.dropDuplicates(["doc_id", "text"])).select(docs.columns)
+    repeated = _by_key(rest, twice, "left_semi").dropDuplicates(["doc_id", "text"])
+    return _by_key(rest, twice, "left_anti").unionByName(repeated)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

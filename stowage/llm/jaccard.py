@@ -330,7 +330,8 @@ def near_duplicates(
         """signature, owner and members of some classes, from the text of one row of each."""
         asked = profile.join(owners, "owner", "left_semi").groupBy("signature").agg(F.min(ID).alias("row"))
         asked = kept.table(asked.select("row").distinct(), "rows")
-        if asked.count() * 16 <= IDS_BYTES:  # two words a row at most, as counted
+        # two words a row at most, as counted; an identifier of several fields has more
+        if asked.count() * (64 if kind.startswith("struct") else 16) <= IDS_BYTES:
             asked = F.broadcast(asked)
         found = plain.join(asked, F.col(ID).eqNullSafe(F.col("row")), "left_semi")
         found = map_texts(found, partial(_members, n=n), "signature binary, owner bigint, members binary").drop(ID)

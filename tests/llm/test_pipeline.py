@@ -105,6 +105,23 @@ def test_repeated_rows_stay_once(spark, awkward):
     assert sorted(str(r.doc_id) for r in rows) == sorted(["1", "2", "3", "4", "None", "6", "7", "8"])
 
 
+def test_copies_go_by_row(spark):
+    """An id with two texts, copies under one id, and copies without an id: one row of each group stays."""
+    words = [" ".join(f"{kind}{i}" for i in range(60)) for kind in "abcd"]
+    rows = [
+        (1, words[0]), (5, words[0] + " end"), (5, words[1]), (5, words[1]),  # a copy of 1, and a text of its own twice
+        (7, words[2]), (7, words[2] + " end"),  # near copies under the least id
+        (None, words[3]), (None, words[3]), (None, words[3] + " end"), (None, words[1] + " end"),
+        (None, ""), (None, ""), (8, ""), (8, ""), (9, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.keep_one_of_each(spark, docs, SF).collect()]
+    assert len(got) == len([d for d in got if d in rows]) == 8
+    count = lambda doc, text: sum(d == doc and (t or "").startswith(text) for d, t in got)
+    assert [count(1, words[0]), count(5, words[0]), count(5, words[1]), count(7, words[2])] == [1, 0, 1, 1]
+    assert [count(None, words[3]), count(None, words[1]), got.count((None, "")), got.count((8, "")), got.count((9, None))] == [1, 0, 2, 1, 1]
+
+
 def test_quality_decisions_are_the_rules(spark, steps):
     labels = spark.read.parquet(f"{SF}/labels.parquet").where(remainder("doc_id", 3) != 1)
     measured = quality.statistics(steps[0])
