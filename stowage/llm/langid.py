@@ -33,7 +33,6 @@ from stowage.llm.learn import logistic
 from stowage.llm.tables import ID, TEXT, map_texts, scratch, small_batches
 
 ORDER, BITS = 4, 15  # n-grams of four characters with 15 bits each
-MAX_GRAMS = 2_000_000  # n-grams of all languages together that a model keeps, the most frequent first
 CALIBRATION_ROWS = 4000
 UNKNOWN = "und"
 _BLOCK_CHARS = 1 << 19
@@ -295,13 +294,13 @@ def learn(
     calibration: Column,
     lang_col: str = "lang",
     text_col: str = TEXT,
-    max_grams: int = MAX_GRAMS,
     calibration_rows: int = CALIBRATION_ROWS,
 ) -> Model | None:
     """A model from the rows where ``training`` holds; of these, ``calibration`` rows fit the confidence only.
 
-    All training rows are counted. ``max_grams`` bounds what is kept of the counts,
-    ``calibration_rows`` the rows that the confidence is fitted on.
+    All training rows are counted and all their n-grams are kept, so that a model grows
+    with the n-grams of its languages; ``calibration_rows`` bounds the rows that the
+    confidence is fitted on.
     """
     small_batches(docs.sparkSession)
     rows = docs.where(training & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
@@ -311,28 +310,13 @@ def learn(
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     )
     counts = scratch(docs.sparkSession).table(counts, "grams")
-    # The least count that keeps a language within its share, from how many n-grams have each count.
-    sizes: dict[str, list[tuple[int, int]]] = {}
-    capped = F.least(F.col("n"), F.lit(100_000))
-    for r in counts.groupBy("lang", capped.alias("n")).count().collect():
-        sizes.setdefault(r["lang"], []).append((r["n"], r["count"]))
-    least = {}
-    for lang, of in sizes.items():
-        total = 0
-        for n, size in sorted(of, reverse=True):
-            total += size
-            if total > max_grams // len(sizes):
-                break
-            least[lang] = n
-    if not least:
+    kept = counts.toArrow()
+    if not kept.num_rows:
         return None
-    enough = F.lit(False)
-    for lang, n in least.items():
-        enough = enough | ((F.col("lang") == lang) & (F.col("n") >= n))
-    kept = counts.where(enough).toArrow()
-    names, keys, n = kept["lang"].to_numpy(), kept["gram"].to_numpy().view(np.uint64), kept["n"].to_numpy()
-    langs = sorted(least)
-    table = {lang: _reduced(keys[names == lang], n[names == lang]) for lang in langs}
+    names = kept["lang"].combine_chunks().dictionary_encode()
+    code, keys, n = names.indices.to_numpy(), kept["gram"].to_numpy().view(np.uint64), kept["n"].to_numpy()
+    table = {lang: _reduced(keys[code == j], n[code == j]) for j, lang in enumerate(names.dictionary.to_pylist())}
+    langs = sorted(table)
     model = fit(langs, table)
     aside = rows.where("aside").limit(calibration_rows).select("lang", "text").toArrow()
     return _calibrate(model, aside["lang"].to_pylist(), aside["text"].to_pylist())

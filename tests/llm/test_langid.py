@@ -90,3 +90,17 @@ def test_counts_do_not_depend_on_partitions(spark):
     models = [langid.learn(docs.repartition(n), F.lit(True), F.lit(False)) for n in (1, 7)]
     assert all(np.array_equal(a, b) for a, b in zip(models[0].keys, models[1].keys))
     assert all(np.allclose(a, b, equal_nan=True) for a, b in zip(models[0].logs, models[1].logs))
+
+
+def test_all_grams_are_kept(spark):
+    """Four languages of random letters, 2.7 million n-grams: the models are those of the whole counts."""
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzäöüßéèêñçøåæ"))
+    texts = ["".join(rng.choice(letters, 800_000)) for _ in range(4)]
+    docs = spark.createDataFrame([(i, f"l{i}", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string")
+    model = langid.learn(docs, F.lit(True), F.lit(False))
+    each = [np.unique(langid.grams([t])[0]) for t in texts]
+    assert sum(map(len, each)) > 2_000_000
+    assert min(map(len, each)) > 500_000
+    top = model.logs[langid.ORDER - 1]
+    assert [int((~np.isnan(top[:, j])).sum()) for j in range(4)] == [len(e) for e in each]
