@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-from stowage.llm import decontam, jaccard, langid, licenses, neighbours, packing, pii, quality, repeats, toxicity
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from stowage.llm import (
+    decontam,
+    jaccard,
+    langid,
+    licenses,
+    neighbours,
+    packing,
+    periodic,
+    pii,
+    quality,
+    repeats,
+    toxicity,
+)
 from stowage.llm.learn import remainder
 from stowage.llm.tables import read, scratch
 
@@ -81,6 +93,40 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def periodic_ends() -> Column:
+    """``text`` of documents; with a tenth of the identifiers, from some word on it repeats the words that stand there."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def with_end(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        place = lambda i: (a + (i - a) % p + 1).cast("int")
+        moved = F.transform(words, lambda word, i: F.when(i >= a, F.get(words, place(i) - 1)).otherwise(word))
+        return F.when(n > 0, F.array_join(moved, " ")).otherwise("")
+
+    words = F.filter(F.split("text", "[\\x09-\\x0D\\x20]+", -1), lambda word: word != "")
+    # the words are a variable of the function, so that they are not split anew for each of them
+    return F.when(h % 10 == 0, F.transform(F.array(words), with_end)[0]).otherwise(F.col("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", periodic_ends().alias("text"))
+    found = periodic.periodic_runs(docs)
+    line = lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "start",
+        "length",
+        "period",
+        F.floor(1000 * F.col("length") / F.col("period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
@@ -92,6 +138,7 @@ QUERIES = {
     "op8_suffix_repeats": op8_suffix_repeats,
     "op9_neighbours": op9_neighbours,
     "op10_decontamination": op10_decontamination,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {}
