@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stowage.llm import (
+    bpe,
     decontam,
     jaccard,
     langid,
@@ -127,6 +128,16 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(read(spark, sf_dir, "documents"), tokenizer_path(), both=True)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
@@ -139,6 +150,7 @@ QUERIES = {
     "op9_neighbours": op9_neighbours,
     "op10_decontamination": op10_decontamination,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_bpe": op13_bpe,
 }
 
 ORACLES: dict[str, str] = {}
