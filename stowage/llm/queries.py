@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stowage.llm import (
@@ -17,6 +19,7 @@ from stowage.llm import (
     quality,
     repeats,
     toxicity,
+    variants,
 )
 from stowage.llm.learn import remainder
 from stowage.llm.tables import read, scratch
@@ -128,6 +131,20 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def misspelt(doc_id: int | None, word: str) -> str:
+    """``word`` of a document; about one in a hundred lacks a code point."""
+    h = zlib.crc32(f"{doc_id}:{word}".encode())
+    if doc_id is None or h % 97:
+        return word
+    k = h % len(word)
+    return word[:k] + word[k + 1 :]
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.count_words(read(spark, sf_dir, "documents"), change=misspelt)
+    return variants.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(read(spark, sf_dir, "documents"), tokenizer_path(), both=True)
     return encoded.select(
@@ -150,6 +167,7 @@ QUERIES = {
     "op9_neighbours": op9_neighbours,
     "op10_decontamination": op10_decontamination,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_bpe": op13_bpe,
 }
 
