@@ -23,7 +23,8 @@ class WriteReport:
 
     ``rows`` counts by status; ``superseded`` is how many written rows a later
     row with the same key replaced within the load, ``unique_conflicts`` how
-    many rows a key or a unique index refused (they count as rejected).
+    many rows a key or a unique index refused (they count as rejected), ``rounds``
+    in how many rounds that was found out.
     ``reasons`` has every reason with the number of rows it holds for;
     ``batches`` has one row per batch when a row was refused or a report was
     asked for. It is read from scratch until :meth:`close`.
@@ -37,6 +38,7 @@ class WriteReport:
     batches: DataFrame | None = None
     reasons: list[tuple[str, int]] = field(default_factory=list)
     scratch: Scratch | None = None
+    rounds: int = 0
 
     @property
     def failed(self) -> bool:

@@ -2,27 +2,40 @@
 
 A load is taken row by row: a row is refused if another key holds one of its
 unique values at that moment (or, in a strict insert, if its key is held); a row
-that is taken in gives up what its key held before. Only rows that compete are
-looked at: those of keys with a value that several keys claim, and in a strict
-insert those of keys that are held or repeated. Competing keys fall into
-connected components, found in a number of rounds that grows with the logarithm of a
-chain, and each component is streamed through one task in order. What a task
-remembers is what is held, not the rows that were refused.
-
-Where a batch with a refused row is undone, batches are taken whole, one after
-another in the order of their first rows, and what a batch does is seen by later
-ones only if none of its rows is refused.
+that is taken in gives up what its key held before. Where a batch with a refused
+row is undone, batches are taken whole, one after another in the order of their
+first rows, and what a batch does is seen by later ones only if none of its rows
+is refused. A row, or such a batch, is a *unit* here.
+
+Only keys that compete take part: those with a value that several keys claim, and in
+a strict insert those that are held or repeated. Units are decided set-wise, in
+rounds of joins and aggregates by value; nothing is gathered by what is connected.
+What may bear on a value are the units of all keys that ever claim it. In a round, a
+unit is decided
+
+* if no undecided unit before it bears on its values: by what is held now;
+* if another key holds a value of it and has no undecided unit before it: all that ask
+  for a frequent value fall at once, however many (where a lower index may
+  yet be the reason, or a batch has other rows to look at, the unit has no effect
+  any more, and its reasons follow);
+* if one undecided unit before it bears on its values: both ways, and then by that
+  unit's outcome. Such units form chains, along which outcomes are composed by doubling,
+  so that a chain of any length takes a logarithm of steps within one round.
+
+The first undecided unit is always decided. Rounds grow with the longest path of units
+that wait for two or more others each; in random loads, about with the logarithm of their number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from functools import partial
+from functools import partial, reduce
+from itertools import groupby
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from stowage.operators.components import components
+from stowage.operators.numbering import number_rows
 from stowage.sources.files import Scratch
 from stowage.spec import SpaceSpec
 
@@ -30,6 +43,9 @@ KEY, VALUES, REASON = "_key", "_values", "_reason"
 BATCH, BROKEN = "_batch", "_broken"
 KEY_REASON = 0  # other reasons are the numbers of unique indexes, from 1
 
+_MANY = -1  # in place of the unit that another waits for, if there are several
+_REFUSALS = "array<struct<seq: bigint, reason: int>>"
+
 
 def _text(name: str, data_type: T.DataType) -> Column:
     value = F.col(name)
@@ -86,56 +102,185 @@ def competing_keys(load: DataFrame, held: DataFrame | None, strict: bool, scratc
     return scratch.table(found, "competing")
 
 
-def _decide(batches: Iterator[pa.RecordBatch], strict: bool) -> Iterator[pa.RecordBatch]:
-    component, group, fails, rows, held, own_rows, own_held = None, None, False, {}, {}, {}, {}
-    for batch in batches:
-        out = []
-        for r in batch.to_pylist():
-            if r["component"] != component:
-                component, group, rows, held, own_rows, own_held = r["component"], None, {}, {}, {}, {}
-            if r["group"] != group:
-                if not fails:
-                    _settle(rows, held, own_rows, own_held)
-                group, fails, own_rows, own_held = r["group"], r["fails"], {}, {}
-            key, values = r[KEY], r[VALUES]
-            before = own_rows.get(key, rows.get(key))
-            reason = KEY_REASON if strict and before is not None and r["seq"] is not None else None
-            if reason is None and r["seq"] is not None:
-                for n, value in enumerate(values, start=1):
-                    if value is not None and own_held.get(value, held.get(value)) not in (None, key):
-                        reason = n
-                        break
-            if reason is not None:
-                fails = True
-                out.append((r["seq"], reason, component, group))
-                continue
-            # What a batch does is seen by its own rows only until it is known that it isn't undone.
-            own_held.update((v, None) for v in before or () if v is not None)
-            own_rows[key] = values
-            own_held.update((v, key) for v in values if v is not None)
-            if group is None:
-                _settle(rows, held, own_rows, own_held)
-        columns = list(zip(*out)) or [()] * len(_REFUSED)
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _REFUSED)], schema=_REFUSED)
-
-
-_REFUSED = pa.schema([("seq", pa.int64()), (REASON, pa.int32()), ("component", pa.binary()), ("group", pa.int64())])
-
-
-def _settle(rows: dict, held: dict, own_rows: dict, own_held: dict) -> None:
-    """Move what a batch did to what all later rows see."""
-    rows.update(own_rows)
-    for value, key in own_held.items():
-        if key is None:
-            held.pop(value, None)
+def _tokens() -> Column:
+    """n and token: the key's as number 0, then those of the unique indexes."""
+    return F.posexplode(F.concat(F.array(KEY), VALUES)).alias("n", "token")
+
+
+def _states(asks: DataFrame) -> DataFrame:
+    """The last row of each key: its place, and its tokens."""
+    rows = asks.groupBy(KEY, "at").agg(F.collect_set("token").alias("tokens"))
+    return rows.groupBy(KEY).agg(F.max_by("tokens", "at").alias("tokens"), F.max("at").alias("at"))
+
+
+def _two_first(units: DataFrame, by: str) -> DataFrame:
+    """The first two units of each ``by``; before the shuffle, tasks keep no more than that either."""
+    rank = F.dense_rank().over(Window.partitionBy(by).orderBy("unit"))
+    return units.withColumn("_rank", rank).where("_rank <= 2").drop("_rank")
+
+
+def _seen(asks: DataFrame, links: DataFrame, states: DataFrame, strict: bool) -> DataFrame:
+    """Asks with ``holder`` (the key that holds the value), ``others`` (whether that refuses the row), ``surely``
+    (whether it is sure to last until the unit's turn) and ``waits``: the undecided unit before that bears on it.
+    """
+    units = asks.select(KEY, "unit", "dead").distinct()
+    live = units.where("NOT dead").groupBy(KEY).agg(F.min("unit").alias("unit")).withColumn("dead", F.lit(False))
+    firsts = _two_first(units, KEY).unionByName(live)
+    bearing = links.join(firsts, KEY).groupBy("token", "unit").agg(F.min("dead").alias("dead"))
+    two = _two_first(bearing, "token").groupBy("token").agg(F.min("unit").alias("one"), F.max("unit").alias("two"))
+    of_live = bearing.where("NOT dead").groupBy("token").agg(F.min("unit").alias("one_live"))
+    first_of = live.select(F.col(KEY).alias("holder"), F.col("unit").alias("holder_first"))
+    holders = states.select(F.explode("tokens").alias("token"), F.col(KEY).alias("holder"))
+    held = two.join(of_live, "token", "left").join(holders.join(first_of, "holder", "left"), "token", "left")
+    seen = asks.join(held, "token")
+    others = F.when(F.col("n") == KEY_REASON, F.lit(strict) & F.col("holder").isNotNull())
+    others = others.otherwise(F.coalesce(F.col("holder") != F.col(KEY), F.lit(False)))
+    # what has no effect any more waits for those that may have one; others wait for all before
+    late = F.when(F.col("dead"), F.coalesce(F.col("one_live") < F.col("unit"), F.lit(False)))
+    late = late.otherwise(F.col("one") < F.col("unit"))
+    several = F.col("dead") | (F.col("two") > F.col("one")) & (F.col("two") < F.col("unit"))
+    return seen.select(
+        "unit",
+        "at",
+        "seq",
+        KEY,
+        "dead",
+        "n",
+        "token",
+        "holder",
+        others.alias("others"),
+        (others & F.coalesce(F.col("unit") < F.col("holder_first"), F.lit(True))).alias("surely"),
+        F.when(late, F.when(several, F.lit(_MANY)).otherwise(F.col("one"))).alias("waits"),
+    )
+
+
+def _units(seen: DataFrame) -> DataFrame:
+    """unit, dead, the first index for which it is sure to be refused, the first one that is open, what it waits for."""
+    one = F.min("waits") == F.max("waits")
+    return seen.groupBy("unit").agg(
+        F.first("dead").alias("dead"),
+        F.min(F.when(F.col("surely"), F.col("n"))).alias("sure"),
+        F.min(F.when(F.col("waits").isNotNull(), F.col("n"))).alias("open"),
+        F.when(one, F.min("waits")).when(F.min("waits").isNotNull(), F.lit(_MANY)).alias("waits"),
+    )
+
+
+_BOTH_WAYS = "NOT dead AND sure IS NULL AND waits <> -1"
+
+
+def _judged_rows(seen: DataFrame, asks: DataFrame, strict: bool) -> DataFrame:
+    """Units of one row: unit, ready, dead, waits; if_taken and if_not, the outcome if the unit it waits for is taken
+    in and if it is not; and the refusals either way.
+    """
+    units = _units(seen)
+    # The reason is the first index whose value is held: none before it may be open.
+    ready = F.col("open").isNull() | F.coalesce(F.col("sure") < F.col("open"), F.lit(False))
+    units = units.withColumns({"ready": ready, "both": ~ready & F.expr(_BOTH_WAYS)})
+    # What the unit waited for would hold its values, and would have given up what its key held.
+    first = asks.groupBy(F.col("unit").alias("waits")).agg(
+        F.first(KEY).alias("first_key"), F.collect_set("token").alias("first_tokens")
+    )
+    waiting = seen.drop("waits", "dead").join(units.where("both").select("unit", "waits"), "unit").join(first, "waits")
+    is_key = F.col("n") == KEY_REASON
+    taken = F.when(is_key, F.lit(strict)).otherwise(F.col("first_key") != F.col(KEY))
+    given = ~is_key & F.coalesce(F.col("holder") == F.col("first_key"), F.lit(False))
+    then = F.when(F.array_contains("first_tokens", F.col("token")), taken).otherwise(F.col("others") & ~given)
+    either = waiting.groupBy("unit").agg(
+        F.min(F.when(then, F.col("n"))).alias("reason_then"), F.min(F.when(F.col("others"), F.col("n"))).alias("reason_else")
+    )
+    seqs = seen.groupBy("unit").agg(F.first("seq").alias("seq"))
+    judged = units.join(seqs, "unit").join(either, "unit", "left")
+    then, other = (F.when(F.col("both"), F.col(c)).otherwise(F.col("sure")) for c in ("reason_then", "reason_else"))
+
+    def refusals(reason: Column) -> Column:
+        one = F.struct("seq", reason.cast("int").alias("reason"))
+        return F.when(reason.isNotNull(), F.array(one)).otherwise(F.array()).cast(_REFUSALS)
+
+    return judged.select(
+        "unit",
+        (F.col("ready") | F.col("both")).alias("ready"),
+        (F.col("dead") | F.col("sure").isNotNull()).alias("dead"),
+        F.when(F.col("both"), F.col("waits")).alias("waits"),
+        (~F.col("dead") & then.isNull()).alias("if_taken"),
+        (~F.col("dead") & other.isNull()).alias("if_not"),
+        refusals(then).alias("refused_if_taken"),
+        refusals(other).alias("refused_if_not"),
+    )
+
+
+def _row_by_row(rows: list[tuple], held: dict[bytes, bytes], strict: bool) -> list[tuple[int, int]]:
+    """Take the rows of a batch in turn, given who holds what; the refused ones with their reasons."""
+    refused, own = [], {}
+    for token, key in held.items():
+        own.setdefault(key, set()).add(token)
+    for seq, key, tokens in rows:
+        reason = None
+        for n, token in tokens:
+            holder = held.get(token)
+            if holder is not None and (strict if n == KEY_REASON else holder != key):
+                reason = n
+                break
+        if reason is not None:
+            refused.append((seq, reason))
+            continue
+        for token in own.pop(key, ()):
+            del held[token]
+        held.update((token, key) for _, token in tokens)
+        own[key] = {token for _, token in tokens}
+    return refused
+
+
+def _batch_by_batch(batches: Iterator[pa.RecordBatch], strict: bool) -> Iterator[pa.RecordBatch]:
+    """``batches`` hold the asks of units, each after those of the unit it waits for."""
+    asks = (ask for batch in batches for ask in batch.to_pylist())
+    for unit, of_unit in groupby(asks, lambda ask: ask["unit"]):
+        before, rows, held = [], [], {}
+        for (own, _), of_row in groupby(of_unit, lambda ask: (ask["own"], ask["at"])):
+            of_row = list(of_row)
+            (rows if own else before).append((of_row[0]["seq"], of_row[0][KEY], [(a["n"], a["token"]) for a in of_row]))
+            held.update((a["token"], a["holder"]) for a in of_row if a["holder"] is not None)
+        refused = _row_by_row(rows, dict(held), strict)
+        if before:
+            # all its rows were taken in, as it was not undone
+            _row_by_row(before, held, strict=False)
+            then = _row_by_row(rows, held, strict)
         else:
-            held[value] = key
-    own_rows.clear()
-    own_held.clear()
+            then = refused
+        lists = [[{"seq": seq, "reason": n} for seq, n in found] for found in (then, refused)]
+        columns = [[unit], [lists[0]], [lists[1]]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _EITHER)], schema=_EITHER)
+
+
+_LIST = pa.list_(pa.struct([("seq", pa.int64()), ("reason", pa.int32())]))
+_EITHER = pa.schema([("unit", pa.int64()), ("refused_if_taken", _LIST), ("refused_if_not", _LIST)])
+
+
+def _judged_batches(seen: DataFrame, asks: DataFrame, strict: bool) -> DataFrame:
+    """As for rows, for units that are batches: the rows of one batch are looked at in turn, in one place."""
+    units = _units(seen).withColumn("ready", F.col("open").isNull())
+    units = units.withColumn("both", ~F.col("ready") & F.expr(_BOTH_WAYS))
+    of = ["unit", "own", "at", "seq", KEY, "n", "token", "holder"]
+    own = seen.drop("dead", "waits").join(units.where("ready OR both").select("unit"), "unit").withColumn("own", F.lit(True))
+    waiting = units.where("both").select(F.col("unit").alias("by"), F.col("waits").alias("unit"))
+    before = asks.join(waiting, "unit").drop("unit").withColumnRenamed("by", "unit").withColumn("own", F.lit(False))
+    before = before.withColumn("holder", F.lit(None).cast("binary"))
+    both = own.select(of).unionByName(before.select(of)).repartition("unit").sortWithinPartitions("unit", "own", "at", "n")
+    schema = f"unit bigint, refused_if_taken {_REFUSALS}, refused_if_not {_REFUSALS}"
+    judged = units.join(both.mapInArrow(partial(_batch_by_batch, strict=strict), schema), "unit", "left")
+    return judged.select(
+        "unit",
+        (F.col("ready") | F.col("both")).alias("ready"),
+        (F.col("dead") | F.col("sure").isNotNull()).alias("dead"),
+        F.when(F.col("both"), F.col("waits")).alias("waits"),
+        (~F.col("dead") & (F.size("refused_if_taken") == 0)).alias("if_taken"),
+        (~F.col("dead") & (F.size("refused_if_not") == 0)).alias("if_not"),
+        "refused_if_taken",
+        "refused_if_not",
+    )
 
 
 class Claims:
-    """The competing rows of a load, to be decided once or, batch by batch, several times.
+    """The competing rows of a load, to be decided once or several times.
 
     ``places`` gives the batch of each row by ``seq`` (``BATCH``: the position of its first
     row, ``BROKEN``: whether it has a bad row) if batches are undone as a whole.
@@ -151,43 +296,97 @@ class Claims:
         scratch: Scratch,
         places: Callable[[], DataFrame] | None = None,
     ):
-        self._order, self._seq, self._strict, self._scratch = list(order), seq, strict, scratch
+        self._seq, self._strict, self._scratch, self._batches = seq, strict, scratch, places is not None
+        self.rounds = 0
         competing = competing_keys(load, held, strict, scratch)
         self.any = not competing.isEmpty()
         if not self.any:
             return
-        found = components(competing.select(F.col(KEY).alias("a"), F.col("token").alias("b")), scratch)
-        of = found.withColumnRenamed("node", KEY)
-        rows = load.join(of, KEY)
-        if held is not None:
-            types = {f.name: f.dataType for f in load.schema.fields}
-            nobody = [F.lit(None).cast(types[c]).alias(c) for c in load.columns if c not in (KEY, VALUES)]
-            rows = rows.unionByName(held.select(KEY, VALUES, *nobody).join(of, KEY))
-        if places is None:
-            rows = rows.withColumn("group", F.lit(None).cast("long")).withColumn(BROKEN, F.lit(False))
+        keys = competing.select(KEY).distinct()
+        rows = load.join(keys, KEY, "left_semi")
+        if self._batches:
+            rows = number_rows(rows.join(places(), seq, "left"), [BATCH, *order], scratch, name="at")
+            # a window of one batch
+            rows = rows.withColumn("unit", F.min("at").over(Window.partitionBy(BATCH)))
         else:
-            self._order = [BATCH, *self._order]
-            rows = rows.join(places(), seq, "left").withColumn("group", F.col(BATCH)[seq])
-        self._rows = scratch.table(rows, "claims")
-
-    def refused(self, statuses: DataFrame | None = None, found: DataFrame | None = None) -> DataFrame:
-        """Refused rows (``seq``, the reason, component and batch) when rows of ``statuses`` marked as skipped
-        do not take part, and batches with a bad row, or one that ``found`` has in another component, are undone.
-        """
-        rows = self._rows.withColumn("seq", F.col(self._seq))
+            rows = number_rows(rows, order, scratch, name="at").withColumns({"unit": F.col("at"), BROKEN: F.lit(False)})
+        # a key bears on its own rows as well
+        self._links = scratch.table(competing.union(keys.select(KEY, KEY).toDF(KEY, "token")).distinct(), "links")
+        dead = F.coalesce(F.col(BROKEN), F.lit(False)).alias("dead")
+        asks = rows.select("unit", "at", F.col(seq).alias("seq"), KEY, dead, _tokens())
+        self._asks = scratch.table(asks.join(self._links, [KEY, "token"], "left_semi"), "asks")
+        tokens = self._asks.select(KEY, "token", "at").limit(0)
+        if held is not None:
+            tokens = held.select(KEY, _tokens()).join(self._links, [KEY, "token"], "left_semi")
+            tokens = tokens.withColumn("at", F.lit(0).cast("long"))
+        self._held = scratch.table(_states(tokens), "states")
+
+    def refused(self, statuses: DataFrame | None = None) -> DataFrame:
+        """Refused rows (``seq`` and the reason) when rows of ``statuses`` marked as skipped do not take part."""
+        kept, asks, states = self._scratch, self._asks, self._held
         if statuses is not None:
             skipped = statuses.where("status = 'skipped'").select(F.col(self._seq).alias("seq"))
-            rows = rows.join(skipped, "seq", "left_anti")
-        fails = F.coalesce(F.col(BROKEN), F.lit(False))
-        if found is not None:
-            # Refusals in the component itself are found anew.
-            where = found.where("group IS NOT NULL").groupBy("group")
-            rows = rows.join(where.agg(F.min("component").alias("_low"), F.max("component").alias("_high")), "group", "left")
-            fails |= F.coalesce((F.col("_low") != F.col("component")) | (F.col("_high") != F.col("component")), F.lit(False))
-        # NULL sorts first: the rows of the space.
-        ordered = rows.withColumn("fails", fails).repartition("component")
-        ordered = ordered.sortWithinPartitions("component", F.col("seq").isNotNull(), *self._order)
-        narrow = ordered.select("component", "seq", KEY, VALUES, "group", "fails")
-        schema = f"seq bigint, {REASON} int, component binary, group bigint"
-        decided = narrow.mapInArrow(partial(_decide, strict=self._strict), schema)
-        return self._scratch.table(decided.withColumnRenamed("seq", self._seq), "refused")
+            asks = kept.table(asks.join(skipped, "seq", "left_anti"), "asks")
+        judge = _judged_batches if self._batches else _judged_rows
+        refused = [asks.select("seq", F.col("n").alias("reason")).limit(0)]
+        while not asks.isEmpty():
+            self.rounds += 1
+            seen = kept.table(_seen(asks, self._links, states, self._strict), "seen")
+            judged = kept.table(judge(seen, asks, self._strict), "judged")
+            decided = kept.table(self._decided(judged), "decided")
+            refused.append(decided.select(F.explode("refused").alias("r")).select("r.*"))
+            taken = _states(asks.join(decided.where("taken"), "unit", "left_semi"))
+            last = states.unionByName(taken).groupBy(KEY)
+            states = kept.table(last.agg(F.max_by("tokens", "at").alias("tokens"), F.max("at").alias("at")), "states")
+            dead = judged.select("unit", F.col("dead").alias("_dead"))
+            rest = asks.join(decided, "unit", "left_anti").join(dead, "unit")
+            asks = kept.table(rest.withColumn("dead", F.col("_dead")).drop("_dead"), "asks")
+        every = reduce(DataFrame.unionByName, refused)
+        return kept.table(every.select(F.col("seq").alias(self._seq), F.col("reason").alias(REASON)), "refused")
+
+    def _decided(self, judged: DataFrame) -> DataFrame:
+        """unit, taken and refused (its refused rows) of the units that this round decides."""
+        ready = judged.where("ready")
+        chain = ready.select("unit", "waits", "if_taken", "if_not")
+        if ready.where("waits IS NOT NULL").isEmpty():
+            return ready.select("unit", F.col("if_not").alias("taken"), F.col("refused_if_not").alias("refused"))
+        names = {c: f"_{c}" for c in chain.columns}
+        while not chain.where("waits IS NOT NULL").isEmpty():
+            met = chain.join(chain.withColumnsRenamed(names), F.col("waits") == F.col("_unit"), "left")
+            # what waits for a unit that stays open stays open
+            met = met.where("waits IS NULL OR _unit IS NOT NULL")
+
+            def after(name: str) -> Column:
+                follow = F.when(F.col(f"_{name}"), F.col("if_taken")).otherwise(F.col("if_not"))
+                return F.when(F.col("waits").isNull(), F.col(name)).otherwise(follow).alias(name)
+
+            stepped = met.select("unit", F.col("_waits").alias("waits"), after("if_taken"), after("if_not"))
+            chain = self._scratch.table(stepped, "chain")
+        taken = chain.select("unit", F.col("if_not").alias("taken"))
+        before = taken.select(F.col("unit").alias("waits"), F.col("taken").alias("_before"))
+        decided = ready.join(taken, "unit").join(before, "waits", "left")
+        chosen = F.when(F.col("_before"), F.col("refused_if_taken")).otherwise(F.col("refused_if_not"))
+        return decided.select("unit", "taken", chosen.alias("refused"))
+
+
+class KeyClaims:
+    """A strict insert into a space without unique indexes, row by row: the first row of a key that is free is taken in."""
+
+    rounds = 1
+
+    def __init__(self, load: DataFrame, held: DataFrame | None, order: Sequence[str], seq: str, scratch: Scratch):
+        first = load.groupBy(KEY).agg(F.min(F.struct(*order)).alias("first"), F.count("*").alias("n")).where("n > 1")
+        again = load.join(first, KEY).where(F.col("first")[seq] != F.col(seq)).select(seq)
+        if held is not None:
+            again = again.union(load.join(held.select(KEY), KEY, "left_semi").select(seq)).distinct()
+        self._refused = scratch.table(again.withColumn(REASON, F.lit(KEY_REASON)), "refused")
+        self.any = not self._refused.isEmpty()
+        self._load, self._scratch, self._order, self._seq, self._held = load, scratch, list(order), seq, held
+
+    def refused(self, statuses: DataFrame | None = None) -> DataFrame:
+        if statuses is None:
+            return self._refused
+        # rows that are skipped leave a key to later ones
+        skipped = statuses.where("status = 'skipped'").select(self._seq)
+        rest = self._load.join(skipped, self._seq, "left_anti")
+        return KeyClaims(rest, self._held, self._order, self._seq, self._scratch)._refused

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from stowage.operators.batches import REJECTED, STATUSES, WRITTEN, WriteReport, batch_report
-from stowage.operators.claims import BATCH, KEY_REASON, REASON, Claims, claims_of, held_claims
+from stowage.operators.claims import BATCH, KEY_REASON, REASON, Claims, KeyClaims, claims_of, held_claims
 from stowage.operators.keys import last_rows
 from stowage.operators.landing import PROBLEMS, SEQ, Landing, is_bad
 from stowage.operators.validate import LINE
@@ -20,7 +20,7 @@ class Load:
         self.snapshots, self.old, self.landing, self.write, self.strict = snapshots, old, landing, write, strict
         self.spec, self.scratch = landing.spec, landing.scratch
         self.key = list(self.spec.primary_key)
-        self.superseded = self.conflicts = 0
+        self.superseded = self.conflicts = self.rounds = 0
         self.refused = self.statuses = self.places = None
 
         # One pass over the keys: counts and the span of the first key field.
@@ -72,12 +72,14 @@ class Load:
         self.counts = {**dict.fromkeys(STATUSES, 0), **{r["status"]: r["count"] for r in counted}}
         self.good = self.counts[WRITTEN]
 
-    def _claims(self) -> Claims:
+    def _claims(self) -> Claims | KeyClaims:
         load = claims_of(self.landing.rows.where(~is_bad()), self.spec, *self.landing.position)
         load = self.scratch.table(load, "claimed")
         fields = list(dict.fromkeys([*self.key, *[f for u in self.spec.unique_keys for f in u.fields]]))
         space = self.snapshots.read(self.old) if self.spec.unique_keys and self.old.files else self._near()[1]
         held = None if space is None else held_claims(claims_of(space.select(*fields), self.spec), load, self.scratch)
+        if not self.spec.unique_keys and not self.write.rollback_on_error:
+            return KeyClaims(load, held, self.landing.position, SEQ, self.scratch)
         places = self._places if self.write.rollback_on_error else None
         return Claims(load, held, self.landing.position, SEQ, self.strict, self.scratch, places)
 
@@ -86,24 +88,25 @@ class Load:
             self.places = self.landing.places(self.write.batch_size)
         return self.places
 
-    def _refuse(self, claims: Claims) -> None:
-        """Refusals fail their batches, and what is skipped or undone holds nothing: repeat until both agree.
+    def _refuse(self, claims: Claims | KeyClaims) -> None:
+        """Find the refused rows; where the load stops, what is skipped holds nothing: repeat until both agree.
 
-        What becomes of a batch follows from those before it, so that each round settles one
-        more of them at least, and the rounds end with what row by row comes out.
+        What is skipped in a part follows from batches before it, so that each turn settles the
+        stop of one more part at least.
         """
         found = claims.refused()
         while True:
             empty = found.isEmpty()
             self.refused = None if empty else found
-            if not (self.write.stop_on_error or self.write.rollback_on_error) or (empty and not self.bad):
+            if not self.write.stop_on_error or (empty and not self.bad):
                 break
             self.landing.numbered(self.write.batch_size, keep=True)
             self.statuses = self._statuses()
-            again = claims.refused(self.statuses if self.write.stop_on_error else None, found)
+            again = claims.refused(self.statuses)
             if again.count() == found.count() and again.exceptAll(found).isEmpty():
                 break
             found = again
+        self.rounds = claims.rounds
         if self.refused is not None:
             self.conflicts = self.refused.count()
 
@@ -162,7 +165,7 @@ class Load:
 
     def report(self, version: Version, whole: bool) -> WriteReport:
         """``whole``: with the batches even if no row was refused."""
-        report = WriteReport(self.write.space, version.number, self.counts, self.superseded, self.conflicts)
+        report = WriteReport(self.write.space, version.number, self.counts, self.superseded, self.conflicts, rounds=self.rounds)
         reasons = []
         if self.bad:
             # as many kinds of lines as the fields of a space allow
