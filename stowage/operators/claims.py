@@ -282,14 +282,16 @@ def _judged_batches(seen: DataFrame, asks: DataFrame, strict: bool) -> DataFrame
 class Claims:
     """The competing rows of a load, to be decided once or several times.
 
-    ``places`` gives the batch of each row by ``seq`` (``BATCH``: the position of its first
-    row, ``BROKEN``: whether it has a bad row) if batches are undone as a whole.
+    ``competing`` are their keys, with the values that several keys claim. ``places`` gives the
+    batch of each row by ``seq`` (``BATCH``: the position of its first row, ``BROKEN``: whether
+    it has a bad row) if batches are undone as a whole.
     """
 
     def __init__(
         self,
         load: DataFrame,
         held: DataFrame | None,
+        competing: DataFrame,
         order: Sequence[str],
         seq: str,
         strict: bool,
@@ -298,7 +300,6 @@ class Claims:
     ):
         self._seq, self._strict, self._scratch, self._batches = seq, strict, scratch, places is not None
         self.rounds = 0
-        competing = competing_keys(load, held, strict, scratch)
         self.any = not competing.isEmpty()
         if not self.any:
             return
@@ -369,24 +370,109 @@ class Claims:
         return decided.select("unit", "taken", chosen.alias("refused"))
 
 
+class FreshClaims:
+    """Rows of keys that come once, in the load or in the space: what is taken stays taken.
+
+    A round takes in the rows that come first for all their values among the undecided, and
+    leaves out what asks for a value that is taken. Rows with a single contested value
+    are all decided in the first round.
+    """
+
+    rounds, any = 0, True
+
+    def __init__(self, load: DataFrame, held: DataFrame | None, links: DataFrame, order: Sequence[str], seq: str, scratch: Scratch):
+        self._seq, self._scratch = seq, scratch
+        rows = load.join(links.select(KEY).distinct(), KEY, "left_semi")
+        at = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)])
+        asks = rows.select(F.col(seq).alias("seq"), at.alias("at"), F.posexplode(VALUES).alias("n", "token"))
+        contested = links.select("token").distinct()
+        self._asks = scratch.table(asks.join(contested, "token", "left_semi"), "asks")
+        none = F.lit(None).cast(self._asks.schema["at"].dataType)  # before all rows of the load
+        self._held = None if held is None else _each(held).select("token", none.alias("taken_at"))
+
+    def refused(self, statuses: DataFrame | None = None) -> DataFrame:
+        kept, every, self.rounds = self._scratch, self._asks, 0
+        if statuses is not None:
+            skipped = statuses.where("status = 'skipped'").select(F.col(self._seq).alias("seq"))
+            every = kept.table(every.join(skipped, "seq", "left_anti"), "asks")
+        asks, taken = every, []
+        if self._held is not None:
+            taken.append(kept.table(self._held.join(every, "token", "left_semi"), "taken"))
+            asks = kept.table(self._without(asks, taken[0]), "asks")
+        while not asks.isEmpty():
+            self.rounds += 1
+            first = asks.join(asks.groupBy("token").agg(F.min("at").alias("first")), "token").groupBy("at")
+            wins = first.agg(F.bool_and(F.col("first") == F.col("at")).alias("wins")).where("wins").select("at")
+            won = asks.join(wins, "at", "left_semi").select("token", F.col("at").alias("taken_at"))
+            taken.append(kept.table(won, "taken"))
+            asks = kept.table(self._without(asks, taken[-1]), "asks")
+        if not taken:
+            return kept.table(every.select(F.col("seq").alias(self._seq), F.col("n").alias(REASON)).limit(0), "refused")
+        # of the values that others hold when a row's turn comes, the first index is the reason
+        held = every.join(reduce(DataFrame.unionByName, taken), "token").where("taken_at IS NULL OR taken_at < at")
+        reasons = held.groupBy(F.col("seq").alias(self._seq)).agg((F.min("n") + 1).alias(REASON))
+        return kept.table(reasons, "refused")
+
+    @staticmethod
+    def _without(asks: DataFrame, taken: DataFrame) -> DataFrame:
+        """Asks of rows that ask for none of the values taken; those of the takers go as well."""
+        met = asks.join(taken.select("token"), "token", "left_semi").select("at").distinct()
+        return asks.join(met, "at", "left_anti")
+
+
 class KeyClaims:
-    """A strict insert into a space without unique indexes, row by row: the first row of a key that is free is taken in."""
+    """A strict insert into a space without unique indexes, row by row: the first row of a key that is free is taken in.
+
+    ``rows`` and the rows of the space, ``held``, have the columns ``key``, which are set; no more
+    of them is read. ``repeated``: whether a key may come twice in the load.
+    """
 
     rounds = 1
 
-    def __init__(self, load: DataFrame, held: DataFrame | None, order: Sequence[str], seq: str, scratch: Scratch):
-        first = load.groupBy(KEY).agg(F.min(F.struct(*order)).alias("first"), F.count("*").alias("n")).where("n > 1")
-        again = load.join(first, KEY).where(F.col("first")[seq] != F.col(seq)).select(seq)
+    def __init__(
+        self,
+        rows: DataFrame,
+        held: DataFrame | None,
+        key: Sequence[str],
+        order: Sequence[str],
+        seq: str,
+        scratch: Scratch,
+        repeated: bool = True,
+    ):
+        self._of, self._scratch, self._seq = (held, list(key), list(order), seq, scratch, repeated), scratch, seq
+        self._rows, refused = rows, [rows.select(seq).limit(0)]
         if held is not None:
-            again = again.union(load.join(held.select(KEY), KEY, "left_semi").select(seq)).distinct()
-        self._refused = scratch.table(again.withColumn(REASON, F.lit(KEY_REASON)), "refused")
+            refused.append(rows.join(held.select(*key), list(key), "left_semi").select(seq))
+        if repeated:
+            first = rows.groupBy(*key).agg(F.min(F.struct(*order)).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+            refused.append(rows.join(first, list(key)).where(F.col("_first")[seq] != F.col(seq)).select(seq))
+        every = reduce(DataFrame.union, refused[1:] or refused)
+        every = every.distinct() if len(refused) > 2 else every
+        self._refused = scratch.table(every.withColumn(REASON, F.lit(KEY_REASON)), "refused")
         self.any = not self._refused.isEmpty()
-        self._load, self._scratch, self._order, self._seq, self._held = load, scratch, list(order), seq, held
 
     def refused(self, statuses: DataFrame | None = None) -> DataFrame:
         if statuses is None:
             return self._refused
         # rows that are skipped leave a key to later ones
         skipped = statuses.where("status = 'skipped'").select(self._seq)
-        rest = self._load.join(skipped, self._seq, "left_anti")
-        return KeyClaims(rest, self._held, self._order, self._seq, self._scratch)._refused
+        return KeyClaims(self._rows.join(skipped, self._seq, "left_anti"), *self._of)._refused
+
+
+def claims(
+    load: DataFrame,
+    held: DataFrame | None,
+    order: Sequence[str],
+    seq: str,
+    strict: bool,
+    scratch: Scratch,
+    places: Callable[[], DataFrame] | None = None,
+) -> Claims | FreshClaims:
+    """What decides a load: the quick way where no key that competes comes twice and no batches are undone."""
+    links = competing_keys(load, held, strict, scratch)
+    if places is None and not links.isEmpty():
+        every = load.select(KEY) if held is None else load.select(KEY).union(held.select(KEY))
+        twice = every.join(links.select(KEY).distinct(), KEY, "left_semi").groupBy(KEY).count().where("count > 1")
+        if twice.isEmpty():
+            return FreshClaims(load, held, links, order, seq, scratch)
+    return Claims(load, held, links, order, seq, strict, scratch, places)

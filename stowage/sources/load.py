@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from stowage.operators.batches import REJECTED, STATUSES, WRITTEN, WriteReport, batch_report
-from stowage.operators.claims import BATCH, KEY_REASON, REASON, Claims, KeyClaims, claims_of, held_claims
+from stowage.operators.claims import BATCH, KEY_REASON, REASON, Claims, FreshClaims, KeyClaims, claims, claims_of, held_claims
 from stowage.operators.keys import last_rows
 from stowage.operators.landing import PROBLEMS, SEQ, Landing, is_bad
 from stowage.operators.validate import LINE
@@ -61,9 +61,9 @@ class Load:
     def settle(self) -> None:
         """Find the rows that the key (in a strict insert) or a unique index refuses, and the status of all rows."""
         if self.good and (self.strict or self.spec.unique_keys):
-            claims = self._claims()
-            if claims.any:
-                self._refuse(claims)
+            deciding = self._claims()
+            if deciding.any:
+                self._refuse(deciding)
         if self.bad == 0 and self.refused is None:
             return
         if self.statuses is None:
@@ -72,29 +72,30 @@ class Load:
         self.counts = {**dict.fromkeys(STATUSES, 0), **{r["status"]: r["count"] for r in counted}}
         self.good = self.counts[WRITTEN]
 
-    def _claims(self) -> Claims | KeyClaims:
-        load = claims_of(self.landing.rows.where(~is_bad()), self.spec, *self.landing.position)
-        load = self.scratch.table(load, "claimed")
+    def _claims(self) -> Claims | FreshClaims | KeyClaims:
+        good, position = self.landing.rows.where(~is_bad()), self.landing.position
+        if not self.spec.unique_keys and not self.write.rollback_on_error:
+            rows = good.select(*dict.fromkeys([*self.key, *position]))
+            return KeyClaims(rows, self._near()[1], self.key, position, SEQ, self.scratch, self.repeated > 0)
+        load = self.scratch.table(claims_of(good, self.spec, *position), "claimed")
         fields = list(dict.fromkeys([*self.key, *[f for u in self.spec.unique_keys for f in u.fields]]))
         space = self.snapshots.read(self.old) if self.spec.unique_keys and self.old.files else self._near()[1]
         held = None if space is None else held_claims(claims_of(space.select(*fields), self.spec), load, self.scratch)
-        if not self.spec.unique_keys and not self.write.rollback_on_error:
-            return KeyClaims(load, held, self.landing.position, SEQ, self.scratch)
         places = self._places if self.write.rollback_on_error else None
-        return Claims(load, held, self.landing.position, SEQ, self.strict, self.scratch, places)
+        return claims(load, held, position, SEQ, self.strict, self.scratch, places)
 
     def _places(self) -> DataFrame:
         if self.places is None:
             self.places = self.landing.places(self.write.batch_size)
         return self.places
 
-    def _refuse(self, claims: Claims | KeyClaims) -> None:
+    def _refuse(self, deciding: Claims | FreshClaims | KeyClaims) -> None:
         """Find the refused rows; where the load stops, what is skipped holds nothing: repeat until both agree.
 
         What is skipped in a part follows from batches before it, so that each turn settles the
         stop of one more part at least.
         """
-        found = claims.refused()
+        found = deciding.refused()
         while True:
             empty = found.isEmpty()
             self.refused = None if empty else found
@@ -102,11 +103,11 @@ class Load:
                 break
             self.landing.numbered(self.write.batch_size, keep=True)
             self.statuses = self._statuses()
-            again = claims.refused(self.statuses)
+            again = deciding.refused(self.statuses)
             if again.count() == found.count() and again.exceptAll(found).isEmpty():
                 break
             found = again
-        self.rounds = claims.rounds
+        self.rounds = deciding.rounds
         if self.refused is not None:
             self.conflicts = self.refused.count()
 

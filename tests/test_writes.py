@@ -499,6 +499,30 @@ def test_a_chain_of_undone_batches(store):
     assert counts["written"] == 40
 
 
+def test_a_chain_of_a_thousand_batches_is_one_round(store):
+    """Each batch waits for one other, so outcomes are composed along the chain; one crowded value takes two rounds."""
+    store.create("t", UNIQUE)
+    rows = [(2 * i + j, f"u{i + j}", None) for i in range(1000) for j in range(2)]
+    settings = {"batch_size": 2, "stop_on_error": False, "rollback_on_error": True}
+    report, got = unique_load(store, rows, **settings)
+    expected = {row[0]: row[1:] for i in range(0, 1000, 2) for row in rows[2 * i : 2 * i + 2]}
+    assert got == expected and report.rounds == 1
+    crowd = [(10_000 + i, "one" if i % 2 else f"own {i}", None) for i in range(500)]
+    report, got = unique_load(store, crowd, **settings)
+    assert report.rows["written"] == 2 and report.rounds <= 3
+
+
+def test_rounds_with_many_crossing_values(store):
+    """Random rows over few values of two indexes, keys that come again, against a plain loop."""
+    draw = random.Random(4)
+    store.create("t", UNIQUE)
+    rows = [(draw.randint(1, 160), f"u{draw.randint(1, 30)}", f"w{draw.randint(1, 40)}") for _ in range(250)]
+    report, got = unique_load(store, rows)
+    expected, counts = plain_load({}, rows)
+    assert got == expected and report.rows == counts
+    assert report.rounds < 20
+
+
 def test_batches_that_interleave_are_taken_whole(spark, store):
     """Two parts in turn: the batch of the earlier first row comes first, also for the last row of a key."""
     store.create("t", UNIQUE)
