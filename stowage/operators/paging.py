@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
@@ -12,12 +13,28 @@ from stowage.operators.numbering import block_of, number_rows
 from stowage.sources.files import Scratch
 from stowage.spec import SpaceSpec
 
+#: Rows of a limited scan that one task may order.
+SMALL = 10_000
+_RANGE_ROWS = 50_000  # of a walk that come to the driver together
+
 
 def end_of(df: DataFrame, spec: SpaceSpec, conditions: Conditions) -> Row | None:
     """The last position among the rows that a limited scan returns, found over the ordering fields alone."""
     order = scan_order(spec, conditions.index)
-    rows = apply_conditions(df, spec, conditions)
-    schema = df.schema
+    return _position(apply_conditions(df, spec, conditions), df.schema, order)
+
+
+def nth_of(df: DataFrame, spec: SpaceSpec, conditions: Conditions, scratch: Scratch) -> Row | None:
+    """As :func:`end_of`, for limits of any size: rows are counted by ranges of the ordering fields, so that no task
+    sees more than its range.
+    """
+    order = scan_order(spec, conditions.index)
+    rows = apply_conditions(df, spec, replace(conditions, limit=None), ordered=False).select(*order)
+    numbered = number_rows(rows, order, scratch, name="_n")
+    return _position(numbered.where(F.col("_n") <= conditions.limit), df.schema, order)
+
+
+def _position(rows: DataFrame, schema: T.StructType, order: list[str]) -> Row | None:
     # Times come to the driver as microseconds: a local time may mean two moments.
     held = [F.unix_micros(f).alias(f) if _is_time(schema, f) else F.col(f) for f in order]
     last = rows.agg(F.max(F.struct(*order)).alias("last")).select("last.*").select(*held).first()
@@ -43,6 +60,20 @@ def up_to(df: DataFrame, spec: SpaceSpec, conditions: Conditions, last: Row) ->
     return apply_conditions(stretch, spec, replace(conditions, limit=None))
 
 
+def walk_pages(df: DataFrame, order: list[str], size: int, rows: int) -> Iterator[list[Row]]:
+    """``df`` of at most ``rows`` rows in order, in lists of ``size``; the driver holds two ranges of rows at most."""
+    ranges = max(1, -(-rows // _RANGE_ROWS))
+    ordered = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    page: list[Row] = []
+    for row in ordered.toLocalIterator(prefetchPartitions=True):
+        page.append(row)
+        if len(page) == size:
+            yield page
+            page = []
+    if page:
+        yield page
+
+
 def number_pages(df: DataFrame, spec: SpaceSpec, index, size: int, scratch: Scratch, page: str = "page") -> DataFrame:
     """All rows with the 0-based page each one falls on; one pass for all pages."""
     numbered = number_rows(df, scan_order(spec, index), scratch, name="_n")

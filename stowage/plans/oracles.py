@@ -238,6 +238,23 @@ ORACLES: dict[str, str] = {
     "shard_composite": f"""
         SELECT conv_id, turn, {_shard("CAST(conv_id AS VARCHAR) || '|' || CAST(turn AS VARCHAR)", 8)} AS shard
         FROM conversations""",
+    "scan_partitioner": """SELECT o_orderkey, o_custkey, CAST(CASE WHEN o_orderkey <= 100 THEN 0
+          WHEN o_orderkey <= 100 + (last - 100) // 10 THEN 1 ELSE 2 END AS INTEGER) AS part
+        FROM orders, (SELECT max(o_orderkey) AS last FROM orders)""",
+    "limit_half": """WITH one AS (
+          SELECT l_orderkey, l_linenumber, max(l_quantity) AS l_quantity FROM lineitem GROUP BY ALL),
+        placed AS (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS place FROM one)
+        SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity FROM placed WHERE place <= (SELECT count(*) // 2 FROM one)""",
+    "page_stream": """WITH placed AS (
+          SELECT *, row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1 AS place FROM orders)
+        SELECT place // 500 AS page, count(*) AS n_rows,
+          arg_min(o_custkey, place) AS first_customer, arg_min(o_orderkey, place) AS first_order,
+          arg_max(o_custkey, place) AS last_customer, arg_max(o_orderkey, place) AS last_order
+        FROM placed GROUP BY 1""",
+    "read_format": """SELECT o_orderkey, o_totalprice FROM orders
+        WHERE o_orderkey > (SELECT max(o_orderkey) // 2 FROM orders)""",
+    "read_format_all": "SELECT * FROM events",
+    "read_format_precedence": "SELECT c_custkey, c_name FROM customer",
     "unique_conflicts": "SELECT p_name, count(*) AS n_rows FROM part GROUP BY p_name HAVING count(*) > 1",
     "unique_index_load": f"""
         SELECT {_PART} FROM (

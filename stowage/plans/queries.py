@@ -24,6 +24,8 @@ from stowage.operators.mapping import to_records
 from stowage.operators.validate import VIOLATIONS, validate_rows
 from stowage.options import WriteOptions
 from stowage.sources.files import Scratch, shared_folder
+from stowage.sources.partitioner import Partitioner
+from stowage.sources.relation import register
 from stowage.sources.store import SpaceStore
 from stowage.spec import Field, Index, SpaceSpec
 
@@ -796,6 +798,86 @@ def insert_strict_after_rollback(spark, folder):
     return store.scan("orders")
 
 
+def _registered(spark, folder, name, key):
+    """A space holding a table, in a store that the data source knows."""
+    df = table(spark, folder, name)
+    store = new_store(spark)
+    store.create(name, SpaceSpec.from_schema(df.schema, key))
+    store.write(df, name, "overwrite")
+    register(spark, store.root)
+    return spark.read.format("stowage")
+
+
+class _EarlyAlone(Partitioner):
+    """The first hundred keys alone, then a tenth of the rest, then all others."""
+
+    def bounds(self, store, space, conditions):
+        last = store.scan(space).agg(F.max("o_orderkey")).first()[0]
+        return [(100,), (100 + (last - 100) // 10,)]
+
+
+@query
+def scan_partitioner(spark, folder):
+    """Orders laid out by a caller's uneven split, with the partition that each came to lie in."""
+    df = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    store = new_store(spark)
+    store.create("orders", SpaceSpec.from_schema(df.schema, ["o_orderkey"]))
+    store.write(df, "orders", "overwrite")
+    laid = store.scan("orders", partitioner=_EarlyAlone())
+    return laid.withColumn("part", F.spark_partition_id())
+
+
+@query
+def limit_half(spark, folder):
+    """The first half of the line items by key, found by counting ranges."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity").distinct()
+    lines = lines.groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("l_quantity"))
+    store = new_store(spark)
+    store.create("lineitem", SpaceSpec.from_schema(lines.schema, ["l_orderkey", "l_linenumber"]))
+    store.write(lines, "lineitem", "overwrite")
+    half = store.scan("lineitem").count() // 2
+    return store.scan("lineitem", conditions=Conditions(index=0).with_limit(half))
+
+
+@query
+def page_stream(spark, folder):
+    """The walk over orders by customer, page by page: ends and size of each."""
+    df = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    store = new_store(spark)
+    store.create("orders", SpaceSpec.from_schema(df.schema, ["o_orderkey"], indexes=(_BY_CUSTOMER,)))
+    store.write(df, "orders", "overwrite")
+    pages = store.walk("orders", "customer", size=500)
+    ends = [(n, len(p), p[0].o_custkey, p[0].o_orderkey, p[-1].o_custkey, p[-1].o_orderkey) for n, p in enumerate(pages)]
+    names = ["page", "n_rows", "first_customer", "first_order", "last_customer", "last_order"]
+    return spark.createDataFrame(ends, ", ".join(f"{n} bigint" for n in names))
+
+
+@query
+def read_format(spark, folder):
+    """Two columns of the later orders, through the data source."""
+    orders = _registered(spark, folder, "orders", ["o_orderkey"]).option("space", "orders").load()
+    middle = table(spark, folder, "orders").agg(F.max("o_orderkey")).first()[0] // 2
+    return orders.where(F.col("o_orderkey") > middle).select("o_orderkey", "o_totalprice")
+
+
+@query
+def read_format_all(spark, folder):
+    """Every event with its times and texts, through the data source."""
+    return plain_times(_registered(spark, folder, "events", ["event_id"]).load(space="events"))
+
+
+@query
+def read_format_precedence(spark, folder):
+    """Of two spaces named, the call's comes before the session's, and its short name before the long one."""
+    spark.conf.set("spark.stowage.space", "nobody")
+    try:
+        reader = _registered(spark, folder, "customer", ["c_custkey"])
+    finally:
+        spark.conf.unset("spark.stowage.space")
+    reader = reader.option("spark.stowage.space", "nothing").option("stowage.space", "customer")
+    return reader.option("columns", "c_custkey, c_name").load()
+
+
 @query
 def load_from_sql(spark, folder):
     for name in ("customer", "nation", "region"):

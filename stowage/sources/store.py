@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
@@ -12,10 +13,11 @@ from stowage.operators.conditions import Conditions, apply_conditions, position_
 from stowage.operators.convert import Converter, convert, convert_with
 from stowage.operators.landing import land
 from stowage.operators.mapping import to_rows
-from stowage.operators.paging import end_of, number_pages, up_to
+from stowage.operators.paging import SMALL, end_of, nth_of, number_pages, up_to, walk_pages
 from stowage.options import ReadOptions, WriteOptions
 from stowage.sources.files import Folder, Scratch
 from stowage.sources.load import Load
+from stowage.sources.partitioner import Partitioner, lay_out
 from stowage.sources.snapshots import Snapshots, Version, as_bound, as_literal
 from stowage.spec import SpaceSpec
 
@@ -77,17 +79,23 @@ class SpaceStore:
         by: Sequence[str] | None = None,
         ordered: bool = True,
         options: Mapping[str, object] | None = None,
+        partitioner: Partitioner | None = None,
     ) -> DataFrame:
         """The rows of a space.
 
         ``schema`` replaces the declared one, field by field by name, and
         ``required`` picks columns of it. ``partitions`` spreads the result over
         that many ranges of the columns ``by``, then the primary key, so that a
-        frequent value of ``by`` may take several.
+        frequent value of ``by`` may take several. A ``partitioner`` gives the ranges itself, one
+        task each.
         """
         read = ReadOptions.resolve(self.spark, options, space=space, conditions=conditions)
         snapshots = self._space(read.space)
         df, _ = self._conditioned(snapshots, read.conditions, ordered)
+        if partitioner is not None:
+            if partitions is not None:
+                raise ValueError("a scan has a number of partitions or a partitioner")
+            df = lay_out(df, snapshots.spec, partitioner, partitioner.bounds(self, read.space, read.conditions))
         if schema is not None or required is not None:
             df = to_rows(df, schema or snapshots.spec.schema(), required)
         if partitions is not None:
@@ -96,12 +104,13 @@ class SpaceStore:
         return df
 
     def _conditioned(
-        self, snapshots: Snapshots, conditions: Conditions, ordered: bool = True
+        self, snapshots: Snapshots, conditions: Conditions, ordered: bool = True, position: bool = False
     ) -> tuple[DataFrame, Row | None]:
-        """A scan of the files that can hold what is asked for, and the last position of a limited one.
+        """A scan of the files that can hold what is asked for, and the last ``position`` of a limited one.
 
         With a limit, its end is found first over the ordering fields alone, so that
-        other fields are read for the stretch up to it.
+        other fields are read for the stretch up to it. The end of many rows is found by
+        counting ranges, and a few rows whose end nobody needs are taken as they come.
         """
         version, spec = snapshots.current(), snapshots.spec
         if conditions == Conditions():
@@ -125,7 +134,15 @@ class SpaceStore:
                 df = df.where(F.col(order[0]) <= as_literal(high, snapshots.first_type))
         if need is None:
             return apply_conditions(df, spec, conditions, ordered), None
-        last = end_of(df, spec, conditions) if need else None
+        if not position and need <= SMALL:
+            return apply_conditions(df, spec, conditions, ordered), None
+        if need > SMALL:
+            scratch = self._scratch()
+            last = nth_of(df, spec, conditions, scratch)
+            scratch.remove()
+            self._scratches.remove(scratch)
+        else:
+            last = end_of(df, spec, conditions) if need else None
         return (df.limit(0) if last is None else up_to(df, spec, conditions, last)), last
 
     def scan_as(
@@ -169,7 +186,7 @@ class SpaceStore:
         conditions = Conditions(index=index).with_limit(read.cursor_batch_size)
         if after is not None:
             conditions = conditions.start_after(after)
-        return self._conditioned(self._space(read.space), conditions)
+        return self._conditioned(self._space(read.space), conditions, position=True)
 
     def pages(
         self,
@@ -191,6 +208,30 @@ class SpaceStore:
         df = self.scan(read.space, required=columns)
         return number_pages(df, spec, index, read.cursor_batch_size, self._scratch())
 
+    def walk(
+        self,
+        space: str | None = None,
+        index: str | int = 0,
+        size: int | None = None,
+        columns: Sequence[str] | None = None,
+        conditions: Conditions | None = None,
+        options: Mapping[str, object] | None = None,
+    ) -> Iterator[list[Row]]:
+        """All rows in index order, as pages of ``size`` rows (``cursorBatchSize`` by default), for the driver to take in turn.
+
+        The space is sorted once, by ranges, and ranges come one at a time, the next one
+        while the last is used. ``conditions`` may set where to begin; their limit and index do not count.
+        """
+        read = ReadOptions.resolve(self.spark, options, space=space, cursor_batch_size=size, conditions=conditions)
+        snapshots = self._space(read.space)
+        spec, version = snapshots.spec, snapshots.current()
+        order = scan_order(spec, index)
+        start = replace(read.conditions, index=index, limit=None)
+        df = apply_conditions(snapshots.read(version), spec, start, ordered=False)
+        if columns is not None:
+            df = df.select(*dict.fromkeys([*order, *columns]))
+        return walk_pages(df, order, read.cursor_batch_size, sum(f.rows for f in version.files))
+
     def is_empty(self, space: str) -> bool:
         snapshots = self._space(space)
         version = snapshots.current()
