@@ -9,9 +9,12 @@ are kept in an R-tree, and the sum of the smaller counts of two boxes or points
 bounds the overlap from above. Pairs that pass are verified on the whole sets.
 
 Pairs whose classes are already connected aren't verified: first each class meets its
-most promising partner, then a few, then all that remain. Groups are gathered in
-buckets of bounded size; a crowded group is dealt into blocks and each pair of blocks
-is one piece of work.
+most promising partner, everywhere. Members of a group that still have a candidate
+outside their component are then gathered again with their whole sets; the
+remaining pairs are verified in their groups, where each link joins two components,
+and only such links leave a group: fewer rows than members, however many pairs there are.
+Groups are gathered in buckets of bounded size; a crowded group is dealt into blocks
+and each pair of blocks is one piece of work.
 
 Defined results: null and empty texts have the empty set and are linked with
 nothing; with fewer than n words the whole text is one shingle; rows with equal
@@ -43,7 +46,7 @@ BUCKET_ROWS = 200_000  # prefix shingles of one bucket
 GROUP_ROWS = 20_000  # rows of one bucket of candidate groups
 PAIR_ROWS = 2000  # pairs of one bucket, about
 BLOCK_ROWS = 2048  # members of a crowded group that meet at once
-ROUNDS = (1, 16, 1 << 30)  # partners of a class that are verified in each round
+SETS_BYTES = 32 << 20  # whole sets of one bucket, about
 IDS_BYTES = 16 << 20  # identifiers that may go to all tasks
 
 _SPACE = np.zeros(256, bool)
@@ -242,24 +245,35 @@ def _candidates(
     return a[first], b[first], slack[first]
 
 
-_FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("slack", pa.float64())])
-
-
-def _seek(table: pa.Table, similar: int, of: int, partners: int) -> pa.Table:
-    """The best candidates of each member of the groups of a bucket."""
-    table = table.combine_chunks()
-    if not table.num_rows:
-        return _FOUND.empty_table()
+def _groups(table: pa.Table) -> Iterator[np.ndarray]:
+    """The rows of each group of a bucket."""
     ids = np.column_stack([table[c].to_numpy() for c in ("shingle", "low", "high")])
     _, group = np.unique(ids, axis=0, return_inverse=True)
     group = group.ravel()
     order = np.argsort(group, kind="stable")
     cuts = np.flatnonzero(np.concatenate([[True], group[order][1:] != group[order][:-1]]))
-    owner, sizes, block = (table[c].to_numpy() for c in ("owner", "n_shingles", "block"))
+    yield from np.split(order, cuts[1:])
+
+
+def _outlines(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Points (in the widest type of the bucket), sizes, components and blocks of the rows of a bucket."""
     _, component = np.unique(np.array(table["component"].to_pylist(), object), return_inverse=True)
-    points = np.array([_counts(p) for p in table["point"].to_pylist()])  # in the widest type of the bucket
+    points = np.array([_counts(p) for p in table["point"].to_pylist()])
+    return points, table["n_shingles"].to_numpy(), component, table["block"].to_numpy()
+
+
+_FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("slack", pa.float64())])
+
+
+def _seek(table: pa.Table, similar: int, of: int) -> pa.Table:
+    """The best candidate of each member of the groups of a bucket."""
+    table = table.combine_chunks()
+    if not table.num_rows:
+        return _FOUND.empty_table()
+    owner = table["owner"].to_numpy()
+    points, sizes, component, block = _outlines(table)
     out = []
-    for rows in np.split(order, cuts[1:]):
+    for rows in _groups(table):
         if (component[rows] == component[rows[0]]).all():
             continue
         a, b, slack = _candidates(points[rows], sizes[rows], component[rows], block[rows], similar, of)
@@ -269,15 +283,75 @@ def _seek(table: pa.Table, similar: int, of: int, partners: int) -> pa.Table:
         this, that, gain = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([slack, slack])
         ranked = np.lexsort((that, -gain, this))
         this, that, gain = this[ranked], that[ranked], gain[ranked]
-        start = np.flatnonzero(np.concatenate([[True], this[1:] != this[:-1]]))
-        rank = np.arange(len(this)) - np.repeat(start, np.diff(np.concatenate([start, [len(this)]])))
-        kept = rank < partners
-        out.append((owner[rows[this[kept]]], owner[rows[that[kept]]], gain[kept]))
+        best = np.concatenate([[True], this[1:] != this[:-1]])
+        out.append((owner[rows[this[best]]], owner[rows[that[best]]], gain[best]))
     if not out:
         return _FOUND.empty_table()
     return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=_FOUND)
 
 
+_OPEN = ["shingle", "owner", "block", "low", "high", "signature", "component"]
+
+
+def _still_open(table: pa.Table, similar: int, of: int) -> pa.Table:
+    """The members of the groups of a bucket that have a candidate in another component."""
+    table = table.combine_chunks()
+    open_ = [np.zeros(0, np.int64)]
+    if table.num_rows:
+        points, sizes, component, block = _outlines(table)
+        for rows in _groups(table):
+            if (component[rows] != component[rows[0]]).any():
+                a, b, _ = _candidates(points[rows], sizes[rows], component[rows], block[rows], similar, of)
+                open_.append(rows[np.unique(np.concatenate([a, b]))])
+    return table.select(_OPEN).take(pa.array(np.concatenate(open_)))
+
+
+def _overlaps(one: int, others: np.ndarray, codes: np.ndarray, offsets: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """How many members a set shares with each of some others; sets are stretches of ``codes``."""
+    own = codes[offsets[one] : offsets[one + 1]]
+    mark[own] = True
+    lengths = offsets[others + 1] - offsets[others]
+    ends = np.cumsum(lengths)
+    place = np.repeat(offsets[others] - (ends - lengths), lengths) + np.arange(ends[-1])
+    shared = np.add.reduceat(mark[codes[place]].astype(np.int64), ends - lengths)
+    mark[own] = False
+    return shared
+
+
+def _join_within(table: pa.Table, similar: int, of: int) -> pa.Table:
+    """Links between components in the groups of a bucket, verified on whole sets; none that closes a circle there."""
+    table = table.combine_chunks()
+    if not table.num_rows:
+        return _LINKS.empty_table()
+    signature, block = table["signature"].to_pylist(), table["block"].to_numpy()
+    _, component = np.unique(np.array(table["component"].to_pylist(), object), return_inverse=True)
+    links = []
+    for rows in _groups(table):
+        sets = [np.frombuffer(table["members"][int(r)].as_buffer(), np.uint64) for r in rows]
+        sizes = np.array([len(s) for s in sets])
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+        mark = np.zeros(int(codes.max()) + 1, bool)
+        label = component[rows].copy()
+        counts = np.array([np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=GROUPS) for s in sets])
+        a, b, _ = _candidates(counts, sizes, label, block[rows], similar, of)
+        a, b = np.minimum(a, b), np.maximum(a, b)
+        cuts = np.searchsorted(a, np.arange(len(rows) + 1))  # pairs come in the order of both
+        for one in np.flatnonzero(np.diff(cuts)).tolist():
+            others = b[cuts[one] : cuts[one + 1]]
+            others = others[label[others] != label[one]]
+            if not len(others):
+                continue
+            shared = _overlaps(one, others, codes, offsets, mark)
+            union = sizes[one] + sizes[others] - shared
+            for other in others[of * shared >= similar * union].tolist():
+                if label[other] != label[one]:
+                    links.append((signature[rows[one]], signature[rows[other]]))
+                    label[label == label[other]] = label[one]
+    columns = list(zip(*links)) or [(), ()]
+    return pa.Table.from_arrays([pa.array(list(c), pa.binary()) for c in columns], schema=_LINKS)
+
+
 _LINKS = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
 
@@ -360,44 +434,48 @@ def _connected(kept, shared: DataFrame, profile: DataFrame, sets_of, similar: in
     bucket = F.pmod(F.xxhash64("shingle", "low", "high"), F.lit(buckets)).alias("bucket")
     outline = profile.join(members.select("owner").distinct(), "owner", "left_semi").dropDuplicates(["signature"])
     outline = kept.table(outline.select("signature", "owner", "n_shingles", "point"), "outline")
-    linked = tested = found = None
-    for partners in ROUNDS:
-        labelled = outline.withColumn("component", F.col("signature"))
-        if found is not None:
-            of_them = found.select(F.col("node").alias("signature"), F.col("component").alias("of"))
-            labelled = outline.join(of_them, "signature", "left").withColumn("component", F.coalesce("of", "signature")).drop("of")
-        rows = members.join(labelled.drop("signature"), "owner")
-        pairs = (
-            rows.withColumn("bucket", bucket).groupBy("bucket")
-            .applyInArrow(bound(_seek, similar=similar, of=of, partners=partners), "a bigint, b bigint, slack double")
-        )
-        pairs = pairs.groupBy("a", "b").agg(F.max("slack").alias("slack"))
-        if partners == 1:  # the best over all groups
-            pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("slack", "b")).alias("b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = kept.table(pairs.coalesce(buckets), "pairs")
-        found_pairs = pairs.count()
-        if not found_pairs and partners > 1:
-            break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        sets = sets_of(pairs.select(F.col("a").alias("owner")).union(pairs.select("b")).distinct())
-        # Buckets by the digests of both sides: a set goes to as many as a side has, however many pairs it is in.
-        side = math.isqrt(found_pairs // PAIR_ROWS) + 1
-        digest = [F.pmod(F.xxhash64(c), F.lit(side)) for c in ("a", "b")]
-        dealt = pairs.withColumn("bucket", digest[0] * side + digest[1])
-        named = dealt.select("bucket", F.col("a").alias("owner")).union(dealt.select("bucket", "b")).distinct()
-        named = named.select(F.col("bucket").alias("of"), "owner")
-        new = (
-            dealt.groupBy("bucket").cogroup(named.join(sets, "owner").groupBy("of"))
-            .applyInArrow(bound(_verify, similar=similar, of=of), "a binary, b binary")
-        )
-        new = kept.table(new, "links")
-        if found is None or not new.isEmpty():
-            linked = new if linked is None else linked.unionByName(new)
-            found = components(linked, kept)
-    return found
+    rows = members.join(outline.withColumn("component", F.col("signature")), "owner")
+    # First the best partner of each class, over all its groups.
+    pairs = (
+        rows.drop("signature").withColumn("bucket", bucket).groupBy("bucket")
+        .applyInArrow(bound(_seek, similar=similar, of=of), "a bigint, b bigint, slack double")
+    )
+    pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("slack", "b")).alias("b"))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = kept.table(pairs.coalesce(buckets), "pairs")
+    sets = sets_of(pairs.select(F.col("a").alias("owner")).union(pairs.select("b")).distinct())
+    # Buckets by the digests of both sides: a set goes to as many as a side has, however many pairs it is in.
+    side = math.isqrt(pairs.count() // PAIR_ROWS) + 1
+    digest = [F.pmod(F.xxhash64(c), F.lit(side)) for c in ("a", "b")]
+    dealt = pairs.withColumn("bucket", digest[0] * side + digest[1])
+    named = dealt.select("bucket", F.col("a").alias("owner")).union(dealt.select("bucket", "b")).distinct()
+    named = named.select(F.col("bucket").alias("of"), "owner")
+    linked = (
+        dealt.groupBy("bucket").cogroup(named.join(sets, "owner").groupBy("of"))
+        .applyInArrow(bound(_verify, similar=similar, of=of), "a binary, b binary")
+    )
+    linked = kept.table(linked, "links")
+    found = components(linked, kept)
+
+    # Then, within the groups, whatever may link two components.
+    of_them = found.select(F.col("node").alias("signature"), F.col("component").alias("of"))
+    labelled = outline.join(of_them, "signature", "left").withColumn("component", F.coalesce("of", "signature")).drop("of")
+    rows = members.join(labelled, "owner").withColumn("bucket", bucket)
+    schema = "shingle bigint, owner bigint, block int, low int, high int, signature binary, component binary"
+    still_open = rows.groupBy("bucket").applyInArrow(bound(_still_open, similar=similar, of=of), schema)
+    still_open = kept.table(still_open.coalesce(buckets), "open")
+    if still_open.isEmpty():
+        return found
+    sets = sets_of(still_open.select("owner").distinct()).select("signature", "members")
+    size = sets.agg(F.sum(F.length("members")) / F.count("*")).head()[0] or 0
+    whole = still_open.join(sets, "signature")
+    piles = int(still_open.count() * size // SETS_BYTES) + 1
+    pile = F.pmod(F.xxhash64("shingle", "low", "high"), F.lit(piles))
+    new = whole.withColumn("bucket", pile).groupBy("bucket").applyInArrow(
+        bound(_join_within, similar=similar, of=of), "a binary, b binary"
+    )
+    new = kept.table(new, "links")
+    return found if new.isEmpty() else components(linked.unionByName(new), kept)
 
 
 def _grouped(profile: DataFrame, found: DataFrame) -> DataFrame:

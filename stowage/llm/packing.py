@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
@@ -45,7 +44,7 @@ class _Encoder:
     chunks seen lately; everything else is asked of the tokenizer.
     """
 
-    SLOTS, POOL, LONGEST = 1 << 21, 1 << 25, 64
+    SLOTS, POOL, LONGEST = 1 << 19, 1 << 22, 64
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -77,7 +76,7 @@ class _Encoder:
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
         keys = Rolling(data).of(starts, ends) | np.uint64(1)
-        slots = (keys >> np.uint64(43)).astype(np.int64)
+        slots = (keys >> np.uint64(45)).astype(np.int64)
         start, count = self._start[slots], self._count[slots]
         new = np.flatnonzero(self._keys[slots] != keys)
         if len(new):
@@ -99,14 +98,22 @@ class _Encoder:
         return self._pool[place], closed[bounds]
 
 
-@lru_cache(maxsize=1)
-def _encoder(path: str) -> _Encoder:
-    return _Encoder(path)
+class _Pieces:
+    """The pieces of texts; the encoder lasts as long as the task."""
 
+    def __init__(self, path: str, capacity: int):
+        self._path, self._capacity, self._encoder = path, capacity, None
 
-def _pieces(array: pa.Array, path: str, capacity: int):
+    def close(self) -> None:
+        self._encoder = None
+
+    def __call__(self, array: pa.Array):
+        self._encoder = self._encoder or _Encoder(self._path)
+        return _pieces(array, self._encoder, self._capacity)
+
+
+def _pieces(array: pa.Array, encoder: _Encoder, capacity: int):
     rows, piece, start, length, ids = [], [], [], [], []
-    encoder = _encoder(path)
     for first, _, data, offsets in blocks(array):
         flat, bounds = encoder.encode(data, offsets)
         flat = flat.astype("<u4")
@@ -125,8 +132,7 @@ def _pieces(array: pa.Array, path: str, capacity: int):
 
 def tokenize(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = ID, text_col: str = TEXT) -> DataFrame:
     """Pieces of at most ``capacity`` tokens: doc_id, piece, start, length and ids (little-endian uint32)."""
-    kernel = partial(_pieces, path=path, capacity=capacity)
-    return map_texts(docs, kernel, "piece int, start bigint, length bigint, ids binary", id_col, text_col)
+    return map_texts(docs, _Pieces(path, capacity), "piece int, start bigint, length bigint, ids binary", id_col, text_col)
 
 
 def _largest(mask: int, most: int) -> int:

@@ -19,8 +19,6 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stowage.llm.kernels import Rolling, blocks, runs
@@ -144,6 +142,10 @@ def _paths(tree) -> set[tuple]:
 
 def learn(measured: DataFrame, labels: DataFrame, label_col: str, rows: int = LABEL_ROWS, id_col: str = ID) -> Rules:
     """Rules from the statistics of labelled rows, at most about ``rows`` of them."""
+    # only the driver needs these; workers that import this module do without
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
     spark = measured.sparkSession
     own = labels.select(F.col(id_col).alias(ID), F.col(label_col).cast("double").alias("label")).where("label in (0, 1)")
     own = bounded_sample(own, rows, own.count(), ID)

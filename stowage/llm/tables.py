@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from functools import partial
 
@@ -31,13 +32,35 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH, str(BATCH_ROWS))
 
 
+def give_back() -> None:
+    """Return memory that is free to the system: workers of one executor are used for many tasks in turn."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # another C library
+        return None
+
+
+_TRIM = _trim()
+
+
 def _mapped(batches: Iterator[pa.RecordBatch], kernel: Callable, fields: list[str]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows, columns = kernel(texts(batch.column(1)))
-        ids = batch.column(0)
-        if rows is not None:
-            ids = ids.take(pa.array(rows, pa.int64()))
-        yield pa.RecordBatch.from_arrays([ids, *columns], fields)
+    try:
+        for batch in batches:
+            rows, columns = kernel(texts(batch.column(1)))
+            ids = batch.column(0)
+            if rows is not None:
+                ids = ids.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, *columns], fields)
+    finally:
+        if hasattr(kernel, "close"):
+            kernel.close()
+        give_back()
 
 
 def map_texts(
@@ -59,7 +82,10 @@ def bound(function: Callable, **fixed) -> Callable:
     """``function`` with some arguments fixed, in the form in which Spark takes functions of groups."""
 
     def call(*tables):
-        return function(*tables, **fixed)
+        try:
+            return function(*tables, **fixed)
+        finally:
+            give_back()
 
     if function.__code__.co_argcount - len(fixed) == 1:
         return lambda table: call(table)
