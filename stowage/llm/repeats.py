@@ -12,8 +12,13 @@ index: suffixes are sorted, the Burrows-Wheeler transform is cut into its runs,
 the places at the run ends are sampled. The longest match of a suffix with its
 neighbour shrinks by one from each place to the next inside a run, so that the
 samples give the matching statistics of all places; every match of at least
-``length`` marks both of its sides. An anchor with more ranges than a bucket may hold
-is settled by the hashes of all its strings instead.
+``length`` marks both of its sides.
+
+An anchor with more than ``CROWD`` different ranges is cut finer before it is indexed: the
+strings of a range that have the anchor within ``STEPS[0]`` bytes of one place have most of
+their bytes in common, and only ranges that agree in these go on together. Parts that
+occur twice as a whole are settled again, so that one of each is indexed. What is still
+crowded is cut by smaller steps; with a step of 1 a part is a single string.
 
 Texts are named by a digest of their bytes: repeated rows are one text here, and
 all of it is a repeat.
@@ -34,13 +39,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stowage.llm.kernels import Rolling, blocks, texts
-from stowage.llm.tables import ID, TEXT, bound, map_texts, scratch, small_batches
+from stowage.llm.kernels import Rolling, blocks, mix, texts
+from stowage.llm.tables import ID, TEXT, bound, scratch, small_batches
+from stowage.sources.files import Scratch
 
 LENGTH = 400
 GRAM = 32
 BUCKET_BYTES = 2 << 20  # text that one run-length index is built over, besides the last anchor's
 CROWD = 2048  # ranges of one anchor that go into an index
+STEPS = (64, 8, 1)  # places of the anchor that are taken together when a crowded one is cut finer
 SHARED_BYTES = 16 << 20  # places that may go to all tasks; beyond that, texts are shuffled to them
 
 _PLACE_BITS = np.uint64(28)  # of a position in a block
@@ -238,17 +245,63 @@ def _index(table: pa.Table, length: int) -> pa.Table:
     return pa.Table.from_arrays([names, pa.array(first), pa.array(first + ends - starts)], schema=_MARKS)
 
 
-def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Hashes of all strings of some ranges, with their places."""
-    names = ["anchor", "string", "text", "at"]
+_PART = "text binary, anchor bigint, `range` bigint, first bigint, bytes binary, pin bigint"
+
+
+def _finer(batches: Iterator[pa.RecordBatch], length: int, step: int) -> Iterator[pa.RecordBatch]:
+    """The parts of ranges whose strings have the anchor at one of ``step`` places, under the bytes all these share."""
     for batch in batches:
-        columns = (batch.column(0), batch.column(1), batch.column(3).to_pylist(), batch.column(4))
-        for name, anchor, first, raw in zip(*columns):
-            codes = Rolling(np.frombuffer(raw.as_buffer(), np.uint8)).every(length)
-            same = [pa.array([anchor.as_py()] * len(codes), pa.int64())]
-            owner = pa.array([name.as_py()] * len(codes), pa.binary())
-            at = pa.array(first + np.arange(len(codes)))
-            yield pa.RecordBatch.from_arrays([*same, pa.array(codes.view(np.int64)), owner, at], names)
+        found = []
+        columns = [batch.column(n) for n in ("text", "anchor", "first", "bytes", "pin")]
+        for name, anchor, first, raw, pin in zip(*columns):
+            raw, first = memoryview(raw.as_buffer()), first.as_py()
+            rolling = Rolling(np.frombuffer(raw, np.uint8))
+            if pin.is_valid:
+                at = pin.as_py() - first
+            else:  # the least gram of the first string, and of all others
+                at = int(_least(rolling.every(GRAM)[: length - GRAM + 1], length - GRAM + 1)[0])
+            last = len(raw) - length
+            class_ = np.arange((at - last) // step, at // step + 1)
+            low, high = np.maximum(0, at - step * (class_ + 1) + 1), np.minimum(last, at - step * class_)
+            core = at - step * class_
+            shared = rolling.of(core, core + length - step + 1)
+            group = mix(shared + mix(np.uint64(anchor.as_py() & (1 << 64) - 1) + class_.astype(np.uint64)))
+            code = rolling.of(low, high + length) ^ (at - low).astype(np.uint64)
+            for g, c, s, e in zip(group.view(np.int64).tolist(), code.view(np.int64).tolist(), low.tolist(), high.tolist()):
+                found.append((name.as_py(), g, c, first + s, bytes(raw[s : e + length]), first + at))
+        parts = list(zip(*found)) or [()] * 6
+        kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+        names = ["text", "anchor", "range", "first", "bytes", "pin"]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(parts, kinds)], names)
+
+
+def _indexed(excerpts: DataFrame, length: int) -> DataFrame:
+    """(text, first, last) of repeated parts of some ranges, by run-length indexes over buckets of whole anchors."""
+    size = excerpts.agg(F.sum(F.length("bytes"))).head()[0] or 0
+    bucket = F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-size // BUCKET_BYTES))))
+    grouped = excerpts.groupBy(bucket.alias("bucket"))
+    return grouped.applyInArrow(bound(_index, length=length), "text binary, first bigint, last bigint")
+
+
+def _crowded_parts(crowded: DataFrame, kept: Scratch, length: int, crowd: int) -> list[DataFrame]:
+    """(text, first, last) of repeated parts of the ranges of crowded anchors."""
+    marks = []
+    for step in STEPS:
+        if crowded.isEmpty():
+            break
+        parts = kept.table(crowded.mapInArrow(partial(_finer, length=length, step=step), _PART), "finer")
+        place = F.xxhash64("text", "first")
+        counted = parts.groupBy("anchor", "range").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+        twice = counted.where("low != high").select("anchor", "range")
+        whole = (F.col("first") + F.length("bytes")).alias("last")
+        marks.append(parts.join(twice, ["anchor", "range"], "left_semi").select("text", "first", whole))
+        if step == 1:
+            break
+        several = counted.groupBy("anchor").agg(F.count("*").alias("members")).where("members > 1")
+        one_each = kept.table(parts.dropDuplicates(["anchor", "range"]).join(several, "anchor"), "one-each")
+        marks.append(_indexed(one_each.where(F.col("members") <= crowd), length))
+        crowded = one_each.where(F.col("members") > crowd).drop("members")
+    return marks
 
 
 def repeated_parts(docs: DataFrame, length: int = LENGTH, text_col: str = TEXT, crowd: int = CROWD) -> DataFrame:
@@ -289,21 +342,9 @@ def repeated_parts(docs: DataFrame, length: int = LENGTH, text_col: str = TEXT,
     texts_of = named.join(wanted, "text").select("text", "body", "wanted").dropDuplicates(["text"])
     schema = "text binary, anchor bigint, `range` bigint, first bigint, bytes binary, members bigint"
     excerpts = kept.table(texts_of.mapInArrow(partial(_excerpts, length=length), schema), "excerpts")
-    size = excerpts.where(F.col("members") <= crowd).agg(F.sum(F.length("bytes"))).head()[0] or 0
-    buckets = max(1, -(-size // BUCKET_BYTES))
-    bucket = F.pmod(F.xxhash64("anchor"), F.lit(buckets))
-    marks.append(
-        excerpts.where(F.col("members") <= crowd).groupBy(bucket.alias("bucket"))
-        .applyInArrow(bound(_index, length=length), "text binary, first bigint, last bigint")
-    )
-    strings = excerpts.where(F.col("members") > crowd).mapInArrow(
-        partial(_strings, length=length), "anchor bigint, string bigint, text binary, at bigint"
-    )
-    twice = strings.groupBy("anchor", "string").agg(F.min(F.struct("text", "at")).alias("low"), F.max(F.struct("text", "at")).alias("high"))
-    twice = twice.where("low != high").select("anchor", "string")
-    marks.append(
-        strings.join(twice, ["anchor", "string"], "left_semi").select("text", F.col("at").alias("first"), (F.col("at") + length).alias("last"))
-    )
+    marks.append(_indexed(excerpts.where(F.col("members") <= crowd), length))
+    crowded = excerpts.where(F.col("members") > crowd).drop("members").withColumn("pin", F.lit(None).cast("long"))
+    marks += _crowded_parts(crowded, kept, length, crowd)
     every = marks[0]
     for more in marks[1:]:
         every = every.unionByName(more)

@@ -46,7 +46,7 @@ def test_empty_table(empty):
     assert found(remove_repeats(empty)) == []
 
 
-@pytest.mark.parametrize("crowd", [2048, 4])
+@pytest.mark.parametrize("crowd", [2048, 4, 1])
 def test_edited_copies_periods_and_borders(spark, crowd):
     rng = random.Random(5)
     para = lambda n: " ".join("".join(rng.choice("abcdeé") for _ in range(rng.randint(2, 7))) for _ in range(n))
