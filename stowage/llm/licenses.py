@@ -14,7 +14,6 @@ make no difference; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -182,14 +181,20 @@ def detect(text: str, keywords: set[str]) -> list[tuple[int, int, Rule]]:
             hits += [(m.start(), m.end(), rule) for m in pattern.finditer(text)]
     hits.sort(key=lambda h: (-h[2].priority, h[0] - h[1], h[0], h[2].label))
     kept: list[tuple[int, int, Rule]] = []
-    starts: list[int] = []  # of those kept, rising, and their ends
-    ends: list[int] = []
+    # The furthest end of those kept, by ranges of starts (a binary indexed tree), so that many hits stay cheap.
+    place = {start: n for n, start in enumerate(sorted({h[0] for h in hits}), 1)}
+    furthest = [-1] * (len(place) + 1)
     for start, end, rule in hits:
-        i = bisect_right(starts, start)
-        if max(ends[:i], default=-1) < end:
-            starts.insert(i, start)
-            ends.insert(i, end)
+        n, until = place[start], -1
+        while n:
+            until = max(until, furthest[n])
+            n &= n - 1
+        if until < end:
             kept.append((start, end, rule))
+            n = place[start]
+            while n < len(furthest):
+                furthest[n] = max(furthest[n], end)
+                n += n & -n
     return sorted(kept, key=lambda h: (h[0], h[1]))
 
 

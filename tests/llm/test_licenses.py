@@ -1,4 +1,5 @@
 import re
+import time
 
 from stowage.llm import licenses
 from stowage.llm.queries import op6_licenses
@@ -73,3 +74,23 @@ def test_a_keyword_is_in_every_match():
     for family, (keyword, names) in licenses._FAMILIES.items():
         for name in names:
             assert keyword in re.sub(r"\[sc\]", "s", name).split() or keyword in name, (family, name)
+
+
+def test_many_detections_in_one_text_stay_cheap():
+    keywords = {k for k, rules in licenses._prepared()[0].items() if any(r.label == "mit" for r, _ in rules)}
+    start = time.perf_counter()
+    found = licenses.detect("mit license " * 40_000, keywords)
+    assert len(found) >= 39_999
+    assert time.perf_counter() - start < 30
+
+
+def test_containment_against_every_pair():
+    text = "licensed under the mit license, apache license 2.0 and mit license; gnu general public license v3 " * 5
+    by_keyword = licenses._prepared()[0]
+    hits = [(m.start(), m.end(), r) for rules in by_keyword.values() for r, p in rules for m in p.finditer(text)]
+    hits.sort(key=lambda h: (-h[2].priority, h[0] - h[1], h[0], h[2].label))
+    kept = []
+    for start, end, rule in hits:
+        if not any(a <= start and end <= b for a, b, _ in kept):
+            kept.append((start, end, rule))
+    assert licenses.detect(text, set(by_keyword)) == sorted(kept, key=lambda h: (h[0], h[1]))
