@@ -23,10 +23,29 @@ FORMAT_TYPES: dict[str, T.DataType] = {
 }
 
 
+def inner_type(format_type: str) -> tuple[str, str | None]:
+    """A format type without, and the type of its elements or values with, what stands in ``array<...>`` or ``map<...>``."""
+    outer, opened, rest = format_type.partition("<")
+    outer = outer.strip().lower()
+    if not opened:
+        return outer, None
+    if outer not in ("array", "map") or not rest.rstrip().endswith(">"):
+        raise ValueError(f"{format_type!r} is neither array<type> nor map<type>")
+    return outer, rest.rstrip()[:-1]
+
+
 def spark_type(format_type: str) -> T.DataType:
-    """Spark type of a format type; the name is matched without regard to case."""
+    """Spark type of a format type; the name is matched without regard to case.
+
+    ``array<type>`` and ``map<type>`` (with text as keys) say what they hold, at any depth; plain
+    ``array`` and ``map`` hold text.
+    """
+    outer, inner = inner_type(format_type)
+    if inner is not None:
+        held = spark_type(inner)
+        return T.ArrayType(held, True) if outer == "array" else T.MapType(T.StringType(), held, True)
     try:
-        return FORMAT_TYPES[format_type.lower()]
+        return FORMAT_TYPES[outer]
     except KeyError:
         raise ValueError(f"unknown field type {format_type!r}; known: {', '.join(FORMAT_TYPES)}") from None
 
@@ -44,6 +63,25 @@ def _as_text_map(value: Column, source: T.DataType) -> Column:
     return value.try_cast(_TEXT_MAP)
 
 
+def _nested(value: Column, source: T.DataType, target: T.DataType, inner: str) -> Column:
+    """Elements, values and fields one by one as ``inner``, which may be nested itself; NULL where nothing fits."""
+    if isinstance(source, T.StringType):
+        return F.from_json(value, target)
+    if isinstance(target, T.ArrayType):
+        if isinstance(source, T.ArrayType):
+            return F.transform(value, lambda item: normalise(item, source.elementType, inner))
+        return F.lit(None).cast(target)
+    if isinstance(source, T.MapType):
+        values = F.transform_values(value, lambda _, item: normalise(item, source.valueType, inner))
+        if isinstance(source.keyType, T.StringType):
+            return values
+        return F.map_from_arrays(F.map_keys(values).cast(T.ArrayType(T.StringType())), F.map_values(values))
+    if isinstance(source, T.StructType):
+        fields = [(F.lit(f.name), normalise(value.getField(f.name), f.dataType, inner)) for f in source]
+        return F.when(value.isNotNull(), F.create_map(*[part for field in fields for part in field]))
+    return F.lit(None).cast(target)
+
+
 def _in_utc(local: Column) -> Column:
     """The moment at which clocks in UTC show a time that has no zone; no session setting takes part."""
     minutes = F.unix_date(local.cast("date")).cast("bigint") * 1440 + F.hour(local) * 60 + F.minute(local)
@@ -54,13 +92,16 @@ def _in_utc(local: Column) -> Column:
 def normalise(value: Column, source: T.DataType, format_type: str) -> Column:
     """``value`` as the stored form of ``format_type``; NULL where it cannot be.
 
-    Maps and arrays keep their order and their NULLs. JSON text is
-    accepted for arrays and maps, a struct for maps; a fraction does not fit an
+    Maps and arrays keep their order and their NULLs, and what lies in them its structure where the
+    format type says what it is; else it becomes text. JSON text is accepted for arrays and maps, a struct for maps; a fraction does not fit an
     integer; a time or date without a zone is one in UTC.
     """
     target = spark_type(format_type)
     if source == target:
         return value
+    outer, inner = inner_type(format_type)
+    if inner is not None:
+        return _nested(value, source, target, inner)
     if target == _TEXT_MAP:
         return _as_text_map(value, source)
     if isinstance(target, T.ArrayType) and isinstance(source, T.StringType):

@@ -160,6 +160,10 @@ ORACLES: dict[str, str] = {
         FROM embeddings""",
     "normalise_map": """
         SELECT event_id, CAST(1 AS INTEGER) AS n_props, regexp_extract(props, '"k": ([0-9]+)', 1) AS k FROM events""",
+    "normalise_nested": """
+        SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS INTEGER) AS place,
+               CAST(turn AS VARCHAR) AS turn, role, text, CAST(len(string_split(text, ' ')) AS INTEGER) AS n_words
+        FROM conversations""",
     "normalise_scalars": """
         SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
                CAST(l_quantity AS BIGINT) AS l_quantity, CAST(l_extendedprice AS DECIMAL(15, 2)) AS l_extendedprice,

@@ -381,6 +381,30 @@ def normalise_map(spark, folder):
     return store.scan("events").select("event_id", F.size("props").alias("n_props"), F.col("props")["k"].alias("k"))
 
 
+@query
+def normalise_nested(spark, folder):
+    """Conversations as arrays of maps, stored with their structure: turns come back as maps, their words as arrays."""
+    turn = F.struct("turn", "role", "text")
+    turns = table(spark, folder, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    words = F.transform("turns", lambda t: F.struct(F.split(t["text"], " ").alias("words")))
+    spec = SpaceSpec(
+        (Field("conv_id", "unsigned"), Field("turns", "array<map<string>>"), Field("words", "array<map<array<string>>>")),
+        (Index("primary", ("conv_id",)),),
+    )
+    store = new_store(spark)
+    store.create("talks", spec)
+    store.write(turns.withColumn("words", words), "talks", "overwrite")
+    talks = store.scan("talks").select("conv_id", "words", F.posexplode("turns").alias("place", "said"))
+    return talks.select(
+        "conv_id",
+        "place",
+        F.col("said")["turn"].alias("turn"),
+        F.col("said")["role"].alias("role"),
+        F.col("said")["text"].alias("text"),
+        F.size(F.get("words", F.col("place"))["words"]).alias("n_words"),
+    )
+
+
 @query
 def normalise_scalars(spark, folder):
     spec = SpaceSpec(

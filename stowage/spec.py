@@ -67,7 +67,7 @@ class SpaceSpec:
         for index in self.indexes:
             if missing := [f for f in index.fields if f not in known]:
                 raise ValueError(f"index {index.name!r} uses unknown fields {missing}")
-            if unordered := [f for f in index.fields if isinstance(spark_type(self.field(f).type), T.MapType)]:
+            if unordered := [f for f in index.fields if _unordered(spark_type(self.field(f).type))]:
                 raise ValueError(f"index {index.name!r} uses fields {unordered}, which have no order")
         if self.bucket_field is not None and self.bucket_field not in known:
             raise ValueError(f"unknown bucket field {self.bucket_field!r}")
@@ -127,14 +127,31 @@ class SpaceSpec:
 
     @classmethod
     def from_schema(cls, schema: T.StructType, primary_key: Sequence[str], **settings) -> SpaceSpec:
-        """A spec for data that already has a Spark schema."""
-        fields = [Field(f.name, format_type(f.dataType), f.name not in primary_key) for f in schema.fields]
+        """A spec for data that already has a Spark schema; ``nested=True`` keeps what maps and arrays hold."""
+        nested = settings.pop("nested", False)
+        fields = [Field(f.name, format_type(f.dataType, nested), f.name not in primary_key) for f in schema.fields]
         indexes = [Index("primary", tuple(primary_key)), *settings.pop("indexes", ())]
         return cls(tuple(fields), tuple(indexes), **settings)
 
 
-def format_type(data_type: T.DataType) -> str:
-    """Format type that keeps values of a Spark type."""
+def _unordered(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.ArrayType):
+        return _unordered(data_type.elementType)
+    return isinstance(data_type, T.MapType)
+
+
+def format_type(data_type: T.DataType, nested: bool = False) -> str:
+    """Format type that keeps values of a Spark type; of ``nested`` ones, what they hold as well, not its text.
+
+    Fields of a struct become values of a map. If they have one type it is that of the map, else it is text.
+    """
+    if nested and isinstance(data_type, T.ArrayType):
+        return f"array<{format_type(data_type.elementType, True)}>"
+    if nested and isinstance(data_type, T.MapType):
+        return f"map<{format_type(data_type.valueType, True)}>"
+    if nested and isinstance(data_type, T.StructType):
+        held = {format_type(f.dataType, True) for f in data_type}
+        return f"map<{held.pop() if len(held) == 1 else 'string'}>"
     if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return "integer"
     if isinstance(data_type, (T.FloatType, T.DoubleType)):

@@ -247,3 +247,32 @@ def test_spec_checks_and_text():
     for name in ("_seq", "_order3", "a.b"):
         with pytest.raises(ValueError, match="reserved"):
             SpaceSpec((Field(name, "string"),), (Index("pk", (name,)),))
+
+
+def test_nested_values_keep_their_structure(spark):
+    from stowage.functions.types import normalise, spark_type
+
+    assert spark_type("Array<map< integer>>").simpleString() == "array<map<string,bigint>>"
+    for wrong in ("array<", "list<string>", "map<nothing>", "array<string"):
+        with pytest.raises(ValueError):
+            spark_type(wrong)
+    row = [([{"a": 1, "b": None}, None], {7: [1.0, 2.5]}, ("x", "y"), '{"k": [1, 2]}')]
+    df = spark.createDataFrame(row, "m array<map<string, int>>, n map<int, array<double>>, s struct<p: string, q: string>, j string")
+    types = {"m": "array<map<integer>>", "n": "map<array<integer>>", "s": "map<string>", "j": "map<array<unsigned>>"}
+    got = df.select([normalise(df[c], df.schema[c].dataType, t).alias(c) for c, t in types.items()]).first()
+    assert got.m == [{"a": 1, "b": None}, None]
+    assert got.n == {"7": [1, None]}  # a fraction does not fit
+    assert got.s == {"p": "x", "q": "y"} and got.j == {"k": [1, 2]}
+    wrong = df.select(normalise(df.s, df.schema["s"].dataType, "array<string>").alias("w"))
+    assert wrong.first().w is None and wrong.schema["w"].dataType == spark_type("array<string>")
+
+
+def test_specs_of_nested_schemas():
+    from stowage.spec import SpaceSpec
+
+    schema = T._parse_datatype_string("id bigint, a array<struct<x: int, y: int>>, m map<string, array<string>>, z struct<p: int, q: string>")
+    spec = SpaceSpec.from_schema(schema, ["id"], nested=True)
+    assert [f.type for f in spec.fields] == ["integer", "array<map<integer>>", "map<array<string>>", "map<string>"]
+    assert SpaceSpec.from_json(spec.to_json()) == spec
+    with pytest.raises(ValueError, match="no order"):
+        SpaceSpec.from_schema(schema, ["a"], nested=True)
