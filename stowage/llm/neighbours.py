@@ -5,7 +5,8 @@ largest inner product is the smallest angle. Each tree splits a bounded sample b
 hyperplanes halfway between two of its rows, at the median; every row then falls
 into one leaf of each tree. A query searches all trees through one priority queue
 ordered by how far it lies on the wrong side of a split, until enough rows are in
-reach; the rows of those leaves are scored exactly, in double precision.
+reach or no subtree is left that can hold a product as large as the ``k`` largest with rows
+of the sample; the rows of those leaves are scored exactly, in double precision.
 
 Leaves and the queries that visit them meet in groups of bounded size: a crowded
 leaf (equal vectors can't be split) is dealt into blocks of members and of queries.
@@ -38,6 +39,8 @@ RECALL = 0.95  # share of the true neighbours to find, as measured on the sample
 PROBE_ROWS = 8192  # rows of the sample, an eighth at most, that tell each query which scores are too low for its result
 TRIALS = 200  # rows of the sample that the recall is measured with
 BLOCK_ROWS = 2048  # members, and queries, that meet in one group
+QUERY_ROWS = 256  # queries of one task that looks for leaves
+_ROUNDING = 1e-4  # of products in single precision, with room
 
 
 class Tree:
@@ -92,9 +95,19 @@ def grow(points: np.ndarray, leaf_rows: int, seed: int) -> Tree:
     )
 
 
-def visits(forest: list[Tree], query: np.ndarray, reach: float) -> list[tuple[int, int]]:
-    """The (tree, leaf) pairs that one shared queue gives until their sampled rows come to ``reach``."""
+def visits(forest: list[Tree], query: np.ndarray, reach: float, floor: float = -math.inf) -> list[tuple[int, int]]:
+    """The (tree, leaf) pairs that one shared queue gives until their sampled rows come to ``reach``.
+
+    Query and rows have length 1; subtrees in which no product can come to ``floor`` are left out.
+    """
     off = [tree.normals @ query - tree.thresholds for tree in forest]
+    beyond = None
+    if floor > -1:
+        # the largest product of the query with a row on the border of a split, and so with any behind it
+        beyond = []
+        for tree, distance in zip(forest, off):
+            along, border = np.clip(distance + tree.thresholds, -1, 1), np.clip(tree.thresholds, -1, 1)
+            beyond.append(along * border + np.sqrt((1 - along * along) * (1 - border * border)))
     queue = [(-math.inf, t, 0 if len(tree.normals) else -1) for t, tree in enumerate(forest)]
     heapq.heapify(queue)
     found, rows = [], 0
@@ -103,7 +116,8 @@ def visits(forest: list[Tree], query: np.ndarray, reach: float) -> list[tuple[in
         while node >= 0:
             distance = float(off[t][node])
             side = int(distance > 0)
-            heapq.heappush(queue, (max(wrong, abs(distance)), t, int(forest[t].children[node, 1 - side])))
+            if beyond is None or beyond[t][node] >= floor:
+                heapq.heappush(queue, (max(wrong, abs(distance)), t, int(forest[t].children[node, 1 - side])))
             node = int(forest[t].children[node, side])
         leaf = -node - 1
         found.append((t, leaf))
@@ -177,7 +191,7 @@ def _assign(batches: Iterator[pa.RecordBatch], forest, longest: float) -> Iterat
             yield pa.RecordBatch.from_arrays([*place, batch.column(0), batch.column(1)], ["tree", "leaf", "id", "vec"])
 
 
-def _visit(batches: Iterator[pa.RecordBatch], forest, probe, reach: float, k: int) -> Iterator[pa.RecordBatch]:
+def _visit(batches: Iterator[pa.RecordBatch], forest, probe, reach: float, k: int, longest: float) -> Iterator[pa.RecordBatch]:
     ids, given = probe.value
     for batch in batches:
         if not batch.num_rows:
@@ -189,11 +203,12 @@ def _visit(batches: Iterator[pa.RecordBatch], forest, probe, reach: float, k: in
             scores = scores[others != own]
             if len(scores) >= k:  # k identifiers are at least as near, so that lower scores can't be among the k best
                 least[i] = np.partition(scores, len(scores) - k)[len(scores) - k] - 1e-9
-        points = points / np.linalg.norm(points, axis=1, keepdims=True)
-        points = np.column_stack([points, np.zeros(len(points))]).astype(np.float32)
+        lengths = np.linalg.norm(points, axis=1, keepdims=True)
+        points = np.column_stack([points / lengths, np.zeros(len(points))]).astype(np.float32)
+        floors = least / (lengths[:, 0] * longest) - _ROUNDING
         rows, trees, leaves = [], [], []
         for i, point in enumerate(points):
-            for t, leaf in visits(forest.value, point, reach):
+            for t, leaf in visits(forest.value, point, reach, float(floors[i])):
                 rows.append(i)
                 trees.append(t)
                 leaves.append(leaf)
@@ -307,12 +322,10 @@ def search(
     kind = rows.schema["vec"].dataType.simpleString()
     schema = f"tree int, leaf bigint, id bigint, vec {kind}"
     members = kept.table(rows.mapInArrow(partial(_assign, forest=forest, longest=longest), schema), "members")
-    asking = kept.table(
-        rows.where(is_query).repartition(F.xxhash64("id")).mapInArrow(
-            partial(_visit, forest=forest, probe=probe, reach=reach, k=k), f"{schema}, least double"
-        ),
-        "queries",
-    )
+    asked = rows.where(is_query)
+    tasks = -(-asked.count() // QUERY_ROWS) or 1
+    kernel = partial(_visit, forest=forest, probe=probe, reach=reach, k=k, longest=longest)
+    asking = kept.table(asked.repartition(tasks).mapInArrow(kernel, f"{schema}, least double"), "queries")
 
     # Blocks of a leaf: members by queries, each dealt by a hash of its identifier.
     place = ["tree", "leaf"]

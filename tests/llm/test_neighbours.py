@@ -120,3 +120,37 @@ def test_an_id_on_many_rows_sets_no_bound(spark):
     rows += [(0, [1.0, 0.0], "", "")] + [(i, [0.9 - i / 1000, 0.1], "", "") for i in range(3, 40, 2)]
     got = search(spark, rows, k=5, recall=1.0, leaf_rows=1000)
     assert [v for q, _, v, _ in got if q == 0] == [1, 3, 5, 7, 9]
+
+
+def test_clusters_are_found_in_a_small_part_of_the_rows():
+    """Rows scored per query, and recall, with the reach that the sample asks for and the floor that a probe gives."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(100, 32))
+    points = centres[rng.integers(0, 100, 10_000)] + 0.25 * rng.normal(size=(10_000, 32))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    long = neighbours._lengthened(points, 1 + 1e-12)
+    forest = [neighbours.grow(long, 64, seed) for seed in range(8)]
+    reach = neighbours.reach_for(forest, long, 20, 0.95)
+    places = [tree.leaves(long) for tree in forest]
+    probe = points[rng.permutation(10_000)[:1250]]
+    found = scored = saved = 0
+    for at in range(0, 2000, 20):
+        query = np.append(points[at], 0).astype(np.float32)
+        floor = float(np.sort(probe @ points[at])[-20]) - neighbours._ROUNDING
+        seen = np.zeros(10_000, bool)
+        everywhere = neighbours.visits(forest, query, 1e9, floor)
+        for t, leaf in everywhere:
+            seen |= places[t] == leaf
+        scores = points @ points[at]
+        scores[at] = -np.inf
+        best = np.argsort(-scores)[:20]
+        assert seen[best].all()  # what the floor leaves out cannot be among the nearest
+        saved += len(everywhere) < sum(len(tree.sizes) for tree in forest)
+        seen[:] = False
+        for t, leaf in neighbours.visits(forest, query, reach, floor):
+            seen |= places[t] == leaf
+        scored += seen.sum()
+        found += seen[best].sum()
+    assert found / 2000 >= 0.9
+    assert scored / 100 <= 10_000 / 5
+    assert saved > 50
