@@ -19,6 +19,7 @@ are scored alike; empty tables give no rows; other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
 from typing import NamedTuple
@@ -26,7 +27,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stowage.llm.kernels import mix, texts
 from stowage.llm.learn import logistic
@@ -266,15 +267,25 @@ def _lowest(entropy: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return pick, best, rest.min(axis=1)
 
 
-def _calibrate(model: Model, langs: list[str], documents: list[str]) -> Model:
+def _measured(array: pa.Array, model: Broadcast):
+    """Cross-entropies and scored characters of each text, and of a short stretch of it."""
+    documents = array.to_pylist()
     # Whole texts are hardly ever mistaken: short stretches of them show what a margin is worth.
-    short = [d[i % 97 : i % 97 + 2 + i % 29] for i, d in enumerate(documents)]
-    documents, langs = documents + short, langs * 2
-    entropy, n = _Scorer(model).entropies(documents)
+    places = [zlib.crc32(d.encode()) for d in documents]
+    short = [d[i % 97 : i % 97 + 2 + i % 29] for i, d in zip(places, documents)]
+    columns = []
+    for some in (documents, short):
+        entropy, n = _scorer(model).entropies(some)
+        columns += [pa.array(list(entropy), pa.list_(pa.float64())), pa.array(n, pa.int64())]
+    return None, columns
+
+
+def _calibrate(model: Model, langs: list[str], entropy: np.ndarray, n: np.ndarray) -> Model:
+    """Confidence and limits from cross-entropies of texts of known languages: whole texts, then as many short ones."""
     pick, best, second = _lowest(entropy)
     known = n > 0
     right = np.array([model.langs[p] == lang for p, lang in zip(pick, langs)], bool)
-    whole = known & right & (n >= 20) & (np.arange(len(n)) < len(short))
+    whole = known & right & (n >= 20) & (np.arange(len(n)) < len(n) // 2)
     limits = []
     for j in range(len(model.langs)):
         own = best[whole & (pick == j)]
@@ -300,7 +311,8 @@ def learn(
 
     All training rows are counted and all their n-grams are kept, so that a model grows
     with the n-grams of its languages; ``calibration_rows`` bounds the rows that the
-    confidence is fitted on.
+    confidence is fitted on. They are the same share for each language, chosen by a hash of
+    the text, and are scored in tasks: only their cross-entropies come to the driver.
     """
     small_batches(docs.sparkSession)
     rows = docs.where(training & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
@@ -318,8 +330,18 @@ def learn(
     table = {lang: _reduced(keys[code == j], n[code == j]) for j, lang in enumerate(names.dictionary.to_pylist())}
     langs = sorted(table)
     model = fit(langs, table)
-    aside = rows.where("aside").limit(calibration_rows).select("lang", "text").toArrow()
-    return _calibrate(model, aside["lang"].to_pylist(), aside["text"].to_pylist())
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"))
+    aside = rows.where("aside").where(F.col("lang").isin(langs)).withColumn("place", F.row_number().over(order))
+    aside = aside.where(F.col("place") <= max(1, calibration_rows // len(langs)))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    schema = "entropy array<double>, n bigint, short_entropy array<double>, short_n bigint"
+    found = map_texts(aside, partial(_measured, model=shared), schema, "lang", "text").toArrow().to_pylist()
+    shared.unpersist()
+    # in one order, so that the same rows give the same numbers
+    found.sort(key=lambda r: (r[ID], r["n"], r["entropy"], r["short_n"], r["short_entropy"]))
+    entropy = np.array([r[c] for c in ("entropy", "short_entropy") for r in found]).reshape(-1, len(langs))
+    n = np.array([r[c] for c in ("n", "short_n") for r in found], np.int64)
+    return _calibrate(model, [r[ID] for r in found] * 2, entropy, n)
 
 
 def _predict(array: pa.Array, model: Broadcast):
