@@ -22,7 +22,13 @@ KEY_BYTES = 64  # of an identifier with the digest of a text, about
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents with a quality score below 0.5; rules come from labelled rows outside the held-out third."""
+    """Drop documents with a quality score below 0.5; rules come from labelled rows outside the held-out third.
+
+    Null and empty texts are scored by the same rules as texts without a word. Rows are
+    judged one by one, so repeated rows and those that share an identifier, or lack it, stay or
+    go by their texts; labels with several values for an identifier all count. Without labels
+    every document scores 0.5 and stays. An empty table gives none.
+    """
     labels = read(spark, sf_dir, "labels").where(remainder("doc_id", 3) != 1).where("quality in (0, 1)")
     labels = bounded_sample(labels, quality.LABEL_ROWS, labels.count(), "doc_id").select("doc_id", "quality")
     # at most about LABEL_ROWS rows of two numbers
@@ -70,19 +76,32 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a passage within a small edit distance of a benchmark item."""
+    """Drop documents that hold a passage within a small edit distance of a benchmark item.
+
+    Null and empty texts hold none and stay. Rows are judged one by one, whatever their
+    identifiers; repeated rows stay or go together. An empty table gives none.
+    """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
     counted = decontam.count_leaks(rows, read(spark, sf_dir, "benchmark"), id_col="row")
     return counted.where("n_items = 0").select(F.col("doc_id.*"))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace personal data by its kind in angle brackets."""
+    """Replace personal data by its kind in angle brackets.
+
+    All rows stay, with all their columns; null and empty texts stay as they are. Spans that
+    overlap become one, of the kind of the first; of equal starts, of the kind listed first.
+    Identifiers take no part. An empty table gives none.
+    """
     return pii.redact(docs, pii.fit(pii.find(docs)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokenise, and place the pieces in sequences: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """Tokenise, and place the pieces in sequences: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+
+    Null and empty texts are pieces of the closing token alone. Rows with equal or null
+    identifiers are documents of their own; which sequence equal lengths go to is open. An empty table gives none.
+    """
     pieces = packing.tokenize(docs, tokenizer_path())
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
