@@ -100,6 +100,23 @@ def test_stages_take_awkward_rows(spark, awkward, empty, stage):
     assert stage(spark, empty, SF).count() == 0
 
 
+def test_packing_takes_awkward_rows(spark, awkward, empty):
+    rows = corpus_pipeline.pack(spark, awkward, SF).collect()
+    assert sorted(str(r.doc_id) for r in rows if r.piece == 0) == sorted(str(r.doc_id) for r in awkward.select("doc_id").collect())
+    assert all(r.length == 1 for r in rows if r.doc_id in (1, 2, 3))
+    assert {r.piece for r in rows if r.doc_id == 6} == set(range(7))
+    placed = {}
+    for r in rows:
+        placed.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in placed.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    assert corpus_pipeline.pack(spark, empty, SF).count() == 0
+
+
 def test_repeated_rows_stay_once(spark, awkward):
     rows = corpus_pipeline.keep_one_of_each(spark, awkward, SF).collect()
     assert sorted(str(r.doc_id) for r in rows) == sorted(["1", "2", "3", "4", "None", "6", "7", "8"])
