@@ -9,10 +9,11 @@ are kept in an R-tree, and the sum of the smaller counts of two boxes or points
 bounds the overlap from above. Pairs that pass are verified on the whole sets.
 
 Pairs whose classes are already connected aren't verified: first each class meets its
-most promising partner, everywhere. Members of a group that still have a candidate
-outside their component are then gathered again with their whole sets; the
-remaining pairs are verified in their groups, where each link joins two components,
-and only such links leave a group: fewer rows than members, however many pairs there are.
+most promising partner, everywhere. Of the pairs that may still join two components, those
+of groups that have few are verified as pairs. A group with more than ``DENSE`` of them
+per member is gathered again with whole sets, for the members that have such pairs; there
+each link joins two components, and only such links leave the group. So fewer rows than a
+few times the members leave a group, however many pairs there are.
 Groups are gathered in buckets of bounded size; a crowded group is dealt into blocks
 and each pair of blocks is one piece of work.
 
@@ -27,7 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,7 @@ BUCKET_ROWS = 200_000  # prefix shingles of one bucket
 GROUP_ROWS = 20_000  # rows of one bucket of candidate groups
 PAIR_ROWS = 2000  # pairs of one bucket, about
 BLOCK_ROWS = 2048  # members of a crowded group that meet at once
+DENSE = 2  # open pairs per member, from which on a group verifies them itself
 SETS_BYTES = 32 << 20  # whole sets of one bucket, about
 IDS_BYTES = 16 << 20  # identifiers that may go to all tasks
 
@@ -293,17 +295,26 @@ def _seek(table: pa.Table, similar: int, of: int) -> pa.Table:
 _OPEN = ["shingle", "owner", "block", "low", "high", "signature", "component"]
 
 
-def _still_open(table: pa.Table, similar: int, of: int) -> pa.Table:
-    """The members of the groups of a bucket that have a candidate in another component."""
+def _still_open(table: pa.Table, similar: int, of: int, dense: int) -> pa.Table:
+    """Pairs of the groups of a bucket that may join two components (owner, partner); of dense groups, their members."""
     table = table.combine_chunks()
-    open_ = [np.zeros(0, np.int64)]
+    pairs, members = [np.zeros((2, 0), np.int64)], [np.zeros(0, np.int64)]
     if table.num_rows:
         points, sizes, component, block = _outlines(table)
         for rows in _groups(table):
-            if (component[rows] != component[rows[0]]).any():
-                a, b, _ = _candidates(points[rows], sizes[rows], component[rows], block[rows], similar, of)
-                open_.append(rows[np.unique(np.concatenate([a, b]))])
-    return table.select(_OPEN).take(pa.array(np.concatenate(open_)))
+            if (component[rows] == component[rows[0]]).all():
+                continue
+            a, b, _ = _candidates(points[rows], sizes[rows], component[rows], block[rows], similar, of)
+            open_ = np.unique(np.concatenate([a, b]))
+            if len(a) > dense * len(open_):
+                members.append(rows[open_])
+            else:
+                pairs.append(np.stack([rows[a], rows[b]]))
+    pairs, members = np.concatenate(pairs, axis=1), np.concatenate(members)
+    out = table.select(_OPEN).take(pa.array(np.concatenate([pairs[0], members])))
+    partner = table["owner"].to_numpy()[pairs[1]] if table.num_rows else np.zeros(0, np.int64)
+    partners = pa.chunked_array([pa.array(partner, pa.int64()), pa.nulls(len(members), pa.int64())])
+    return out.append_column("partner", partners)
 
 
 def _overlaps(one: int, others: np.ndarray, codes: np.ndarray, offsets: np.ndarray, mark: np.ndarray) -> np.ndarray:
@@ -435,47 +446,55 @@ def _connected(kept, shared: DataFrame, profile: DataFrame, sets_of, similar: in
     outline = profile.join(members.select("owner").distinct(), "owner", "left_semi").dropDuplicates(["signature"])
     outline = kept.table(outline.select("signature", "owner", "n_shingles", "point"), "outline")
     rows = members.join(outline.withColumn("component", F.col("signature")), "owner")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The linked ones of some pairs of owners."""
+        sets = sets_of(pairs.select(F.col("a").alias("owner")).union(pairs.select("b")).distinct())
+        # Buckets by the digests of both sides: a set goes to as many as a side has, however many pairs it is in.
+        side = math.isqrt(pairs.count() // PAIR_ROWS) + 1
+        digest = [F.pmod(F.xxhash64(c), F.lit(side)) for c in ("a", "b")]
+        dealt = pairs.withColumn("bucket", digest[0] * side + digest[1])
+        named = dealt.select("bucket", F.col("a").alias("owner")).union(dealt.select("bucket", "b")).distinct()
+        named = named.select(F.col("bucket").alias("of"), "owner")
+        new = (
+            dealt.groupBy("bucket").cogroup(named.join(sets, "owner").groupBy("of"))
+            .applyInArrow(bound(_verify, similar=similar, of=of), "a binary, b binary")
+        )
+        return kept.table(new, "links")
+
+    def in_order(a: str, b: str) -> list:
+        return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
     # First the best partner of each class, over all its groups.
     pairs = (
         rows.drop("signature").withColumn("bucket", bucket).groupBy("bucket")
         .applyInArrow(bound(_seek, similar=similar, of=of), "a bigint, b bigint, slack double")
     )
     pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("slack", "b")).alias("b"))
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = kept.table(pairs.coalesce(buckets), "pairs")
-    sets = sets_of(pairs.select(F.col("a").alias("owner")).union(pairs.select("b")).distinct())
-    # Buckets by the digests of both sides: a set goes to as many as a side has, however many pairs it is in.
-    side = math.isqrt(pairs.count() // PAIR_ROWS) + 1
-    digest = [F.pmod(F.xxhash64(c), F.lit(side)) for c in ("a", "b")]
-    dealt = pairs.withColumn("bucket", digest[0] * side + digest[1])
-    named = dealt.select("bucket", F.col("a").alias("owner")).union(dealt.select("bucket", "b")).distinct()
-    named = named.select(F.col("bucket").alias("of"), "owner")
-    linked = (
-        dealt.groupBy("bucket").cogroup(named.join(sets, "owner").groupBy("of"))
-        .applyInArrow(bound(_verify, similar=similar, of=of), "a binary, b binary")
-    )
-    linked = kept.table(linked, "links")
+    tested = kept.table(pairs.select(in_order("a", "b")).distinct().coalesce(buckets), "pairs")
+    linked = verified(tested)
     found = components(linked, kept)
 
-    # Then, within the groups, whatever may link two components.
+    # Then whatever may link two components.
     of_them = found.select(F.col("node").alias("signature"), F.col("component").alias("of"))
     labelled = outline.join(of_them, "signature", "left").withColumn("component", F.coalesce("of", "signature")).drop("of")
     rows = members.join(labelled, "owner").withColumn("bucket", bucket)
-    schema = "shingle bigint, owner bigint, block int, low int, high int, signature binary, component binary"
-    still_open = rows.groupBy("bucket").applyInArrow(bound(_still_open, similar=similar, of=of), schema)
+    schema = "shingle bigint, owner bigint, block int, low int, high int, signature binary, component binary, partner bigint"
+    still_open = rows.groupBy("bucket").applyInArrow(bound(_still_open, similar=similar, of=of, dense=DENSE), schema)
     still_open = kept.table(still_open.coalesce(buckets), "open")
-    if still_open.isEmpty():
-        return found
-    sets = sets_of(still_open.select("owner").distinct()).select("signature", "members")
-    size = sets.agg(F.sum(F.length("members")) / F.count("*")).head()[0] or 0
-    whole = still_open.join(sets, "signature")
-    piles = int(still_open.count() * size // SETS_BYTES) + 1
-    pile = F.pmod(F.xxhash64("shingle", "low", "high"), F.lit(piles))
-    new = whole.withColumn("bucket", pile).groupBy("bucket").applyInArrow(
-        bound(_join_within, similar=similar, of=of), "a binary, b binary"
-    )
-    new = kept.table(new, "links")
-    return found if new.isEmpty() else components(linked.unionByName(new), kept)
+    pairs = still_open.where("partner is not null").select(in_order("owner", "partner")).distinct()
+    pairs = kept.table(pairs.join(tested, ["a", "b"], "left_anti").coalesce(buckets), "pairs")
+    new = [] if pairs.isEmpty() else [verified(pairs)]
+    dense = still_open.where("partner is null").drop("partner")
+    if not dense.isEmpty():
+        sets = sets_of(dense.select("owner").distinct()).select("signature", "members")
+        size = sets.agg(F.sum(F.length("members")) / F.count("*")).head()[0] or 0
+        piles = int(dense.count() * size // SETS_BYTES) + 1
+        pile = F.pmod(F.xxhash64("shingle", "low", "high"), F.lit(piles))
+        whole = dense.join(sets, "signature").withColumn("bucket", pile)
+        kernel = bound(_join_within, similar=similar, of=of)
+        new.append(kept.table(whole.groupBy("bucket").applyInArrow(kernel, "a binary, b binary"), "links"))
+    return components(reduce(DataFrame.unionByName, [linked, *new]), kept) if new else found
 
 
 def _grouped(profile: DataFrame, found: DataFrame) -> DataFrame:

@@ -51,7 +51,11 @@ def remainder(id_col: str, parts: int) -> Column:
 
 
 def bounded_sample(df: DataFrame, rows: int, total: int, *keys: str) -> DataFrame:
-    """About ``rows`` of the ``total`` rows at most, chosen by a hash of ``keys``."""
+    """About ``rows`` of the ``total`` rows at most, chosen by a hash of ``keys``.
+
+    Where equal keys have so many rows that twice as many would be chosen, any of them are.
+    """
     if total <= rows:
         return df
-    return df.where(F.pmod(F.xxhash64(*keys, F.lit("sample")), F.lit(1 << 30)) < int(rows / total * (1 << 30)))
+    chosen = df.where(F.pmod(F.xxhash64(*keys, F.lit("sample")), F.lit(1 << 30)) < int(rows / total * (1 << 30)))
+    return chosen.limit(2 * rows)

@@ -58,10 +58,11 @@ def test_empty_table(empty):
     assert found(empty) == []
 
 
-@pytest.mark.parametrize("block_rows", [2048, 16])
-def test_families_around_the_threshold(spark, monkeypatch, block_rows):
+@pytest.mark.parametrize("block_rows, dense", [(2048, 2), (16, 0), (16, 1000)])
+def test_families_around_the_threshold(spark, monkeypatch, block_rows, dense):
     """Many edited copies of few texts, chains between them, and a passage that all texts share."""
     monkeypatch.setattr(jaccard, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(jaccard, "DENSE", dense)  # 0: all groups verify themselves; 1000: none does
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
     passage = [word() for _ in range(25)]
