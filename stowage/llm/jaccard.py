@@ -10,10 +10,10 @@ bounds the overlap from above. Pairs that pass are verified on the whole sets.
 
 Pairs whose classes are already connected aren't verified: first each class meets its
 most promising partner, everywhere. Of the pairs that may still join two components, those
-of groups that have few are verified as pairs. A group with more than ``DENSE`` of them
-per member is gathered again with whole sets, for the members that have such pairs; there
-each link joins two components, and only such links leave the group. So fewer rows than a
-few times the members leave a group, however many pairs there are.
+of groups that have few are verified as pairs. A group where more than ``DENSE`` members
+have such pairs is gathered again with their whole sets (of groups with the same such members,
+one); there each link joins two components, and only such links leave the group. So
+no more than a fixed number of rows for each member leaves a group, however many pairs there are.
 Groups are gathered in buckets of bounded size; a crowded group is dealt into blocks
 and each pair of blocks is one piece of work.
 
@@ -47,7 +47,7 @@ BUCKET_ROWS = 200_000  # prefix shingles of one bucket
 GROUP_ROWS = 20_000  # rows of one bucket of candidate groups
 PAIR_ROWS = 2000  # pairs of one bucket, about
 BLOCK_ROWS = 2048  # members of a crowded group that meet at once
-DENSE = 2  # open pairs per member, from which on a group verifies them itself
+DENSE = 32  # members with open pairs, beyond which a group verifies these itself
 SETS_BYTES = 32 << 20  # whole sets of one bucket, about
 IDS_BYTES = 16 << 20  # identifiers that may go to all tasks
 
@@ -298,23 +298,30 @@ _OPEN = ["shingle", "owner", "block", "low", "high", "signature", "component"]
 def _still_open(table: pa.Table, similar: int, of: int, dense: int) -> pa.Table:
     """Pairs of the groups of a bucket that may join two components (owner, partner); of dense groups, their members."""
     table = table.combine_chunks()
-    pairs, members = [np.zeros((2, 0), np.int64)], [np.zeros(0, np.int64)]
+    pairs, members, digests = [np.zeros((2, 0), np.int64)], [np.zeros(0, np.int64)], [np.zeros((2, 0), np.uint64)]
     if table.num_rows:
+        owner = table["owner"].to_numpy().view(np.uint64)
         points, sizes, component, block = _outlines(table)
         for rows in _groups(table):
             if (component[rows] == component[rows[0]]).all():
                 continue
             a, b, _ = _candidates(points[rows], sizes[rows], component[rows], block[rows], similar, of)
             open_ = np.unique(np.concatenate([a, b]))
-            if len(a) > dense * len(open_):
+            if len(open_) > dense:
                 members.append(rows[open_])
+                whose = mix(owner[rows[open_]] + mix(block[rows[open_]].astype(np.uint64)))
+                digest = np.array([whose.sum(), mix(whose).sum()], np.uint64)
+                digests.append(np.repeat(digest[:, None], len(open_), axis=1))
             else:
                 pairs.append(np.stack([rows[a], rows[b]]))
     pairs, members = np.concatenate(pairs, axis=1), np.concatenate(members)
     out = table.select(_OPEN).take(pa.array(np.concatenate([pairs[0], members])))
     partner = table["owner"].to_numpy()[pairs[1]] if table.num_rows else np.zeros(0, np.int64)
     partners = pa.chunked_array([pa.array(partner, pa.int64()), pa.nulls(len(members), pa.int64())])
-    return out.append_column("partner", partners)
+    out = out.append_column("partner", partners)
+    for name, values in zip(("x", "y"), np.concatenate(digests, axis=1).view(np.int64)):
+        out = out.append_column(name, pa.chunked_array([pa.nulls(len(partner), pa.int64()), pa.array(values)]))
+    return out
 
 
 def _overlaps(one: int, others: np.ndarray, codes: np.ndarray, offsets: np.ndarray, mark: np.ndarray) -> np.ndarray:
@@ -479,7 +486,7 @@ def _connected(kept, shared: DataFrame, profile: DataFrame, sets_of, similar: in
     of_them = found.select(F.col("node").alias("signature"), F.col("component").alias("of"))
     labelled = outline.join(of_them, "signature", "left").withColumn("component", F.coalesce("of", "signature")).drop("of")
     rows = members.join(labelled, "owner").withColumn("bucket", bucket)
-    schema = "shingle bigint, owner bigint, block int, low int, high int, signature binary, component binary, partner bigint"
+    schema = "shingle bigint, owner bigint, block int, low int, high int, signature binary, component binary, partner bigint, x bigint, y bigint"
     still_open = rows.groupBy("bucket").applyInArrow(bound(_still_open, similar=similar, of=of, dense=DENSE), schema)
     still_open = kept.table(still_open.coalesce(buckets), "open")
     pairs = still_open.where("partner is not null").select(in_order("owner", "partner")).distinct()
@@ -487,6 +494,8 @@ def _connected(kept, shared: DataFrame, profile: DataFrame, sets_of, similar: in
     new = [] if pairs.isEmpty() else [verified(pairs)]
     dense = still_open.where("partner is null").drop("partner")
     if not dense.isEmpty():
+        one = dense.groupBy("x", "y").agg(F.min(F.struct("shingle", "low", "high")).alias("one")).select("one.*")
+        dense = kept.table(dense.drop("x", "y").join(one, ["shingle", "low", "high"], "left_semi"), "dense")
         sets = sets_of(dense.select("owner").distinct()).select("signature", "members")
         size = sets.agg(F.sum(F.length("members")) / F.count("*")).head()[0] or 0
         piles = int(dense.count() * size // SETS_BYTES) + 1

@@ -58,7 +58,7 @@ def test_empty_table(empty):
     assert found(empty) == []
 
 
-@pytest.mark.parametrize("block_rows, dense", [(2048, 2), (16, 0), (16, 1000)])
+@pytest.mark.parametrize("block_rows, dense", [(2048, 32), (16, 0), (16, 1000)])
 def test_families_around_the_threshold(spark, monkeypatch, block_rows, dense):
     """Many edited copies of few texts, chains between them, and a passage that all texts share."""
     monkeypatch.setattr(jaccard, "BLOCK_ROWS", block_rows)
