@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Iterator
 from dataclasses import replace
 from datetime import datetime, timedelta, timezone
+from functools import partial
+from itertools import islice
 
 from pyspark.sql import DataFrame, Row, functions as F, types as T
 
@@ -16,6 +20,7 @@ from stowage.spec import SpaceSpec
 #: Rows of a limited scan that one task may order.
 SMALL = 10_000
 _RANGE_ROWS = 50_000  # of a walk that come to the driver together
+_PACK_ROWS = 10_000  # of them that are compressed together
 
 
 def end_of(df: DataFrame, spec: SpaceSpec, conditions: Conditions) -> Row | None:
@@ -60,16 +65,26 @@ def up_to(df: DataFrame, spec: SpaceSpec, conditions: Conditions, last: Row) ->
     return apply_conditions(stretch, spec, replace(conditions, limit=None))
 
 
+def _packed(rows: Iterator[Row], schema: T.StructType) -> Iterator[bytes]:
+    """The rows of a task, compressed by column: neighbours in order are alike."""
+    rows = map(schema.toInternal, rows)
+    while part := list(islice(rows, _PACK_ROWS)):
+        yield zlib.compress(pickle.dumps([list(values) for values in zip(*part)]))
+
+
 def walk_pages(df: DataFrame, order: list[str], size: int, rows: int) -> Iterator[list[Row]]:
     """``df`` of at most ``rows`` rows in order, in lists of ``size``; the driver holds two ranges of rows at most."""
     ranges = max(1, -(-rows // _RANGE_ROWS))
     ordered = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    schema = df.schema
+    packs = ordered.rdd.mapPartitions(partial(_packed, schema=schema))
     page: list[Row] = []
-    for row in ordered.toLocalIterator(prefetchPartitions=True):
-        page.append(row)
-        if len(page) == size:
-            yield page
-            page = []
+    for pack in packs.toLocalIterator(prefetchPartitions=True):
+        for values in zip(*pickle.loads(zlib.decompress(pack))):
+            page.append(schema.fromInternal(values))
+            if len(page) == size:
+                yield page
+                page = []
     if page:
         yield page
 
