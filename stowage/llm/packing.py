@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -44,7 +45,7 @@ class _Encoder:
     chunks seen lately; everything else is asked of the tokenizer.
     """
 
-    SLOTS, POOL, LONGEST = 1 << 19, 1 << 22, 64
+    SLOTS, POOL, LONGEST, TOGETHER = 1 << 19, 1 << 22, 64, 100
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -67,6 +68,18 @@ class _Encoder:
         self._used = need
         return at
 
+    def _ask(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks, and how many each has; they are asked for many at a time, as one text."""
+        ids, counts = [], []
+        for at in range(0, len(chunks), self.TOGETHER):
+            part = chunks[at : at + self.TOGETHER]
+            found = self._tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ends = np.cumsum([len(chunk) + 1 for chunk in part])
+            places = np.fromiter(map(itemgetter(0), found.offsets), np.int64, len(found))
+            ids.append(np.array(found.ids, np.int32))
+            counts.append(np.bincount(np.searchsorted(ends, places, "right"), minlength=len(part)).astype(np.int32))
+        return np.concatenate(ids), np.concatenate(counts)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents of a block, and where each document starts in them."""
         if self._used > self.POOL:
@@ -83,9 +96,7 @@ class _Encoder:
             distinct, first, inverse = np.unique(keys[new], return_index=True, return_inverse=True)
             raw, a, b = data.tobytes(), starts[new[first]].tolist(), ends[new[first]].tolist()
             chunks = [raw[i:j].decode() for i, j in zip(a, b)]
-            found = [e.ids for e in self._tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-            counts = np.fromiter(map(len, found), np.int32, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.int32, int(counts.sum()))
+            flat, counts = self._ask(chunks)
             at = self._add(flat) + np.cumsum(counts, dtype=np.int64) - counts
             start[new], count[new] = at[inverse], counts[inverse]
             short = np.flatnonzero(ends[new[first]] - starts[new[first]] <= self.LONGEST)

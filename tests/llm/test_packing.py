@@ -79,3 +79,12 @@ def test_two_for_one():
 
 def test_empty_table(empty):
     assert packing.pack(packing.tokenize(empty, tokenizer_path())).count() == 0
+
+
+def test_chunks_asked_for_together_are_those_asked_for_singly():
+    encoder = packing._Encoder(tokenizer_path())
+    odd = ["a<|endoftext|>b", "́abc", " ", "x y", "İstanbul", "it's", "'s", "\U0001f600!!", "\x00", "가"]
+    chunks = [c for i in range(60) for c in [*odd, f"w{i},", "q" * i + "."]]
+    ids, counts = encoder._ask(chunks)
+    single = [e.ids for e in encoder._tokenizer.encode_batch(chunks, add_special_tokens=False)]
+    assert ids.tolist() == [i for own in single for i in own] and counts.tolist() == list(map(len, single))
