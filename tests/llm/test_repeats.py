@@ -1,13 +1,15 @@
 import hashlib
 import random
+import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from stowage.llm.queries import op8_suffix_repeats
-from stowage.llm.repeats import RunIndex, remove_repeats
+from stowage.llm.repeats import _in_order, _index, _pieces, RunIndex, remove_repeats, suffix_order
 
 SF = "/root/testdata/sf0.001"
 
@@ -90,3 +92,66 @@ def test_run_samples_give_all_matches():
                 want[i : i + 9] = True
         assert (got == want).all()
     assert len(index.run_codes) < sum(map(len, strings))
+
+
+def edited_copies(anchors, copies, size):
+    """Ranges of some anchors: copies of a text with an edit each."""
+    rng, rows = random.Random(2), []
+    for anchor in range(anchors):
+        text = bytes(rng.choice(b"abcdefgh ijklmnop") for _ in range(size))
+        for copy in range(copies):
+            at = rng.randrange(size)
+            rows.append((b"%d-%d" % (anchor, copy), anchor, 0, text[:at] + b"#" + text[at + 1 :]))
+    rng.shuffle(rows)
+    kinds = {"text": pa.binary(), "anchor": pa.int64(), "first": pa.int64(), "bytes": pa.binary()}
+    return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds.values())], list(kinds))
+
+
+def test_an_index_costs_few_sorts_of_its_bytes():
+    """CPU time of an index over near copies, in stable sorts of as many places (about 8 when each doubling sorted all)."""
+    table = edited_copies(300, 6, 560)
+    numbers = np.random.default_rng(3).integers(0, 1 << 62, 300 * 6 * 561)
+
+    def least(work):
+        took = []
+        for _ in range(3):
+            begin = time.process_time()
+            work()
+            took.append(time.process_time() - begin)
+        return min(took)
+
+    assert least(lambda: _index(table, 400)) < 4 * least(lambda: np.argsort(numbers, kind="stable"))
+
+
+def test_index_of_many_pieces_marks_all_repeats():
+    table = edited_copies(80, 5, 560)
+    assert len(_pieces(np.sort(table["anchor"].to_numpy()), np.full(400, 560))) > 1
+    rows = [(n.decode(), b.decode()) for n, b in zip(table["text"].to_pylist(), table["bytes"].to_pylist())]
+    marked = {name: np.zeros(560, bool) for name, _ in rows}
+    for mark in _index(table, 400).to_pylist():
+        marked[mark["text"].decode()][mark["first"] : mark["last"]] = True
+    assert [int(marked[name].sum()) for name, *_ in sorted(rows)] == [r[2] for r in brute(sorted(rows), 400)]
+
+
+def test_pieces_hold_whole_anchors(monkeypatch):
+    monkeypatch.setattr("stowage.llm.repeats.INDEX_BYTES", 10)
+    assert _pieces(np.array([1, 1, 1, 2, 3, 3, 4]), np.array([9, 9, 9, 1, 1, 1, 9])) == [(0, 3), (3, 6), (6, 7)]
+    assert _pieces(np.array([7]), np.array([50])) == [(0, 1)]
+
+
+@pytest.mark.parametrize("letters", [b"a", b"\0a", bytes(range(256))])
+def test_suffix_order_ends_at_the_separators(letters):
+    rng = random.Random(4)
+    strings = [bytes(rng.choice(letters) for _ in range(rng.randint(0, 70))) for _ in range(40)]
+    codes = np.concatenate([np.append(np.frombuffer(s, np.uint8).astype(np.int64) + 1, 0) for s in strings])
+    ends = np.cumsum([len(s) + 1 for s in strings])
+    stops = np.repeat(ends - 1, [len(s) + 1 for s in strings])
+    want = sorted(range(len(codes)), key=lambda p: (codes[p : stops[p]].tolist(), p))
+    assert suffix_order(codes, stops).tolist() == want
+
+
+@pytest.mark.parametrize("bits", [5, 60])
+def test_keys_in_order_when_places_fit_beside_them_or_not(bits):
+    keys, places = np.array([5, 900, 5, 0, 900]), np.array([1, 2, 3, 4, 7])
+    got = _in_order(keys, places, bits)
+    assert [g.tolist() for g in got] == [[0, 5, 5, 900, 900], [4, 1, 3, 2, 7]]
